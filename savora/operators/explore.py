@@ -164,7 +164,7 @@ def aspect_breakdown(df: DataFrame) -> DataFrame:
     long = unpivot_scores(df).filter("mentioned").withColumn(
         "bucket", scores.sentiment_bucket(F.col("score")))
     labels = [fixed.BUCKET_POSITIVE, fixed.BUCKET_NEUTRAL, fixed.BUCKET_NEGATIVE]
-    return (long.groupBy("aspect").pivot("bucket", labels).agg(F.count("*"))
+    return (long.groupBy("aspect").pivot("bucket", labels).agg(F.count(F.lit(1)))
             .na.fill(0, labels))
 
 

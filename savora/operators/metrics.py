@@ -49,13 +49,14 @@ def evaluate(df: DataFrame, actual: str = "actual", predicted: str = "predicted"
 def class_report(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """Precision, recall, F1 and support per class."""
     row = evaluate(df, actual, predicted)
-    lines = F.array(
-        F.struct(F.lit(MINORITY).alias("label"), F.col("precision_minority").alias("precision"),
-                 F.col("recall_minority").alias("recall"), F.col("f1_minority").alias("f1"),
-                 (F.col("tp") + F.col("fn")).alias("support")),
-        F.struct(F.lit(POSITIVE), F.col("precision_positive"), F.col("recall_positive"),
-                 F.col("f1_positive"), (F.col("tn") + F.col("fp"))))
-    return row.select(F.inline(lines))
+
+    def line(label: str, side: str, support: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), F.col(f"precision_{side}").alias("precision"),
+                        F.col(f"recall_{side}").alias("recall"), F.col(f"f1_{side}").alias("f1"),
+                        support.alias("support"))
+
+    return row.select(F.inline(F.array(line(MINORITY, "minority", F.col("tp") + F.col("fn")),
+                                       line(POSITIVE, "positive", F.col("tn") + F.col("fp")))))
 
 
 def label_counts(df: DataFrame, label: str = "actual") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from savora import fixed_values as fixed
 from savora.functions import parse, scores, sentiment, text
@@ -79,8 +79,8 @@ def tfidf(df: DataFrame, id_column: str, body: str = "review_text", min_df: int
     known = vocabulary(counts, documents, min_df, max_df)
     raw = counts.join(known, "term").select(
         id_column, "term", ((F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")).alias("w"))
-    norms = raw.groupBy(id_column).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, id_column).select(id_column, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column)))
+    return raw.select(id_column, "term", (F.col("w") / norm).alias("weight"))
 
 
 # --- vectors -----------------------------------------------------------------

@@ -118,7 +118,7 @@ def microdata_record(pages: DataFrame, entity_id: Column, html: str = "html") ->
 
 def _blocks(html: Column, marker: str) -> Column:
     """One piece of page per element that matches ``marker``, up to the next one."""
-    return F.slice(F.split(html, rf"(?is)<[^>]*?{marker}[^>]*>", -1), F.lit(2), F.lit(2147483647))
+    return F.filter(F.split(html, rf"(?is)<[^>]*?{marker}[^>]*>", -1), lambda piece, i: i > 0)
 
 
 def microdata_reviews(html: Column) -> Column:
