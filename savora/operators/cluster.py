@@ -19,6 +19,7 @@ from savora.operators.features import impute_means
 
 SEED = 42
 RESTARTS = 10
+MAX_ITERATIONS = 300
 
 
 def entity_features(df: DataFrame, impute: bool = True) -> tuple[DataFrame, list[str]]:
@@ -67,10 +68,15 @@ def feature_vectors(df: DataFrame, columns: Sequence[str], id_column: str = "res
     return scaler.fit(assembled).transform(assembled).select(id_column, "features")
 
 
+def sized_partitions(df: DataFrame, rows: int, rows_per_partition: int = 50_000) -> DataFrame:
+    """As many partitions as the rows fill: an iterative fit pays for each one in every pass."""
+    return df.repartition(max(1, -(-rows // rows_per_partition)))
+
+
 def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS) -> KMeansModel:
     """The cheapest of several seeded starts."""
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vectors)
-            for i in range(restarts)]
+    fits = [KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS, featuresCol="features",
+                   predictionCol="cluster").fit(vectors) for i in range(restarts)]
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -160,9 +166,9 @@ def choose_k(vectors: DataFrame, k_range: Sequence[int] = range(2, 10), seed: in
     ``exact`` picks the plain Euclidean silhouette; left open, it is used while the
     quadratic work stays small and the linear closed form beyond that.
     """
-    vectors = vectors.persist()
+    n = vectors.count()
+    vectors = sized_partitions(vectors, n).persist()
     try:
-        n = vectors.count()
         exact = n <= exact_up_to if exact is None else exact
         usable = [k for k in k_range if 2 <= k < n]
         best = Choice(usable[0], -1.0) if usable else Choice(2, -1.0)
@@ -249,6 +255,7 @@ def cluster_reviews(df: DataFrame, k_range: Sequence[int] = range(2, 10), restar
     from savora.operators.explore import cluster_profiles
     features, names = entity_features(df)
     vectors = feature_vectors(features, names).persist()
+    vectors = sized_partitions(vectors, vectors.count()).persist()
     try:
         chosen = choose_k(vectors, k_range, restarts=restarts)
         labels = fit_kmeans(vectors, chosen.k, restarts=restarts).transform(vectors).select("restaurant_id", "cluster")

@@ -19,6 +19,7 @@ from savora.functions.text import let
 from savora.operators import metrics, splits
 
 MIN_DF, MAX_DF = 2, 0.9
+TOLERANCE = 1e-4  # the stopping tolerance the published figures were made with
 MINORITY, POSITIVE = fixed.MINORITY_CLASS, fixed.POSITIVE_CLASS
 
 
@@ -95,36 +96,46 @@ def sparse_vector(size: Column, indices: Column, values: Column) -> Column:
     return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema)["v"]
 
 
+TERMS, COUNTS = "_terms", "_tf"
+NO_CAP = 2147483647  # the vocabulary keeps every qualifying term
+
+
+def with_terms(df: DataFrame, body: str = "review_text",
+               stopwords: Sequence[str] = fixed.MODEL_STOPWORDS) -> DataFrame:
+    """Add the term array once, for callers that fit several models on the same rows."""
+    return df if TERMS in df.columns else df.withColumn(TERMS, terms(F.col(body), stopwords))
+
+
 @dataclass
 class Vectoriser:
     """Fitted vocabulary and idf weights."""
 
     counter: CountVectorizerModel
     idf: np.ndarray
-    stopwords: Sequence[str]
 
     def transform(self, df: DataFrame, body: str = "review_text") -> DataFrame:
         """Add ``features``."""
-        counted = self.counter.transform(df.withColumn("_terms", terms(F.col(body), self.stopwords)))
-        raw = F.unwrap_udt(F.col("_tf"))
+        return self.weigh(self.counter.transform(with_terms(df, body)))
+
+    def weigh(self, counted: DataFrame) -> DataFrame:
+        raw = F.unwrap_udt(F.col(COUNTS))
         damped = counted.withColumn("_damped", sparse_vector(
             raw["size"], raw["indices"], F.transform(raw["values"], lambda v: F.log(v) + 1.0)))
         weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_damped", outputCol="_weighted")
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="features")
-        return unit.transform(weigh.transform(damped)).drop("_terms", "_tf", "_damped", "_weighted")
+        return unit.transform(weigh.transform(damped)).drop(TERMS, COUNTS, "_damped", "_weighted")
 
 
-def fit_vectoriser(df: DataFrame, body: str = "review_text", min_df: int = MIN_DF, max_df: float = MAX_DF,
-                   stopwords: Sequence[str] = fixed.MODEL_STOPWORDS) -> Vectoriser:
-    """The vocabulary keeps every qualifying term: its size is counted, not capped."""
-    termed = df.select(terms(F.col(body), stopwords).alias("_terms"))
-    distinct = termed.select(F.explode("_terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    counter = CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=float(min_df), maxDF=float(max_df),
-                              vocabSize=max(16, 2 * distinct)).fit(termed)
-    weights = IDF(inputCol="_tf", outputCol="_idf").fit(counter.transform(termed))
+def fit_vectoriser(df: DataFrame, body: str = "review_text", min_df: int = MIN_DF,
+                   max_df: float = MAX_DF) -> tuple[Vectoriser, DataFrame]:
+    """Vocabulary and idf of ``df``, and ``df`` with its term counts (persisted)."""
+    termed = with_terms(df, body)
+    counter = CountVectorizer(inputCol=TERMS, outputCol=COUNTS, minDF=float(min_df), maxDF=float(max_df),
+                              vocabSize=NO_CAP).fit(termed)
+    counted = counter.transform(termed).persist()
+    weights = IDF(inputCol=COUNTS, outputCol="_idf").fit(counted)
     df_counts = np.asarray(weights.docFreq, dtype=float)
-    idf = np.log((1.0 + weights.numDocs) / (1.0 + df_counts)) + 1.0
-    return Vectoriser(counter, idf, stopwords)
+    return Vectoriser(counter, np.log((1.0 + weights.numDocs) / (1.0 + df_counts)) + 1.0), counted
 
 
 # --- model -------------------------------------------------------------------
@@ -154,20 +165,21 @@ def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual"
 
     Spark averages the loss over the weights, so the penalty is 1 / (C * sum of weights).
     """
-    vectoriser = fit_vectoriser(train, body, **vectoriser_options)
-    counts = {r[label]: r["n"] for r in metrics.label_counts(train, label).collect()}
+    vectoriser, counted = fit_vectoriser(train, body, **vectoriser_options)
+    counts = {r[label]: r["n"] for r in metrics.label_counts(counted, label).collect()}
     n = sum(counts.values())
     weight = F.lit(1.0)
     for name, size in counts.items():
         weight = F.when(F.col(label) == name, n / (len(counts) * size)).otherwise(weight)
-    prepared = vectoriser.transform(train, body).select(
+    prepared = vectoriser.weigh(counted).select(
         "features", (F.col(label) == MINORITY).cast("double").alias("label"), weight.alias("w")).persist()
     try:
         classifier = LogisticRegression(
             weightCol="w", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-            maxIter=1000, family="binomial").fit(prepared)
+            maxIter=1000, tol=TOLERANCE, family="binomial").fit(prepared)
     finally:
         prepared.unpersist()
+        counted.unpersist()
     return TextModel(vectoriser, classifier)
 
 
@@ -202,7 +214,8 @@ def external_predictions(df: DataFrame, responses: DataFrame, id_column: str,
 
 def out_of_fold(df: DataFrame, id_column: str, k: int = 5, body: str = "review_text", **options) -> DataFrame:
     """Scores of every row by a model that never saw it."""
-    folded = splits.folds(df.select(id_column, body, "actual"), "actual", id_column, k).persist()
+    rows = with_terms(df, body).select(id_column, body, "actual", TERMS)
+    folded = splits.folds(rows, "actual", id_column, k).persist()
     parts = []
     for f in range(k):
         model = fit_model(folded.filter(F.col("fold") != f), body, **options)
@@ -238,7 +251,7 @@ def train_and_evaluate(df: DataFrame, id_column: str = "review_id", test_size: f
                        lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
                        body: str = "review_text", **options) -> Training:
     """Threshold from the training part only; model and lexicon judged on the same test rows."""
-    data = labelled_reviews(df).select(id_column, body, "actual").persist()
+    data = with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS).persist()
     train, test = splits.hold_out(data, "actual", id_column, test_size)
     train, test = train.persist(), test.persist()
     threshold = metrics.best_threshold(out_of_fold(train, id_column, body=body, **options)).first()["threshold"]
@@ -262,7 +275,7 @@ def compare_approaches(df: DataFrame, id_column: str = "review_id", sample_size:
 
     The model learns from the rows outside the sample.
     """
-    data = labelled_reviews(df).select(id_column, body, "actual").persist()
+    data = with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS).persist()
     sample = splits.stratified_sample(data, "actual", id_column, sample_size).persist()
     model = fit_model(splits.rows_outside(data, sample, id_column), body, **options)
     judged = [("lexicon", lexicon_predictions(sample, lexicon, body)), ("supervised", model.predict(sample, body=body))]
