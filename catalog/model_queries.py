@@ -44,6 +44,7 @@ def _vectors(t):
 @query("m02_kmeans")
 def _(t):
     vectors = _vectors(t).persist()
+    vectors = cluster.sized_partitions(vectors, vectors.count()).persist()
     model = cluster.fit_kmeans(vectors, 4, restarts=3)
     return model.transform(vectors).select("restaurant_id", "cluster")
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from savora import fixed_values as fixed
 from savora.functions import parse, scores
 from savora.operators.features import impute_means
+from savora.operators.ordering import sized_partitions
 
 SEED = 42
 RESTARTS = 10
@@ -68,11 +69,6 @@ def feature_vectors(df: DataFrame, columns: Sequence[str], id_column: str = "res
     return scaler.fit(assembled).transform(assembled).select(id_column, "features")
 
 
-def sized_partitions(df: DataFrame, rows: int, rows_per_partition: int = 50_000) -> DataFrame:
-    """As many partitions as the rows fill: an iterative fit pays for each one in every pass."""
-    return df.repartition(max(1, -(-rows // rows_per_partition)))
-
-
 def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS) -> KMeansModel:
     """The cheapest of several seeded starts."""
     fits = [KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS, featuresCol="features",

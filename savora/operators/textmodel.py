@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from savora import fixed_values as fixed
 from savora.functions import parse, scores, sentiment, text
 from savora.functions.text import let
-from savora.operators import metrics, splits
+from savora.operators import metrics, ordering, splits
 
 MIN_DF, MAX_DF = 2, 0.9
 TOLERANCE = 1e-4  # the stopping tolerance the published figures were made with
@@ -171,8 +171,8 @@ def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual"
     weight = F.lit(1.0)
     for name, size in counts.items():
         weight = F.when(F.col(label) == name, n / (len(counts) * size)).otherwise(weight)
-    prepared = vectoriser.weigh(counted).select(
-        "features", (F.col(label) == MINORITY).cast("double").alias("label"), weight.alias("w")).persist()
+    prepared = ordering.sized_partitions(vectoriser.weigh(counted).select(
+        "features", (F.col(label) == MINORITY).cast("double").alias("label"), weight.alias("w")), n, 20_000).persist()
     try:
         classifier = LogisticRegression(
             weightCol="w", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
