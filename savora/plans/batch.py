@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
 from savora import schemas
 from savora.functions import sentiment
@@ -17,10 +17,7 @@ def unified(sources: DataFrame, lexicon: sentiment.Lexicon = sentiment.RESTAURAN
     distinct = unify.deduplicate_reviews(named)
     filled = unify.fill_metadata(distinct)
     labelled = unify.add_aspect_sentiments(filled, lexicon)
-    plain = labelled.withColumns({c: F.col(c) for c in ("aspect_sentiments", "aspect_mentions")})
-    kept = [c for c in schemas.RAW_COLUMNS if c in plain.columns]
-    missing = [c for c in schemas.RAW_COLUMNS if c not in plain.columns]
-    return plain.select("row_idx", *kept, *[F.lit(None).cast("string").alias(c) for c in missing])
+    return schemas.conform(labelled, schemas.RAW_COLUMNS, keep=("row_idx",))
 
 
 def cleaned(raw: DataFrame, reference_date: Column) -> DataFrame:
@@ -41,7 +38,8 @@ def clustered(normal: DataFrame, restarts: int = cluster.RESTARTS) -> DataFrame:
 
 
 def run(sources: DataFrame, reference_date: Column,
-        lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON) -> tuple[DataFrame, DataFrame]:
+        lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
+        restarts: int = cluster.RESTARTS) -> tuple[DataFrame, DataFrame]:
     """(features, clustered).  The normalised reviews feed both and are kept once."""
     normal = normalized(cleaned(unified(sources, lexicon), reference_date)).persist()
-    return featured(normal), clustered(normal)
+    return featured(normal), clustered(normal, restarts)

@@ -51,7 +51,7 @@ def with_row_order(df: DataFrame, source_no: int = 0) -> DataFrame:
     The position follows the file splits, so store the result before a second job
     depends on it; ``ordering.surrogate_key`` turns it into a sequential key.
     """
-    # 2**60 positions per source: the generated id uses at most 31 + 33 bits
+    # the generated id has the partition above bit 33, so 2**56 leaves 8 million partitions per source
     return df.withColumn("row_idx", F.lit(source_no).cast("long") * F.lit(1 << 56) + F.monotonically_increasing_id())
 
 
@@ -86,6 +86,8 @@ def write_table(df: DataFrame, path: str, columns: Sequence[str] | None = None,
     """Write the columns in their fixed order; CSV when the path says so."""
     out = schemas.conform(df, columns) if columns else df
     if path.rstrip("/").endswith(".csv"):
+        maps = [c for c, kind in out.dtypes if kind.startswith("map")]
+        out = out.withColumns({c: F.to_json(c) for c in maps})
         out.write.mode(mode).csv(path, header=True, quote='"', escape='"', encoding="UTF-8")
     else:
         out.write.mode(mode).parquet(path)
