@@ -8,6 +8,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog import bindings
+from savora.sources.tables import spread
 
 
 class Tables:
@@ -21,6 +22,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        """The texts, spread over the cores while they fit in few splits."""
+        return spread(self.spark.read.parquet(f"{self.folder}/documents.parquet"), "doc_id")
+
     @cached_property
     def texts(self) -> DataFrame:
         return bindings.texts(self)

@@ -52,7 +52,7 @@ def run_lengths(items: Column) -> Column:
             F.get(ordered, s).alias("term"),
             (F.coalesce(F.get(starts, j + 1), F.size(ordered)) - s).alias("tf"))))
 
-    return let(F.array_sort(items), count)
+    return let(F.sort_array(items), count)
 
 
 def term_counts(df: DataFrame, id_column: str, body: str = "review_text",
@@ -61,9 +61,11 @@ def term_counts(df: DataFrame, id_column: str, body: str = "review_text",
     return df.select(id_column, F.inline(run_lengths(terms(F.col(body), stopwords))))
 
 
-def vocabulary(counts: DataFrame, documents: Column, min_df: int = MIN_DF, max_df: float = MAX_DF) -> DataFrame:
+def vocabulary(df: DataFrame, documents: Column, body: str = "review_text", min_df: int = MIN_DF,
+               max_df: float = MAX_DF, stopwords: Sequence[str] = fixed.MODEL_STOPWORDS) -> DataFrame:
     """(term, df, idf) of the terms that are neither rare nor everywhere."""
-    return (counts.groupBy("term").agg(F.count("*").alias("df"))
+    distinct = df.select(F.explode(F.array_distinct(terms(F.col(body), stopwords))).alias("term"))
+    return (distinct.groupBy("term").agg(F.count("*").alias("df"))
             .filter((F.col("df") >= min_df) & (F.col("df") <= documents * max_df))
             .withColumn("idf", F.log((documents + 1.0) / (F.col("df") + 1.0)) + 1.0))
 
@@ -77,7 +79,7 @@ def tfidf(df: DataFrame, id_column: str, body: str = "review_text", min_df: int
     """
     counts = term_counts(df, id_column, body, stopwords)
     documents = df.agg(F.count("*").cast("double").alias("n")).scalar()
-    known = vocabulary(counts, documents, min_df, max_df)
+    known = vocabulary(df, documents, body, min_df, max_df, stopwords)
     raw = counts.join(known, "term").select(
         id_column, "term", ((F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column)))

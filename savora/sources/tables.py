@@ -35,6 +35,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rehash a scan that has fewer splits than there are cores.
+
+    A small file is one split however much work its texts are.  Anything large has
+    more splits than cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path).schema
