@@ -142,7 +142,7 @@ def _(t):
 
 
 @query("f16_labelled_ratings", """
-SELECT o_orderkey, CAST(CASE WHEN q <= 5 THEN q END AS DOUBLE) AS food, round((q % 5) + 0.5, 6) AS service
+SELECT o_orderkey, CAST(CASE WHEN q <= 5 THEN q END AS DOUBLE) AS food, round(CAST((q % 5) + 0.5 AS DOUBLE), 6) AS service
 FROM (SELECT o_orderkey, o_orderkey % 9 AS q FROM orders)""")
 def _(t):
     q = F.col("o_orderkey") % 9
@@ -464,6 +464,23 @@ def _(t):
                                  t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))])
 
 
+@query("s02_load_sources", """
+SELECT l_orderkey AS k, CAST(NULL AS DOUBLE) AS o_totalprice, count(*) AS lines FROM lineitem GROUP BY 1
+UNION ALL SELECT o_orderkey, o_totalprice, 0 FROM orders""")
+def _(t):
+    """A missing source is skipped; columns a source lacks are NULL."""
+    loaded = stored.load_sources(t.spark, [f"{t.folder}/{n}.parquet" for n in ("lineitem", "no_such_source", "orders")])
+    lines = loaded.filter("l_orderkey IS NOT NULL").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.max("o_totalprice").alias("o_totalprice"), F.count("*").alias("lines"))
+    orders = loaded.filter("o_orderkey IS NOT NULL").select(F.col("o_orderkey").alias("k"), "o_totalprice", F.lit(0).cast("long").alias("lines"))
+    return lines.unionByName(orders)
+
+
+@query("s03_load_first", "SELECT c_custkey, c_name FROM customer")
+def _(t):
+    return stored.load_first(t.spark, [f"{t.folder}/{n}.parquet" for n in ("no_such_table", "customer", "orders")]).select("c_custkey", "c_name")
+
+
 @query("s06_keyed_upsert", """
 WITH latest AS (SELECT user_id, value, event_id FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
 stored AS (SELECT user_id, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from savora import fixed_values as fixed
 from savora.functions import parse, scores
-from savora.operators.features import impute_means
 from savora.operators.ordering import sized_partitions
 
 SEED = 42
@@ -23,7 +22,7 @@ RESTARTS = 10
 MAX_ITERATIONS = 300
 
 
-def entity_features(df: DataFrame, impute: bool = True) -> tuple[DataFrame, list[str]]:
+def entity_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """One row per entity and the names of its feature columns.
 
     Columns without any value are dropped, other gaps take the column's mean.
@@ -42,12 +41,10 @@ def entity_features(df: DataFrame, impute: bool = True) -> tuple[DataFrame, list
     elif "price_range" in df.columns:
         aggs["price_level"] = F.avg(parse.price_level(F.col("price_range")))
     grouped = df.filter(F.col("restaurant_id").isNotNull()).groupBy("restaurant_id").agg(
-        *[c.alias(n) for n, c in aggs.items()])
-    if not impute:
-        return grouped, list(aggs)
-    filled_counts = grouped.agg(*[F.count(n).alias(n) for n in aggs]).first()
-    names = [n for n in aggs if filled_counts[n] > 0]
-    return impute_means(grouped.select("restaurant_id", *names), names), names
+        *[c.alias(n) for n, c in aggs.items()]).persist()  # one row per entity, read again by every later step
+    means = grouped.agg(*[F.avg(n).alias(n) for n in aggs]).first()
+    names = [n for n in aggs if means[n] is not None]
+    return grouped.select("restaurant_id", *[F.coalesce(n, F.lit(means[n])).alias(n) for n in names]), names
 
 
 def standardise_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

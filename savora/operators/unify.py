@@ -85,8 +85,8 @@ def fill_metadata(df: DataFrame, columns: Sequence[str] = schemas.META_COLUMNS,
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled = rows.select(*[c for c in rows.columns if c not in present], *[
         F.last(c, ignorenulls=True).over(inside).alias(c) for c in present])
-    same_chunk = ((filled[entity].eqNullSafe(carried[entity]))
-                  & (filled["_chunk"] == carried["_chunk"]))
+    # same keys as the window, so the rows are shuffled once for both
+    same_chunk = (filled[entity] == carried[entity]) & (filled["_chunk"] == carried["_chunk"])
     joined = filled.join(carried, same_chunk, "left")
     names = [c for c in df.columns]
     return joined.select(
