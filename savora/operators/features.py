@@ -29,21 +29,13 @@ def add_restaurant_stats(df: DataFrame) -> DataFrame:
     return df.join(restaurant_stats(df), ["restaurant_id", "restaurant_name"], "left")
 
 
-def _plain_slug(value: str) -> str:
-    """The name a category gets as a column suffix, from the same expression."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.range(1).select(text.slug(F.lit(value)).alias("slug")).first()["slug"]
-
-
-def category_columns(categories: Sequence[str]) -> dict[str, str]:
-    """Column name per category; a name already taken gets _2, _3 ..."""
+def category_columns(slugs: Sequence[tuple[str, str]]) -> dict[str, str]:
+    """Column name per (category, slug); a name already taken gets _2, _3 ..."""
     names: dict[str, str] = {}
-    for category in categories:
-        base = f"cat_{_plain_slug(category)}"
-        name, suffix = base, 2
+    for category, slug in slugs:
+        name, suffix = f"cat_{slug}", 2
         while name in names:
-            name, suffix = f"{base}_{suffix}", suffix + 1
+            name, suffix = f"cat_{slug}_{suffix}", suffix + 1
         names[name] = category
     return names
 
@@ -61,11 +53,14 @@ def encode_categories(df: DataFrame, categories: Sequence[str] | None = None,
     if source not in df.columns:
         return df
     if categories is None:
-        categories = [row[source] for row in top_values(df, source, top_n).collect()]
+        chosen = top_values(df, source, top_n).select(source)
+    else:
+        chosen = df.sparkSession.createDataFrame([(c,) for c in categories], f"{source} string").coalesce(1)
+    slugs = [tuple(row) for row in chosen.select(source, text.slug(F.col(source))).collect()]
     lowered = F.lower(F.coalesce(F.col(source).cast("string"), F.lit("nan")))
     return df.withColumns({
         name: F.contains(lowered, F.lit(category.lower())).cast("int")
-        for name, category in category_columns(categories).items()})
+        for name, category in category_columns(slugs).items()})
 
 
 def sentiment_features(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
