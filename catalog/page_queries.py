@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query, r6
 from catalog.text_queries import LEXICON, TOKENS_SQL, score_of
-from savora.functions import parse, sentiment
+from savora.functions import parse
 from savora.operators import explore
 from savora.sources import pages
 
@@ -159,9 +159,6 @@ _FLAG = "\nUNION ALL ".join(
 def _(t):
     """Review texts to mention-aware means and coverage per aspect: one scan, one small aggregate."""
     from savora.operators import features
-    detailed = t.documents.withColumn("d", sentiment.aspect_details(F.col("text"), LEXICON))
-    maps = detailed.select("doc_id", *[
-        F.create_map(*[x for a in LEXICON.aspects for x in (F.lit(a), F.col(f"d.{a}.{part}"))]).alias(name)
-        for part, name in (("label", "aspect_sentiments"), ("mentioned", "aspect_mentions"))])
-    out = explore.aspect_summaries(features.derive_aspect_columns(maps), with_data_only=False)
+    wide = features.score_aspects(t.documents, LEXICON, "text")
+    out = explore.aspect_summaries(wide, with_data_only=False)
     return out.select("aspect", "mentions", "total", r6("mean"), r6("coverage"))

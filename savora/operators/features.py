@@ -9,7 +9,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from savora import fixed_values as fixed
-from savora.functions import parse, scores, text
+from savora.functions import parse, scores, sentiment, text
 from savora.operators.explore import top_values
 
 
@@ -102,6 +102,18 @@ def add_sentiment_scores(df: DataFrame, prefix: str = "sentiment") -> DataFrame:
     return df.withColumn("overall_sentiment_score", scores.row_mean(present)) if present else df
 
 
+def score_aspects(df: DataFrame, lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
+                  body: str = "review_text") -> DataFrame:
+    """Label, score and mention column per aspect straight from the texts, without maps."""
+    detailed = df.withColumn("_details", sentiment.aspect_details(F.col(body), lexicon))
+    new = {}
+    for a in lexicon.aspects:
+        new[scores.label_col(a)] = F.col(f"_details.{a}.label")
+        new[scores.score_col(a)] = scores.label_score(F.col(f"_details.{a}.label"))
+        new[scores.mention_col(a)] = F.col(f"_details.{a}.mentioned")
+    return detailed.withColumns(new).drop("_details")
+
+
 def derive_aspect_columns(df: DataFrame) -> DataFrame:
     """Label, score and mention column per aspect, from the two stored maps.
 

@@ -42,12 +42,14 @@ def deduplicate_reviews(df: DataFrame, order: str = "row_idx",
     """Keep the first copy of every text of an entity; drop texts too short to tell.
 
     The window groups by the digest of the key, so the shuffle carries 32 bytes
-    instead of a second copy of the text.
+    instead of a second copy of the text.  Length is a property of the key, so it
+    can be tested after the window; tested before, the key would be built twice.
     """
     keyed = df.withColumn("_text_key", text.review_key(F.col("review_text")))
-    kept = long_enough(keyed, F.col("_text_key"), minimum)
-    digested = kept.withColumn("_text_key", F.unhex(F.sha2("_text_key", 256)))
-    return keep_first(digested, ["restaurant_id", "_text_key"], [order]).drop("_text_key")
+    digested = keyed.withColumns({"_text_key": F.unhex(F.sha2("_text_key", 256)),
+                                  "_key_length": F.length("_text_key")})
+    first = keep_first(digested, ["restaurant_id", "_text_key"], [order])
+    return first.filter(F.col("_key_length") >= minimum).drop("_text_key", "_key_length")
 
 
 def remove_duplicates(df: DataFrame, subset: Sequence[str] = ("restaurant_id", "review_text"),
