@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query, r6
 from catalog.text_queries import LEXICON, TOKENS_SQL, score_of
 from savora.functions import parse
-from savora.operators import explore
+from savora.operators import explore, features
 from savora.sources import pages
 
 BASE_URL = "https://reviews.example"
@@ -158,7 +158,6 @@ _FLAG = "\nUNION ALL ".join(
 @query("flagship_aspect_summary", f"WITH {TOKENS_SQL} {_FLAG}")
 def _(t):
     """Review texts to mention-aware means and coverage per aspect: one scan, one small aggregate."""
-    from savora.operators import features
     wide = features.score_aspects(t.documents, LEXICON, "text")
     out = explore.aspect_summaries(wide, with_data_only=False)
     return out.select("aspect", "mentions", "total", r6("mean"), r6("coverage"))

@@ -620,9 +620,9 @@ SELECT * FROM (SELECT 'best' AS side, restaurant_name, round(avg(overall_rating)
 UNION ALL SELECT * FROM (SELECT 'worst', restaurant_name, round(avg(overall_rating), 6), count(*) FROM scored WHERE overall_rating IS NOT NULL AND restaurant_name NOT IN (SELECT restaurant_name FROM suspicious)
   GROUP BY 2 ORDER BY avg(overall_rating), 2 LIMIT 6)""", "suspicious")
 def _(t):
-    flagged = quality.suspicious_ratings(t.scored)
-    best = explore.best_names(t.scored).withColumn("side", F.lit("best"))
-    worst = explore.worst_names(t.scored, flagged).withColumn("side", F.lit("worst"))
+    names = quality.name_summary(t.scored)
+    best = explore.best_names(names).withColumn("side", F.lit("best"))
+    worst = explore.worst_names(names, quality.contradictions(names)).withColumn("side", F.lit("worst"))
     return best.unionByName(worst).select("side", "restaurant_name", r6("nota"), "resenas")
 
 

@@ -299,19 +299,18 @@ def top_rated(df: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.desc("rating"), "restaurant_id", "restaurant_name").limit(n))
 
 
-def rated_names(df: DataFrame) -> DataFrame:
-    return (df.filter(F.col("overall_rating").isNotNull() & F.col("restaurant_name").isNotNull())
-            .groupBy("restaurant_name")
-            .agg(F.avg("overall_rating").alias("nota"), F.count("*").alias("resenas")))
+def rated_names(names: DataFrame) -> DataFrame:
+    """Mean rating per name over the rows that have one, from a name summary."""
+    return names.filter(F.col("rated") > 0).select("restaurant_name", "nota", F.col("rated").alias("resenas"))
 
 
-def best_names(df: DataFrame, n: int = 12) -> DataFrame:
-    return rated_names(df).orderBy(F.desc("nota"), "restaurant_name").limit(n)
+def best_names(names: DataFrame, n: int = 12) -> DataFrame:
+    return rated_names(names).orderBy(F.desc("nota"), "restaurant_name").limit(n)
 
 
-def worst_names(df: DataFrame, flagged: DataFrame, n: int = 6) -> DataFrame:
+def worst_names(names: DataFrame, flagged: DataFrame, n: int = 6) -> DataFrame:
     """Lowest rated names, without those whose rating is not to be trusted."""
-    kept = quality.without_suspicious(rated_names(df), flagged)
+    kept = quality.without_suspicious(rated_names(names), flagged)
     return kept.orderBy("nota", "restaurant_name").limit(n)
 
 
@@ -416,7 +415,8 @@ def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
 def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
     """The dataset in a few dozen lines: (section_no, section, rank, line).
 
-    Every section is a small aggregate; no review text is read.
+    Every section is a small aggregate; no review text is read.  The sections about
+    names share one summary per name, those about counts one table of counts.
     """
     def numbered(source: DataFrame, keys: Sequence[Column], line: Column, no: int, title: str) -> DataFrame:
         # at most a handful of rows per section: ranked inside one sorted array
@@ -452,17 +452,22 @@ def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
 
     rated_line = F.concat(F.lit("  "), F.col("restaurant_name"), F.lit(": "), F.format_string("%.1f", "nota"),
                           F.lit(" ("), F.col("resenas").cast("string"), F.lit(" resenas)"))
-    flagged = quality.suspicious_ratings(df, order)
-    sections.append(numbered(best_names(df, rows), [-F.col("nota"), F.col("restaurant_name")], rated_line,
+    names = quality.name_summary(df, order).persist()
+    flagged = quality.contradictions(names)
+    sections.append(numbered(best_names(names, rows), [-F.col("nota"), F.col("restaurant_name")], rated_line,
                              3, "MEJOR CALIFICADOS"))
-    sections.append(numbered(worst_names(df, flagged), [F.col("nota"), F.col("restaurant_name")], rated_line,
+    sections.append(numbered(worst_names(names, flagged), [F.col("nota"), F.col("restaurant_name")], rated_line,
                              4, "PEOR CALIFICADOS"))
     sections.append(quality.quality_note(flagged).filter(F.col("note") != "").select(
         F.lit(5).alias("section_no"), F.lit("LIMITACION CONOCIDA DE LOS DATOS").alias("section"),
         F.lit(1).alias("rank"), F.concat(F.lit("  "), F.col("note")).alias("line")))
 
+    counted = [c for c in (category_column(df), "location", "price_band") if c in df.columns]
+    cells = df.groupBy(*counted).agg(F.count("*").alias("n")).persist()
+
     def counts(column: str, top: int | None, no: int, title: str, unit: str = "", by_value: bool = False) -> DataFrame:
-        source = top_values(df, column, top) if top else value_counts(df, column)
+        source = cells.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"))
+        source = source.orderBy(F.desc("n"), column).limit(top) if top else source
         keys = [F.col(column)] if by_value else [-F.col("n"), F.col(column)]
         line = F.concat(F.lit("  "), F.col(column), F.lit(": "), F.col("n").cast("string"), F.lit(unit))
         return numbered(source, keys, line, no, title)

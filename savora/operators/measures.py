@@ -155,6 +155,7 @@ def sentiment_rank(aspects: DataFrame, by: str = "RestauranteID", buckets: int =
     """
     means = aspect_parts(aspects, [by]).select(by, mean_sentiment().alias("mean_sentiment"),
                                                F.coalesce(mean_sentiment(), F.lit(0.0)).alias("_value"))
+    means = means.persist()  # one row per entity; the quantiles of the buckets read it before the ranks do
     ranked = ordering.dense_rank(means, "_value", "_rank", buckets)
     return ranked.select(by, "mean_sentiment",
                          F.when(F.col("mean_sentiment").isNotNull(), F.col("_rank")).alias("rank"))

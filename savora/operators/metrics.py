@@ -72,7 +72,7 @@ def roc_auc(df: DataFrame, actual: str = "actual", score: str = "score", buckets
     """
     per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(actual) == MINORITY).alias("found"),
-        F.count_if(F.col(actual) != MINORITY).alias("others"))
+        F.count_if(F.col(actual) != MINORITY).alias("others")).persist()
     bucketed = ordering.range_buckets(per_score, "score", buckets)
     below = ordering.running_total(bucketed, "others", ["score"], "others_to")
     won = F.col("found") * (F.col("others_to") - F.col("others") + F.col("others") * 0.5)

@@ -8,28 +8,39 @@ from savora import fixed_values as fixed
 from savora.functions import scores
 
 
-def suspicious_ratings(df: DataFrame, order: str = "row_idx",
-                       low: float = fixed.LOW_RATING,
-                       favourable: float = fixed.FAVOURABLE_SENTIMENT) -> DataFrame:
-    """Names rated strictly below ``low`` whose reviews read well on average.
+def name_summary(df: DataFrame, order: str = "row_idx") -> DataFrame:
+    """Per name: first rating, mean rating and how many rows have one, mean tone, rows.
 
-    All aspect scores count here, mentioned or not.
+    The tone of a row is the mean of all its aspect scores, mentioned or not.
     """
     present = scores.present_aspects(df)
-    if not present or not {"restaurant_name", "overall_rating"} <= set(df.columns):
-        return df.sparkSession.createDataFrame(
-            [], "restaurant_name string, rating double, sentimiento double, resenas long")
-    tone = scores.row_mean([F.col(scores.score_col(a)) for a in present])
+    tone = scores.row_mean([F.col(scores.score_col(a)) for a in present]) if present else F.lit(None).cast("double")
     rating = F.col("overall_rating").cast("double")
-    per_name = (df.filter(F.col("restaurant_name").isNotNull())
-                .groupBy("restaurant_name").agg(
-                    F.min_by(rating, F.when(rating.isNotNull(), F.col(order))).alias("rating"),
-                    F.avg(tone).alias("sentimiento"),
-                    F.count("*").alias("resenas")))
-    return (per_name.filter((F.col("rating") < low) & (F.col("sentimiento") >= favourable))
+    return (df.filter(F.col("restaurant_name").isNotNull())
+            .groupBy("restaurant_name").agg(
+                F.min_by(rating, F.when(rating.isNotNull(), F.col(order))).alias("rating"),
+                F.avg(rating).alias("nota"), F.count(rating).alias("rated"),
+                F.avg(tone).alias("sentimiento"), F.count("*").alias("resenas")))
+
+
+def contradictions(names: DataFrame, low: float = fixed.LOW_RATING,
+                   favourable: float = fixed.FAVOURABLE_SENTIMENT) -> DataFrame:
+    """Names rated strictly below ``low`` whose reviews read well on average."""
+    return (names.filter((F.col("rating") < low) & (F.col("sentimiento") >= favourable))
+            .select("restaurant_name", "rating", "sentimiento", "resenas")
             .orderBy("rating", "restaurant_name"))
 
 
+def suspicious_ratings(df: DataFrame, order: str = "row_idx",
+                       low: float = fixed.LOW_RATING,
+                       favourable: float = fixed.FAVOURABLE_SENTIMENT) -> DataFrame:
+    """The contradictions of a review table; none without ratings or scores."""
+    if not {"restaurant_name", "overall_rating"} <= set(df.columns):
+        return df.sparkSession.createDataFrame(
+            [], "restaurant_name string, rating double, sentimiento double, resenas long")
+    return contradictions(name_summary(df, order), low, favourable)
+
+
 def suspicious_names(df: DataFrame, order: str = "row_idx") -> DataFrame:
     return suspicious_ratings(df, order).select("restaurant_name").distinct()
 
