@@ -191,7 +191,7 @@ def decomposition_tree(aspects: DataFrame, restaurants: DataFrame,
     nodes = named.rollup(*levels).agg(F.sum("_n").alias("negative_mentions"),
                                       F.grouping_id().alias("_g"))
     depth = len(levels) - F.bit_count("_g")
-    nodes = nodes.withColumn("depth", depth.cast("int"))
+    nodes = nodes.withColumn("depth", depth.cast("int")).persist()  # attribute combinations only
     kept = nodes.filter(F.col("depth") == 0).withColumn("rank", F.lit(1))
     result, parents = [kept], kept
     for d in range(1, len(levels) + 1):
