@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from savora import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.SOURCE_SCHEMA) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.SOURCE_SCHEMA,
+             multi_line: bool = True) -> DataFrame:
     """Quoted CSV with a header.  Texts may hold commas, quotes and line breaks.
 
     The columns are matched by their header, so their order and number may differ
-    from the schema; absent ones are NULL.
+    from the schema; absent ones are NULL.  A file whose fields may hold line breaks
+    is read by one task; ``multi_line=False`` lets Spark split large files that have none.
     """
-    options = dict(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", mode="PERMISSIVE")
+    options = dict(header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", mode="PERMISSIVE")
     raw = spark.read.options(**options).csv(path)  # header only: every column is a string
     def column(field: T.StructField) -> Column:
         if field.name not in raw.columns:
