@@ -6,12 +6,12 @@ any reader of Zstandard can unpack it whole and a reader of the seek table can u
 frame and the offset and length inside the unpacked frame.
 
 Pages with equal payloads of at least ``least_bytes`` are archived once: the one with the smallest id is a
-response, the others are revisits that name it.  Bundles are written under the shared folder by the tasks, to a name of their
-own and then renamed, so a task that is run again leaves one whole file per name.
+response, the others are revisits that name it.  Tasks write bundles under the shared folder, each attempt to names of its own; the
+index holds the names of the attempts that succeeded, so a task that runs twice harms nothing.
 
-Defined cases: a null payload is an empty one; a null url is empty; rows with a null page id, and further rows with an id that
-occurs before, are archived too (``row`` tells them apart) and follow the same rule, a null id counting as the largest and named -1; a record larger than a frame is a frame of its
-own; no pages give no bundles and no rows.
+Defined cases: a null payload is an empty one; a null url is empty; a null page id counts as larger than any other; further rows with
+the id of the response are responses, too, and equal payloads of which none has an id all are; ``row`` tells such rows apart; a record
+larger than a frame is a frame of its own; no pages give no bundles and no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from savora.llm.common import new_path, slots, stored
+from savora.llm.common import new_path, stored
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 64 << 20
@@ -149,46 +149,42 @@ class BundleWriter:
 
 
 def plan_records(pages: DataFrame, payload: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``(row, page_id, url, payload, digest, refers_to)`` of every page, stored."""
-    rows = stored(pages.select(
+    """``(row, page_id, url, payload, digest, refers_to)`` of every page; the payload is shuffled once."""
+    rows = pages.select(
         F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
-        F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary")).alias("payload")), "pages")
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    large = rows.filter(F.octet_length("payload") >= least_bytes)
-    # the smallest id, of equal ids the first row; a digest that occurs once needs no second look
-    first = (large.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first"), F.count("*").alias("n"))
-             .filter("n > 1").select("digest", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row")))
-    repeats = large.select("row", "digest").join(first, "digest").filter(F.col("row") != F.col("first_row"))
-    return rows.join(repeats.select("row", F.coalesce("first_id", F.lit(-1).cast("long")).alias("refers_to")), "row", "left")
+        F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    first = (rows.filter(F.octet_length("payload") >= least_bytes).groupBy("digest")
+             .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first"))
+    return rows.join(first, "digest", "left").select(
+        "row", "page_id", "url", "payload", "digest",
+        F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")).alias("refers_to"))
 
 
 def write_bundles(pages: DataFrame, folder: str, payload: str = "html", frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES,
                   least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Archive every page under ``folder`` and return the stored index of the records."""
-    rows = plan_records(pages, payload, least_bytes)
-    total = rows.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
     schema = arrow_schema(INDEX)
 
+    def rows_of(index: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, i)) for i in index], schema)
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, filled = None, 0
         for part in parts:
-            for r in part.to_pylist():
-                if writer is None:
-                    writer, filled = BundleWriter(folder, f"bundle-{r['slot']:06d}-{r['row']:016x}.warc.zst", frame_bytes), 0
-                record = to_record(r["row"], r["page_id"], r["url"].replace("\r", "%0D").replace("\n", "%0A"), r["payload"], r["digest"], r["refers_to"])
-                writer.add(r["row"], r["page_id"], record)
-                filled += len(record)
-                if filled >= bundle_bytes:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, i)) for i in writer.close()], schema)
-                    writer = None
+            for at in range(0, part.num_rows, 256):
+                for r in part.slice(at, 256).to_pylist():
+                    if writer is None:
+                        writer, filled = BundleWriter(folder, f"bundle-{uuid.uuid4().hex}.warc.zst", frame_bytes), 0
+                    record = to_record(r["row"], r["page_id"], r["url"].replace("\r", "%0D").replace("\n", "%0A"), r["payload"], r["digest"], r["refers_to"])
+                    writer.add(r["row"], r["page_id"], record)
+                    filled += len(record)
+                    if filled >= bundle_bytes:
+                        yield rows_of(writer.close())
+                        writer = None
         if writer is not None:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, i)) for i in writer.close()], schema)
+            yield rows_of(writer.close())
 
-    n = slots(total, bundle_bytes, least=pages.sparkSession.sparkContext.defaultParallelism)
-    # the slot follows the row, so a task that runs again writes the same bundles under the same names
-    dealt = (rows.withColumn("slot", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
-             .repartition(n, "slot").sortWithinPartitions("slot", "row"))
-    return stored(dealt.mapInArrow(batches, INDEX), "warc-index")
+    return stored(plan_records(pages, payload, least_bytes).mapInArrow(batches, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
