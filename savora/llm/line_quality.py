@@ -83,25 +83,28 @@ def judge(docs: DataFrame, max_lost: float = MAX_LOST, text: str = "text") -> Da
     """Add the columns ``ADDED``; columns of these names are replaced."""
     rows = docs.drop(*ADDED).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     rows = rows.withColumn("_hashes", F.transform(words_of(F.col("_text")), lambda w: F.xxhash64(w)))
-    rows = rows.withColumn("n_words", F.size("_hashes").cast("long"))
-    windows = F.when(F.col("n_words") >= WINDOW, F.transform(
+    windows = F.when(F.size("_hashes") >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.size("_hashes") - WINDOW),
         lambda i: F.xxhash64(*[F.get(F.col("_hashes"), i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
     lines = F.filter(F.split("_text", "\n"), lambda line: F.length(without(line, WHITE)) > 0)
     rows = rows.withColumns({"_windows": windows, "_lines": lines})
     rows = rows.withColumn("_judged", F.transform("_lines", lambda line: F.struct(
         line.alias("line"), line_fails(line).alias("fails"), F.length(without(line, WHITE)).alias("chars"))))
-    rows = rows.withColumns({
-        "word_chars": F.length(without(F.col("_text"), WHITE)).cast("long"),
-        "n_symbols": count_of(F.col("_text"), SYMBOLS).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": repeated_words(F.col("_windows")).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_lines_removed": F.size(F.filter("_judged", lambda x: x["fails"])).cast("long"),
-        "lost_chars": F.aggregate("_judged", F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["fails"], x["chars"]).otherwise(0)),
-        "clean_text": F.array_join(F.transform(F.filter("_judged", lambda x: ~x["fails"]), lambda x: x["line"]), "\n"),
-    })
+    # a filter on the verdict, pushed below a projection, would compute all of it again, parts of it for every word;
+    # it cannot pass a generator that makes what it tests
+    found = F.struct(
+        F.size("_hashes").cast("long").alias("n_words"),
+        F.length(without(F.col("_text"), WHITE)).cast("long").alias("word_chars"),
+        count_of(F.col("_text"), SYMBOLS).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        repeated_words(F.col("_windows")).cast("long").alias("n_repeat_words"),
+        F.size("_lines").cast("long").alias("n_lines"),
+        F.size(F.filter("_judged", lambda x: x["fails"])).cast("long").alias("n_lines_removed"),
+        F.aggregate("_judged", F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["fails"], x["chars"]).otherwise(0)).alias("lost_chars"),
+        F.array_join(F.transform(F.filter("_judged", lambda x: ~x["fails"]), lambda x: x["line"]), "\n").alias("clean_text"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
+    rows = rows.select(*rest, F.explode(F.array(found)).alias("_found")).select(*rest, "_found.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (rows.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= F.lit(max_lost) * F.col("word_chars")))
-            .drop("_text", "_hashes", "_windows", "_lines", "_judged"))
+            .select(*rest, *ADDED))
