@@ -9,7 +9,8 @@ Documents are sets of word shingles; two link when the sets' Jaccard similarity
 4. Groups whose members are not in one component are searched with a signature tree.  Its leaves are the members; a node holds the OR of their
    bitmaps, the range of their sizes and of their components.  The tree is traversed against itself: a pair of nodes is dropped
    if the sizes exclude each other, if both hold one and the same component, or if the bits in common plus
-   the shingles that share a bit cannot make the overlap that the smallest sizes need.
+   the shingles that share a bit cannot make the overlap that the smallest sizes need.  A bitmap has two to four bits for each shingle; linked sets
+   differ by less than half in size, so only sets of one or of two neighbouring bitmap lengths stand in trees that are traversed together.
 5. Surviving pairs are compared exactly.
 
 Shingles are 64-bit hashes; sets are equal when their sizes and 128-bit digests are.  Large groups are cut into tiles, and
@@ -35,12 +36,13 @@ from savora.llm.components import components
 
 WIDTH = 5
 THRESHOLD = 75
-BITS = 2048
+LEAST_BITS = 64
 FANOUT = 8
 TILE = 4096
 FREQUENT_SHARE = 2000
 KEYS_PER_BUCKET = 1 << 19
 BATCH_LEAST = 4
+BROADCAST_ROWS = 1_000_000
 
 
 def least_overlap(size: np.ndarray, threshold: int) -> np.ndarray:
@@ -70,10 +72,28 @@ def digests(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return sums(byte_text.keys_of(sets, 6)), sums(byte_text.keys_of(sets, 7))
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Bits of the shingles' hashes, in a length that is the next power of two of twice their number."""
+    bits = max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[(byte_text.keys_of(shingles, 9) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def stretched(maps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps as rows of ``size`` bytes; a shorter one is repeated, so that it covers what it covered."""
+    return np.frombuffer(b"".join([m * (size // len(m)) for m in maps]), np.uint64).reshape(len(maps), size // 8)
+
+
+def spare_of(maps: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Shingles of each set that share a bit with another."""
+    return sizes - np.array([int.from_bytes(m, "little").bit_count() for m in maps], np.int64)
+
+
 def describe(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """Stored rows of two kinds: ``(doc_id, n, low, high)`` per document, and ``(shingle, held)`` of shingles seen often in a batch."""
-    spec = "doc_id bigint, n bigint, low bigint, high bigint, shingle bigint, held bigint"
-    schema = pa.schema([(f.split()[0], pa.int64()) for f in spec.split(", ")])
+    """Stored rows of two kinds: ``(doc_id, n, low, high, bitmap)`` per document, and ``(shingle, held)`` of shingles seen often in a batch."""
+    spec = "doc_id bigint, n bigint, low bigint, high bigint, bitmap binary, shingle bigint, held bigint"
+    schema = pa.schema([(name, pa.binary() if kind == "binary" else pa.int64()) for name, kind in (f.split() for f in spec.split(", "))])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -81,8 +101,9 @@ def describe(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
             for first, stop, sets, bounds in shingle_sets(part.column(1), width):
                 low, high = digests(sets, bounds)
                 none = pa.nulls(stop - first, pa.int64())
+                maps = pa.array([bitmap(sets[a:z]) for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(first, stop - first), pa.array(np.diff(bounds)), pa.array(low.view(np.int64)),
-                                                  pa.array(high.view(np.int64)), none, none], schema=schema)
+                                                  pa.array(high.view(np.int64)), maps, none, none], schema=schema)
                 for i, key in enumerate(low.tolist()):
                     if key not in seen:
                         seen.add(key)
@@ -91,7 +112,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
                 shingles, held = np.unique(np.concatenate(often), return_counts=True)
                 some = held >= BATCH_LEAST
                 none = pa.nulls(int(some.sum()), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(shingles[some].view(np.int64)), pa.array(held[some])], schema=schema)
+                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(none), pa.binary()), pa.array(shingles[some].view(np.int64)), pa.array(held[some])], schema=schema)
     return stored(docs.select(F.col(doc_id).cast("long"), text).mapInArrow(batches, spec), "described")
 
 
@@ -182,39 +203,25 @@ def key_groups(docs: DataFrame, text: str, frequent: DataFrame, n_buckets: int,
     return stored(rows.dropDuplicates(["key", "members"]).withColumn("group", F.monotonically_increasing_id()), "groups")
 
 
-def bitmaps(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """One row of BITS / 64 words for each set."""
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    bit = (byte_text.keys_of(sets, 9) % np.uint64(BITS)).astype(np.int64)
-    flags = np.zeros((len(bounds) - 1, BITS), np.uint8)
-    flags[owner, bit] = 1
-    return np.packbits(flags, axis=1).view(np.uint64)
-
-
-def with_signatures(texts: DataFrame, width: int) -> DataFrame:
-    """``(rep, text, n, bitmap)`` of ``(rep, text, expected)``, where the text's set is one of the expected ones."""
+def own_texts(texts: DataFrame, width: int) -> DataFrame:
+    """``(rep, text)`` of the rows ``(rep, text, expected)`` whose set is an expected one: an id may name other texts, too."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
+            expected, right = part.column(2).to_pylist(), []
             for first, stop, sets, bounds in shingle_sets(part.column(1), width):
                 low, high = digests(sets, bounds)
                 found = zip(low.view(np.int64).tolist(), high.view(np.int64).tolist(), np.diff(bounds).tolist())
-                right = pa.array([any((e["low"], e["high"], e["n"]) == f for e in part.column(2)[first + i].as_py()) for i, f in enumerate(found)])
-                for a in range(first, stop, 1024):
-                    z = min(stop, a + 1024)
-                    own = bounds[a - first:z - first + 1]
-                    maps = pa.array([m.tobytes() for m in bitmaps(sets[own[0]:own[-1]], own - own[0])], pa.binary())
-                    yield pa.RecordBatch.from_arrays([part.column(0).slice(a, z - a), part.column(1).slice(a, z - a), pa.array(np.diff(own)), maps],
-                                                     ["rep", "text", "n", "bitmap"]).filter(right.slice(a - first, z - a))
-    return texts.mapInArrow(batches, "rep bigint, text string, n bigint, bitmap binary")
+                right += [any((e["low"], e["high"], e["n"]) == f for e in own) for own, f in zip(expected[first:stop], found)]
+            yield part.select([0, 1]).filter(pa.array(right, pa.bool_()))
+    return texts.mapInArrow(batches, "rep bigint, text string")
 
 
 class SignatureTree:
     """Leaves in order of size and bitmap; each level ORs FANOUT nodes of the one below."""
 
-    def __init__(self, sizes: np.ndarray, maps: np.ndarray, labels: np.ndarray):
+    def __init__(self, sizes: np.ndarray, maps: np.ndarray, spare: np.ndarray, labels: np.ndarray):
         self.order = np.lexsort((maps[:, 0], sizes))
-        sizes, maps, labels = sizes[self.order], maps[self.order], labels[self.order]
-        spare = sizes - np.bitwise_count(maps).sum(1).astype(np.int64)
+        sizes, maps, spare, labels = sizes[self.order], maps[self.order], spare[self.order], labels[self.order]
         self.levels = [(maps, sizes, sizes, spare, labels, labels)]
         while len(self.levels[-1][0]) > 1:
             below = self.levels[-1]
@@ -275,18 +282,29 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
 
         def close() -> Iterator[pa.RecordBatch]:
             side, rep, label, n = (np.concatenate([h[i] for h in held]) for i in range(4))
-            maps = np.concatenate([h[4] for h in held])
-            trees = [(SignatureTree(n[side == s], maps[side == s], label[side == s]), rep[side == s]) for s in (0, 1) if (side == s).any()]
-            if len(trees) == 1 and (side == 1).any():
-                return
-            for x, y in dual_traversal(trees[0][0], trees[1][0] if len(trees) > 1 else None, threshold):
-                u, v = trees[0][1][x], trees[-1][1][y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+            maps = [m for h in held for m in h[4]]
+            length = np.array([len(m) for m in maps])
+            spare = spare_of(maps, n)
+
+            def tree(rows: np.ndarray, size: int) -> SignatureTree:
+                return SignatureTree(n[rows], stretched([maps[i] for i in rows], size), spare[rows], label[rows])
+            across = bool(side.any())
+            for one in np.unique(length).tolist():
+                for two in (one, 2 * one):
+                    first = [np.flatnonzero((length == one) & (side == s)) for s in ((0, 1) if across and one != two else (0,))]
+                    second = [np.flatnonzero((length == two) & (side == s)) for s in ((1, 0) if across else (0,))]
+                    for x, y in zip(first, second):
+                        if not (len(x) and len(y)):
+                            continue
+                        left = tree(x, two)
+                        for i, j in dual_traversal(left, None if one == two and not across else tree(y, two), threshold):
+                            u, v = rep[x[i]], rep[y[j]]
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
         for part in parts:
             names = part.column(0).to_numpy()
             columns = [part.column(i).to_numpy() for i in range(1, 5)]
-            maps = np.array([np.frombuffer(x.as_py(), np.uint64) for x in part.column(5)]).reshape(-1, BITS // 64)
+            maps = part.column(5).to_pylist()
             cuts = np.concatenate(([0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]))
             for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if z > a:
@@ -306,14 +324,17 @@ def plausible(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFr
     """Pairs whose sizes and bitmaps allow a link."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            sides = []
-            for n, bitmap in ((2, 3), (4, 5)):
-                size = part.column(n).to_numpy()
-                maps = np.array([np.frombuffer(x.as_py(), np.uint64) for x in part.column(bitmap)]).reshape(-1, BITS // 64)
-                spare = size - np.bitwise_count(maps).sum(1).astype(np.int64)
-                sides.append((maps, size, size, spare, part.column(0 if n == 2 else 1).to_numpy(), part.column(0 if n == 2 else 1).to_numpy()))
-            rows = np.arange(part.num_rows)
-            fits = possible(sides[0], rows, sides[1], rows, threshold)
+            ids, sizes = [part.column(i).to_numpy() for i in (0, 1)], [part.column(i).to_numpy() for i in (2, 4)]
+            maps = [part.column(i).to_pylist() for i in (3, 5)]
+            lengths = [np.array([len(m) for m in side], np.int64) for side in maps]
+            spare = [spare_of(m, n) for m, n in zip(maps, sizes)]
+            fits = np.zeros(part.num_rows, bool)
+            for size in np.unique(np.maximum(*lengths)).tolist():
+                near = np.flatnonzero((np.maximum(*lengths) == size) & (2 * np.minimum(*lengths) >= size))
+                for a in range(0, len(near), 1024):
+                    at = near[a:a + 1024]
+                    sides = [(stretched([m[i] for i in at], size), n[at], n[at], x[at], d[at], d[at]) for m, n, x, d in zip(maps, sizes, spare, ids)]
+                    fits[at] = possible(sides[0], np.arange(len(at)), sides[1], np.arange(len(at)), threshold)
             yield part.select([0, 1]).filter(pa.array(fits))
 
     def side(name: str, n: str, bitmap: str) -> DataFrame:
@@ -322,8 +343,8 @@ def plausible(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFr
     return rows.mapInArrow(batches, "u bigint, v bigint").distinct()
 
 
-def verified(pairs: DataFrame, signatures: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Pairs whose exact Jaccard similarity reaches the threshold."""
+def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Stored pairs whose exact Jaccard similarity reaches the threshold; ``texts`` holds ``(rep, text)`` of all rows."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for at in range(0, part.num_rows, 512):
@@ -335,18 +356,24 @@ def verified(pairs: DataFrame, signatures: DataFrame, width: int, threshold: int
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     links.append(common > 0 and 100 * common >= threshold * (len(x) + len(y) - common))
                 yield piece.select([0, 1]).filter(pa.array(links, pa.bool_()))
-    left = signatures.select(F.col("rep").alias("u"), F.col("text").alias("t1"))
-    right = signatures.select(F.col("rep").alias("v"), F.col("text").alias("t2"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "t1", "t2").mapInArrow(batches, "u bigint, v bigint").distinct()
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("rep"))
+    wanted = ends.select("rep").distinct()
+    few = wanted.count() <= BROADCAST_ROWS  # else Spark shuffles both sides, with the same result
+    expected = classes.join(wanted, "rep", "left_semi").groupBy("rep").agg(F.collect_list(F.struct("low", "high", "n")).alias("expected"))
+    own = own_texts(texts.join(F.broadcast(expected) if few else expected, "rep").select("rep", "text", "expected"), width)
+    both = (ends.join(own, "rep").groupBy("u", "v")
+            .agg(F.max(F.when(F.col("rep") == F.col("u"), F.col("text"))).alias("t1"), F.max(F.when(F.col("rep") == F.col("v"), F.col("text"))).alias("t2")))
+    return stored(both.mapInArrow(batches, "u bigint, v bigint"), "links")
 
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
     """``(id, n_shingles, component_id)`` of every row; the component is the smallest id reachable over links."""
     raw = docs.select(doc_id, text)
     described = describe(raw, doc_id, text, width)
-    per_row = described.filter(F.col("n").isNotNull()).select("doc_id", "n", "low", "high")
+    per_row = described.filter(F.col("n").isNotNull()).select("doc_id", "n", "low", "high", "bitmap")
     classes = stored(per_row.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-                     .groupBy("low", "high", "n").agg(F.min("doc_id").alias("rep")), "classes")
+                     .groupBy("low", "high", "n").agg(F.min("doc_id").alias("rep"), F.first("bitmap").alias("bitmap")), "classes")
     totals = classes.agg(F.count("*"), F.sum("n")).first()
     often = max(16, (totals[0] or 0) // FREQUENT_SHARE)
     frequent = (described.filter(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("held").alias("held")).filter(F.col("held") >= often))
@@ -354,18 +381,15 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     groups = key_groups(raw.filter(F.col(doc_id).isNotNull()), text, frequent, buckets, width, threshold)
     members = stored(groups.select("group", "key", F.explode("members").alias("low")).join(classes.select("low", "rep"), "low")
                      .select("group", "key", "rep").distinct(), "members")
-    expected = (classes.join(members.select("rep").distinct(), "rep", "left_semi").groupBy("rep")
-                .agg(F.collect_list(F.struct("low", "high", "n")).alias("expected")).withColumnRenamed("rep", doc_id))
-    texts = raw.select(F.col(doc_id).cast("long").alias(doc_id), text).join(expected, doc_id).select(F.col(doc_id).alias("rep"), F.col(text).alias("text"), "expected")
-    signatures = stored(with_signatures(texts, width), "signatures")
-    maps = signatures.select("rep", "n", "bitmap")
+    texts = raw.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text"))
+    maps = classes.select("rep", "n", "bitmap")
 
     centres = members.groupBy("group", "key").agg(F.min("rep").alias("u"))
     stars = members.join(centres.select("group", "u"), "group").select("u", F.col("rep").alias("v"))
     tops = centres.filter("key IS NOT NULL").groupBy("key").agg(F.min("u").alias("top"))
     between = centres.filter("key IS NOT NULL").join(tops, "key").select(F.col("top").alias("u"), F.col("u").alias("v"))
     star_pairs = plausible(stars.unionByName(between).filter("u <> v").distinct(), maps, threshold)
-    first = stored(verified(star_pairs, signatures, width, threshold), "links")
+    first = verified(star_pairs, texts, classes, width, threshold)
     labels = components(first)
 
     labelled = stored(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -380,18 +404,19 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                                        .otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("group")),
                                                           F.struct(F.lit(1).alias("side"), F.col("two").alias("group"))))).alias("x")).select("tile", "x.*"))
     tiles = sides.join(labelled, "group").join(maps, "rep").select("tile", "side", "rep", "label", "n", "bitmap")
-    second = stored(verified(tree_pairs(tiles, threshold), signatures, width, threshold), "links")
+    second = verified(tree_pairs(tiles, threshold), texts, classes, width, threshold)
     found = components(first.unionByName(second))
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("low", "high", "n", F.coalesce("component", "rep").alias("component_id"))
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    return (per_row.join(by_class, ["low", "high", "n"], "left")
+    return (per_row.drop("bitmap").join(by_class, ["low", "high", "n"], "left")
             .select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each component: the one with the smallest id.  Rows without an id stay."""
-    found = similar_components(docs, doc_id, **options)
+    found = similar_components(docs, doc_id, text, **options)
     kept = found.filter(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
-    first = Window.partitionBy(doc_id).orderBy(*[c for c in docs.columns if c != doc_id])
-    return (docs.join(kept, doc_id, "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-            .unionByName(docs.filter(F.col(doc_id).isNull())))
+    first = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), doc_id, text)
+    one = whole.join(kept, doc_id, "left_semi").withColumn("_rank", first).filter("_rank = 1").select("_row.*")
+    return one.unionByName(docs.filter(F.col(doc_id).isNull()))
