@@ -184,5 +184,8 @@ def with_tables(names: Sequence[str], sql: str) -> str:
     if not ordered:
         return sql
     rest = sql.strip()
-    head = "WITH " + ", ".join(_ALL[n][1] for n in ordered)
-    return f"{head}, {rest[5:]}" if rest[:5].upper() == "WITH " else f"{head} {rest}"
+    tables = ", ".join(_ALL[n][1] for n in ordered)
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if rest.upper().startswith(start):
+            return f"{start}{tables}, {rest[len(start):]}"
+    return f"WITH {tables} {rest}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r6
@@ -45,13 +45,29 @@ def _vectors(t):
 def _(t):
     vectors = _vectors(t).persist()
     vectors = cluster.sized_partitions(vectors, vectors.count()).persist()
-    model = cluster.fit_kmeans(vectors, 4, restarts=3)
+    model = cluster.fit_kmeans(vectors, 4)
     return model.transform(vectors).select("restaurant_id", "cluster")
 
 
+@query("m02_kmeans_partition", f"WITH {FEATURES_SQL} SELECT count(DISTINCT restaurant_id) AS entities, 4 AS clusters, 0 AS nearer_elsewhere, 0.0 AS off_centre FROM features", "scored")
+def _(t):
+    """Of the fitted clusters: no entity is nearer to another centre, and every centre is the mean of its members."""
+    vectors = _vectors(t).persist()
+    model = cluster.fit_kmeans(vectors, 4)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    rows = model.transform(vectors).select("restaurant_id", "cluster", vector_to_array("features").alias("v"))
+    gap = F.transform(centres, lambda c: F.aggregate(F.zip_with(c, "v", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
+    judged = rows.withColumns({"gaps": gap, "own": F.get(gap, F.col("cluster"))})
+    size = len(model.clusterCenters()[0])
+    means = judged.groupBy("cluster").agg(F.array(*[F.avg(F.get("v", F.lit(i))) for i in range(size)]).alias("mean"))
+    off = means.select(F.array_max(F.zip_with("mean", F.get(centres, F.col("cluster")), lambda x, y: F.abs(x - y))).alias("off")).agg(F.max("off")).scalar()
+    return judged.agg(F.count_distinct("restaurant_id").alias("entities"), F.count_distinct("cluster").cast("int").alias("clusters"),
+                      F.count_if(F.array_min("gaps") < F.col("own") - 1e-9).cast("int").alias("nearer_elsewhere"), F.round(off, 6).alias("off_centre"))
+
+
 @query("m03_choose_k")
 def _(t):
-    choice = cluster.choose_k(_vectors(t), range(2, 6), restarts=1)
+    choice = cluster.choose_k(_vectors(t))
     return t.spark.createDataFrame([(choice.k, choice.score)], "k int, silhouette double")
 
 
@@ -84,6 +100,15 @@ def _(t):
     return cluster.principal_plane(points).select("vec_id", r6(F.abs("pc1"), "pc1"), r6(F.abs("pc2"), "pc2"))
 
 
+@query("m05_plane_of_features", f"WITH {FEATURES_SQL} SELECT count(*) AS entities, 0.0 AS correlation, true AS ordered, true AS within_total FROM features", "scored")
+def _(t):
+    """Of the plane of the standardised entity features: the axes are uncorrelated, the first carries most, together at most all."""
+    plane = cluster.principal_plane(_vectors(t))
+    first, second = F.var_samp("pc1"), F.var_samp("pc2")
+    return plane.agg(F.count("*").alias("entities"), (F.round(F.abs(F.corr("pc1", "pc2")), 6)).alias("correlation"), (first >= second).alias("ordered"),
+                     (first + second <= len(FEATURES) + 1e-6).alias("within_total"))
+
+
 METRICS = {"avg_rating": "avg(overall_rating)", "avg_comida_sentiment": "avg(sentiment_comida_score)", "avg_price_level": "avg(price_level)", "review_count": "count(*)"}
 
 
@@ -95,7 +120,24 @@ def _(t):
     return scored.select("cluster", *[r6(m) for m in METRICS])
 
 
-@query("f31_cluster_names")
+_PROFILE = {"avg_rating": "overall_rating", "avg_price_level": "price_level", **{f"avg_{x}_sentiment": f"sentiment_{x}_score" for x in fixed.ASPECTS}}
+_Z = " UNION ALL ".join(
+    f"SELECT cluster, {i} AS place, '{m}' AS metric, '{name}' AS name, (p.{m} - avg(p.{m}) OVER ()) / stddev_pop(p.{m}) OVER () AS z, stddev_pop(p.{m}) OVER () AS spread FROM profile p"
+    for i, (m, name) in enumerate(fixed.CLUSTER_NAME_BY_METRIC.items()))
+
+NAMES_SQL = f"""WITH RECURSIVE profile AS (SELECT cluster, {", ".join(f"avg({c}) AS {m}" for m, c in _PROFILE.items())}, CAST(count(*) AS DOUBLE) AS review_count
+  FROM scored WHERE cluster IS NOT NULL GROUP BY 1),
+z AS (SELECT * FROM ({_Z}) WHERE spread > 0),
+turns AS (SELECT cluster, row_number() OVER (ORDER BY cluster) AS i FROM profile),
+named AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS INTEGER) AS cluster, CAST(NULL AS VARCHAR) AS name, CAST([] AS VARCHAR[]) AS used
+  UNION ALL SELECT i, cluster, name, list_append(used, name) FROM (SELECT t.i, t.cluster, n.used, coalesce(
+    (SELECT z.name FROM z WHERE z.cluster = t.cluster AND NOT list_contains(n.used, z.name) AND NOT (z.metric = 'avg_price_level' AND z.z < 0) ORDER BY z.z DESC, z.place LIMIT 1),
+    CASE WHEN NOT list_contains(n.used, '{fixed.LOW_PRICE_CLUSTER_NAME}') AND EXISTS (SELECT 1 FROM z WHERE z.cluster = t.cluster AND z.metric = 'avg_price_level' AND z.z < 0)
+      THEN '{fixed.LOW_PRICE_CLUSTER_NAME}' END, 'Grupo ' || t.cluster) AS name FROM named n JOIN turns t ON t.i = n.i + 1))
+SELECT review_id, s.cluster, n.name AS cluster_name FROM scored s LEFT JOIN named n ON n.cluster = s.cluster"""
+
+
+@query("f31_cluster_names", NAMES_SQL, "scored")
 def _(t):
     names = cluster.cluster_names(explore.cluster_profiles(t.scored))
     return cluster.add_cluster_names(t.scored.drop("cluster_name"), names).select("review_id", "cluster", "cluster_name")

@@ -127,14 +127,14 @@ def _(t):
 
 
 @query("s16_review_date", """
-SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%d') WHEN 2 THEN 'hace ' || user_id || ' meses' END AS review_date FROM events""")
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%d') WHEN 2 THEN 'hace ' || user_id || ' meses' ELSE 'mes ' || user_id END AS review_date FROM events""")
 def _(t):
     stamp, day = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.date_format("ts", "yyyy-MM-dd")
     kind = F.col("event_id") % 4
     block = (F.when(kind == 0, F.concat(F.lit('<time datetime="'), stamp, F.lit('">hoy</time>')))
              .when(kind == 1, F.concat(F.lit('<span class="review-date">Publicado el '), day, F.lit(" por alguien que escribe mucho</span>")))
              .when(kind == 2, F.concat(F.lit('<span class="date">hace '), F.col("user_id").cast("string"), F.lit(" meses</span>")))
-             .otherwise(F.lit('<span class="date">un texto que es demasiado largo para ser una fecha</span>')))
+             .otherwise(F.concat(F.lit('<span class="date">un texto que es demasiado largo para ser una fecha</span><p class="x time">mes '), F.col("user_id").cast("string"), F.lit("</p>"))))
     return t.events.select("event_id", pages.review_date(block).alias("review_date"))
 
 

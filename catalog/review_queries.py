@@ -408,6 +408,7 @@ UNION ALL SELECT 3, 'MEJOR CALIFICADOS', row_number() OVER (ORDER BY nota DESC,
 UNION ALL SELECT 4, 'PEOR CALIFICADOS', row_number() OVER (ORDER BY nota, restaurant_name), '  ' || restaurant_name || ': ' || printf('%.1f', nota) || ' (' || resenas || ' resenas)' FROM rated
   WHERE restaurant_name NOT IN (SELECT restaurant_name FROM suspicious) QUALIFY row_number() OVER (ORDER BY nota, restaurant_name) <= 6
 UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 1, '  ' || printf('{fixed.QUALITY_NOTE}', count(*), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name)) FROM suspicious HAVING count(*) > 0
+UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 2, '  {fixed.QUALITY_ADVICE}' FROM suspicious HAVING count(*) > 0
 UNION ALL SELECT 6, 'COCINAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, category_primary), '  ' || category_primary || ': ' || n FROM (SELECT category_primary, count(*) AS n FROM scored WHERE category_primary IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, category_primary) <= 10
 UNION ALL SELECT 7, 'ZONAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, location), '  ' || location || ': ' || n FROM (SELECT location, count(*) AS n FROM scored WHERE location IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, location) <= 10
 UNION ALL SELECT 8, 'RANGOS DE PRECIO', row_number() OVER (ORDER BY price_band), '  ' || price_band || ': ' || n || ' resenas' FROM (SELECT price_band, count(*) AS n FROM scored WHERE price_band IS NOT NULL GROUP BY 1)
@@ -479,17 +480,28 @@ def _(t):
     return measures.attribute_matrix(fact, entities, "CocinaPrincipal", "opinion_balance").select("CocinaPrincipal", *[r6(n) for n in LABELS.values()])
 
 
-@query("a28_decomposition_tree", """
-WITH leaf AS (SELECT coalesce("Zona", '(blank)') AS "Zona", coalesce("CocinaPrincipal", '(blank)') AS "CocinaPrincipal", "Aspecto" FROM aspects JOIN restaurants USING ("RestauranteID") WHERE "Mencionado" AND "Sentimiento" = 'Negativo'),
-l1 AS (SELECT "Zona", count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, "Zona") AS rank FROM leaf GROUP BY 1 QUALIFY rank <= 3),
-l2 AS (SELECT "Zona", "CocinaPrincipal", count(*) AS n, row_number() OVER (PARTITION BY "Zona" ORDER BY count(*) DESC, "CocinaPrincipal") AS rank FROM leaf WHERE "Zona" IN (SELECT "Zona" FROM l1) GROUP BY 1, 2 QUALIFY rank <= 3),
-l3 AS (SELECT "Zona", "CocinaPrincipal", "Aspecto", count(*) AS n, row_number() OVER (PARTITION BY "Zona", "CocinaPrincipal" ORDER BY count(*) DESC, "Aspecto") AS rank FROM leaf WHERE ("Zona", "CocinaPrincipal") IN (SELECT ("Zona", "CocinaPrincipal") FROM l2) GROUP BY 1, 2, 3 QUALIFY rank <= 3)
-SELECT 0 AS depth, NULL AS "Zona", NULL AS "CocinaPrincipal", NULL AS "Aspecto", 1 AS rank, count(*) AS negative_mentions FROM leaf
-UNION ALL SELECT 1, "Zona", NULL, NULL, CAST(rank AS INT), n FROM l1 UNION ALL SELECT 2, "Zona", "CocinaPrincipal", NULL, CAST(rank AS INT), n FROM l2
-UNION ALL SELECT 3, "Zona", "CocinaPrincipal", "Aspecto", CAST(rank AS INT), n FROM l3""", "aspects restaurants")
+_LEVELS = ("Zona", "CocinaPrincipal", "BandaPrecio", "Aspecto")
+
+
+def _tree_sql() -> str:
+    """Leaf counts, then at each level the three largest children of the nodes kept above."""
+    blank = ", ".join(f"""coalesce("{c}", '(blank)') AS "{c}\"""" for c in _LEVELS[:-1])
+    parts = [f"""leaf AS (SELECT {blank}, "Aspecto" FROM aspects JOIN restaurants USING ("RestauranteID") WHERE "Mencionado" AND "Sentimiento" = 'Negativo')"""]
+    shown = ["SELECT 0 AS depth, " + ", ".join(f'NULL AS "{c}"' for c in _LEVELS) + ", 1 AS rank, count(*) AS negative_mentions FROM leaf"]
+    for d in range(1, len(_LEVELS) + 1):
+        path, above = [f'"{c}"' for c in _LEVELS[:d]], [f'"{c}"' for c in _LEVELS[:d - 1]]
+        inside = f"PARTITION BY {', '.join(above)} " if above else ""
+        below = f" WHERE ({', '.join(above)}) IN (SELECT ({', '.join(above)}) FROM l{d - 1})" if len(above) > 1 else f" WHERE {above[0]} IN (SELECT {above[0]} FROM l1)" if above else ""
+        parts.append(f"l{d} AS (SELECT {', '.join(path)}, count(*) AS n, row_number() OVER ({inside}ORDER BY count(*) DESC, {path[-1]}) AS rank FROM leaf{below} "
+                     f"GROUP BY {', '.join(path)} QUALIFY rank <= 3)")
+        shown.append(f"SELECT {d}, {', '.join(path + ['NULL'] * (len(_LEVELS) - d))}, CAST(rank AS INT), n FROM l{d}")
+    return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL ".join(shown)
+
+
+@query("a28_decomposition_tree", _tree_sql(), "aspects restaurants")
 def _(t):
     fact, entities, _ = _star(t)
-    return measures.decomposition_tree(fact, entities, ("Zona", "CocinaPrincipal", "Aspecto"))
+    return measures.decomposition_tree(fact, entities)
 
 
 @query("a29_negative_share", """

@@ -443,6 +443,12 @@ def _(t):
     return out.select("review_id", "category", "location", "price_range", r6("overall_rating"))
 
 
+@query("w01_fill_metadata_whole", f"SELECT review_id, {_ffill('restaurant_name')}, {_ffill('category')}, {_ffill('location')}, {_ffill('address')}, {_ffill('price_range')}, round({_ffill('overall_rating').replace(' AS overall_rating', '')}, 6) AS overall_rating FROM texts", "texts")
+def _(t):
+    out = unify.fill_metadata(t.texts)
+    return out.select("review_id", "restaurant_name", "category", "location", "address", "price_range", r6("overall_rating"))
+
+
 @query("w02_deduplicate_reviews", f"""
 SELECT review_id FROM (SELECT review_id, row_number() OVER (PARTITION BY restaurant_id, {KEY.format('review_text')} ORDER BY row_idx) AS n
 FROM texts WHERE length({KEY.format('review_text')}) >= 10) WHERE n = 1""", "texts")
@@ -493,9 +499,13 @@ def _(t):
     return stored.upsert(old, new, "user_id", "event_id")
 
 
-@query("s07_inventory", "\nUNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS rows FROM {n}" for n in ("documents", "labels", "pages", "conversations", "orders", "events")))
+INVENTORY = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels",
+             "conversations")
+
+
+@query("s07_inventory", "\nUNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS rows FROM {n}" for n in INVENTORY))
 def _(t):
-    return stored.inventory({n: getattr(t, n) for n in ("documents", "labels", "pages", "conversations", "orders", "events")})
+    return stored.inventory({n: getattr(t, n) for n in INVENTORY})
 
 
 @query("s08_surrogate_key", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_id FROM orders")

@@ -244,7 +244,7 @@ PHRASE_REPLACEMENTS = (
     ("Vegetarian options", "Opciones vegetarianas"),
     ("Dietary restrictions", "Restricciones alimentarias"),
     ("Dinner", "cena"),
-    ("Lunch", "almuerzo"),
+    ("Lunch", "Almuerzo"),
     ("Other", "otro"),
     ("Good choice", "buena opción"),
     ("Good", "bueno"),
@@ -274,6 +274,7 @@ QUALITY_NOTE = (
     "contradice el texto de sus resenas, por una inconsistencia en la fuente "
     "RestaurantGuru (%s). Su calificacion no es fiable y no se usa para rankings."
 )
+QUALITY_ADVICE = "Si te preguntan por el peor restaurante, menciona esta limitacion en lugar de dar por buena esa calificacion."
 EXPLAIN_EXCELLENT = "Excelente calificación de %.1f/5.0"
 EXPLAIN_GOOD = "Buena calificación de %.1f/5.0"
 EXPLAIN_CATEGORY = "Categoría: %s"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -49,11 +49,12 @@ def entity_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
 
 def standardise_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean 0 and population deviation 1 per column; a constant column becomes 0."""
-    stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))])
+    stats = df.agg(*[x for c in columns for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]).first()
 
     def scaled(c: str):
-        spread = F.nullif(stats.select(f"s_{c}").scalar(), F.lit(0.0))
-        return F.coalesce((F.col(c) - stats.select(f"m_{c}").scalar()) / spread, F.lit(0.0))
+        if not stats[f"s_{c}"]:
+            return F.lit(0.0)
+        return F.coalesce((F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"]), F.lit(0.0))
 
     return df.withColumns({c: scaled(c) for c in columns})
 
@@ -80,7 +81,7 @@ SLICE_BYTES = 64 * 1024 * 1024
 
 def euclidean_silhouette(points: DataFrame, id_column: str, vector: str, cluster: str,
                          slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """Mean silhouette with plain distances (one row: silhouette, points).
+    """Mean silhouette with plain distances (one row: silhouette, points): a measure for a finished clustering.
 
     Plain distances have no closed form, so every point meets every other one.
     No pairs are emitted: the points are cut by hash into slices of a bounded
@@ -150,33 +151,30 @@ def squared_silhouette(predicted: DataFrame, cluster: str = "cluster") -> float:
 class Choice:
     k: int
     score: float
+    model: KMeansModel | None = None
+    scores: tuple[tuple[int, float], ...] = ()
 
 
-def choose_k(vectors: DataFrame, k_range: Sequence[int] = range(2, 10), seed: int = SEED,
-             restarts: int = RESTARTS, exact: bool | None = None, exact_up_to: int = 20_000) -> Choice:
+def choose_k(vectors: DataFrame, k_range: Sequence[int] = range(2, 10), seed: int = SEED, restarts: int = RESTARTS) -> Choice:
     """k with the highest silhouette; the smallest one on a tie, (2, -1) without data.
 
-    ``exact`` picks the plain Euclidean silhouette; left open, it is used while the
-    quadratic work stays small and the linear closed form beyond that.
+    The squared silhouette has a closed form, so the work is linear at every size.
     """
     n = vectors.count()
     vectors = sized_partitions(vectors, n).persist()
     try:
-        exact = n <= exact_up_to if exact is None else exact
         usable = [k for k in k_range if 2 <= k < n]
-        best = Choice(usable[0], -1.0) if usable else Choice(2, -1.0)
+        best, scores = Choice(usable[0] if usable else 2, -1.0), []
         for k in usable:
-            predicted = fit_kmeans(vectors, k, seed, restarts).transform(vectors)
+            model = fit_kmeans(vectors, k, seed, restarts)
+            predicted = model.transform(vectors)
             if predicted.select("cluster").distinct().count() < 2:
                 continue
-            if exact:
-                arrays = predicted.select(vectors.columns[0], vector_to_array("features").alias("v"), "cluster")
-                score = euclidean_silhouette(arrays, vectors.columns[0], "v", "cluster").first()["silhouette"]
-            else:
-                score = squared_silhouette(predicted)
+            score = squared_silhouette(predicted)
+            scores.append((k, score))
             if score > best.score:
-                best = Choice(k, score)
-        return best
+                best = Choice(k, score, model)
+        return replace(best, scores=tuple(scores))
     finally:
         vectors.unpersist()
 
@@ -251,7 +249,8 @@ def cluster_reviews(df: DataFrame, k_range: Sequence[int] = range(2, 10), restar
     vectors = sized_partitions(vectors, vectors.count()).persist()
     try:
         chosen = choose_k(vectors, k_range, restarts=restarts)
-        labels = fit_kmeans(vectors, chosen.k, restarts=restarts).transform(vectors).select("restaurant_id", "cluster")
+        model = chosen.model or fit_kmeans(vectors, chosen.k, restarts=restarts)
+        labels = model.transform(vectors).select("restaurant_id", "cluster")
         labelled = add_cluster_labels(df, labels)
         return add_cluster_names(labelled, cluster_names(cluster_profiles(labelled)))
     finally:

@@ -460,7 +460,8 @@ def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
                              4, "PEOR CALIFICADOS"))
     sections.append(quality.quality_note(flagged).filter(F.col("note") != "").select(
         F.lit(5).alias("section_no"), F.lit("LIMITACION CONOCIDA DE LOS DATOS").alias("section"),
-        F.lit(1).alias("rank"), F.concat(F.lit("  "), F.col("note")).alias("line")))
+        F.posexplode(F.array(F.concat(F.lit("  "), F.col("note")), F.lit(f"  {fixed.QUALITY_ADVICE}"))).alias("rank", "line"))
+        .withColumn("rank", F.col("rank") + 1))
 
     counted = [c for c in (category_column(df), "location", "price_band") if c in df.columns]
     cells = df.groupBy(*counted).agg(F.count("*").alias("n")).persist()

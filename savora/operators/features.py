@@ -151,10 +151,9 @@ def derive_aspect_columns(df: DataFrame) -> DataFrame:
 
 
 def impute_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill each column's gaps with its mean, taken as scalar subqueries."""
-    means = df.agg(*[F.avg(c).alias(c) for c in columns])
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means.select(c).scalar())
-                           for c in columns})
+    """Fill each column's gaps with its mean; one pass takes all means."""
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c]).cast("double")) for c in columns})
 
 
 def clustering_columns(df: DataFrame) -> tuple[DataFrame, list[str]]:

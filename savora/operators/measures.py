@@ -147,7 +147,7 @@ def peer_benchmark(aspects: DataFrame, restaurants: DataFrame,
             F.col(f"{name}_sentiment"), (mean_sentiment() - F.col(f"{name}_sentiment")).alias(f"diff_{name}"))])
 
 
-def sentiment_rank(aspects: DataFrame, by: str = "RestauranteID", buckets: int = 256) -> DataFrame:
+def sentiment_rank(aspects: DataFrame, by: str = "RestauranteID", buckets: int | None = None) -> DataFrame:
     """Dense rank of the entities in the current selection, best first.
 
     An entity without mentions stays unranked but competes as zero, so it pushes
@@ -181,26 +181,31 @@ def decomposition_tree(aspects: DataFrame, restaurants: DataFrame,
                        children: int = 3) -> DataFrame:
     """Negative mentions from the root down, the largest children of every node.
 
-    ``levels`` is the drill order.  The rollup runs over counts that are already
-    grouped by every level, and a node stays only below a parent that stays.
+    ``levels`` is the drill order.  Counts are grouped by every level once; each
+    level is then read from those below the nodes kept above it, at most
+    ``children ** depth`` rows.
     """
+    spark = aspects.sparkSession
     attributes = [c for c in levels if c != "Aspecto"]
     leaves = (entity_parts(aspects, restaurants, attributes).groupBy(*levels)
-              .agg(F.sum("negative").alias("_n")).filter(F.col("_n") > 0))
-    named = leaves.select(*[F.coalesce(F.col(c).cast("string"), F.lit("(blank)")).alias(c) for c in levels], "_n")
-    nodes = named.rollup(*levels).agg(F.sum("_n").alias("negative_mentions"),
-                                      F.grouping_id().alias("_g"))
-    depth = len(levels) - F.bit_count("_g")
-    nodes = nodes.withColumn("depth", depth.cast("int")).persist()  # attribute combinations only
-    kept = nodes.filter(F.col("depth") == 0).withColumn("rank", F.lit(1))
-    result, parents = [kept], kept
-    for d in range(1, len(levels) + 1):
-        path = list(levels[:d - 1])
-        at_depth = nodes.filter(F.col("depth") == d)
-        if path:
-            at_depth = at_depth.join(parents.select(*path), path, "left_semi")
-        window = Window.partitionBy(*path).orderBy(F.desc("negative_mentions"), levels[d - 1])
-        parents = (at_depth.withColumn("rank", F.row_number().over(window))
-                   .filter(F.col("rank") <= children))
-        result.append(parents)
-    return reduce(DataFrame.unionByName, result).select("depth", *levels, "rank", "negative_mentions")
+              .agg(F.sum("negative").alias("_n")).filter(F.col("_n") > 0)
+              .select(*[F.coalesce(F.col(c).cast("string"), F.lit("(blank)")).alias(c) for c in levels], "_n")).persist()
+    schema = ", ".join(["depth int", *[f"`{c}` string" for c in levels], "rank int", "negative_mentions long"])
+    try:
+        total = leaves.agg(F.sum("_n")).first()[0]
+        rows = [] if total is None else [(0, *[None] * len(levels), 1, total)]
+        kept: list[tuple] = []
+        for d in range(1, len(levels) + 1 if rows else 1):
+            path, above = list(levels[:d]), list(levels[:d - 1])
+            below = leaves
+            if above:
+                parents = spark.createDataFrame(kept, ", ".join(f"`{c}` string" for c in above))
+                below = leaves.join(F.broadcast(parents), above, "left_semi")
+            siblings = Window.partitionBy(*above).orderBy(F.desc("_n"), path[-1])
+            found = (below.groupBy(*path).agg(F.sum("_n").alias("_n")).withColumn("rank", F.row_number().over(siblings))
+                     .filter(F.col("rank") <= children).collect())
+            kept = [tuple(r[c] for c in path) for r in found]
+            rows += [(d, *own, *[None] * (len(levels) - d), r["rank"], r["_n"]) for own, r in zip(kept, found)]
+    finally:
+        leaves.unpersist()
+    return spark.createDataFrame(rows, schema)

@@ -26,8 +26,17 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def range_buckets(df: DataFrame, column: str, buckets: int = 256) -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000
+
+
+def bucket_count(df: DataFrame, least: int = 256) -> int:
+    """Buckets for the rows of a table; results do not depend on their number."""
+    return max(least, -(-df.count() // ROWS_PER_BUCKET))
+
+
+def range_buckets(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Add the bucket of a numeric column, cut at its approximate quantiles."""
+    buckets = buckets or bucket_count(df)
     numeric = df.select(F.col(column).cast("double").alias(column))
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(numeric.approxQuantile(column, probabilities, 0.5 / buckets)))
@@ -77,12 +86,12 @@ def running_total(df: DataFrame, measure: str, order: Sequence[Column | str], na
             .drop("_before", BUCKET))
 
 
-def surrogate_key(df: DataFrame, order: str, name: str = "row_id", buckets: int = 256) -> DataFrame:
+def surrogate_key(df: DataFrame, order: str, name: str = "row_id", buckets: int | None = None) -> DataFrame:
     """Sequential key from 1 in the order of a unique numeric column."""
     return number_rows(range_buckets(df, order, buckets), [order], name)
 
 
-def dense_rank(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFrame:
+def dense_rank(df: DataFrame, value: str, name: str, buckets: int | None = None) -> DataFrame:
     """Dense rank of the distinct values, highest first; NULL stays unranked."""
     distinct = df.select(value).filter(F.col(value).isNotNull()).distinct()
     ranked = number_rows(range_buckets(distinct, value, buckets),

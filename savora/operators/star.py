@@ -23,7 +23,6 @@ REVIEW_NAMES = {
     "source": "Fuente", "review_language": "Idioma", "word_count": "Palabras",
     "char_count": "Caracteres",
 }
-ASPECT_BUCKETS = {"positive": fixed.BUCKET_POSITIVE, "negative": fixed.BUCKET_NEGATIVE}
 
 _TYPES = {"Calificación": "double", "NivelPrecio": "double", "GrupoID": "bigint",
           "Fecha": "date", "CalificaciónReseña": "double", "Palabras": "bigint", "Caracteres": "bigint"}

@@ -7,6 +7,7 @@ from functools import reduce
 from typing import Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer)
 from pyspark.ml.functions import vector_to_array
@@ -61,13 +62,11 @@ def term_counts(df: DataFrame, id_column: str, body: str = "review_text",
     return df.select(id_column, F.inline(run_lengths(terms(F.col(body), stopwords))))
 
 
-def vocabulary(df: DataFrame, documents: Column, body: str = "review_text", min_df: int = MIN_DF,
-               max_df: float = MAX_DF, stopwords: Sequence[str] = fixed.MODEL_STOPWORDS) -> DataFrame:
-    """(term, df, idf) of the terms that are neither rare nor everywhere."""
-    distinct = df.select(F.explode(F.array_distinct(terms(F.col(body), stopwords))).alias("term"))
-    return (distinct.groupBy("term").agg(F.count("*").alias("df"))
+def vocabulary(counts: DataFrame, documents: int, min_df: int = MIN_DF, max_df: float = MAX_DF) -> DataFrame:
+    """(term, df, idf) of the terms that are neither rare nor everywhere; ``counts`` has one row per document and term."""
+    return (counts.groupBy("term").agg(F.count("*").alias("df"))
             .filter((F.col("df") >= min_df) & (F.col("df") <= documents * max_df))
-            .withColumn("idf", F.log((documents + 1.0) / (F.col("df") + 1.0)) + 1.0))
+            .withColumn("idf", F.log(F.lit(documents + 1.0) / (F.col("df") + 1.0)) + 1.0))
 
 
 def tfidf(df: DataFrame, id_column: str, body: str = "review_text", min_df: int = MIN_DF,
@@ -77,9 +76,8 @@ def tfidf(df: DataFrame, id_column: str, body: str = "review_text", min_df: int
     The join on the term may meet a term that a third of the documents use;
     adaptive execution splits that partition of the counts.
     """
-    counts = term_counts(df, id_column, body, stopwords)
-    documents = df.agg(F.count("*").cast("double").alias("n")).scalar()
-    known = vocabulary(df, documents, body, min_df, max_df, stopwords)
+    counts = term_counts(df, id_column, body, stopwords).persist(StorageLevel.DISK_ONLY)  # read twice: for the vocabulary and the weights
+    known = vocabulary(counts, df.count(), min_df, max_df)
     raw = counts.join(known, "term").select(
         id_column, "term", ((F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column)))
@@ -99,7 +97,8 @@ def sparse_vector(size: Column, indices: Column, values: Column) -> Column:
 
 
 TERMS, COUNTS = "_terms", "_tf"
-NO_CAP = 2147483647  # the vocabulary keeps every qualifying term
+NO_CAP = 2147483647  # the vocabulary keeps every qualifying term of the rows it is fitted on
+MAX_FIT_ROWS = 200_000  # labelled rows a model learns from: bounds its vocabulary and coefficients
 
 
 def with_terms(df: DataFrame, body: str = "review_text",
@@ -161,12 +160,15 @@ def predicted_class(score: Column, threshold: float) -> Column:
     return F.when(score >= threshold, MINORITY).otherwise(POSITIVE)
 
 
-def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual", c: float = 1.0,
-              **vectoriser_options) -> TextModel:
+def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual", c: float = 1.0, id_column: str = "review_id",
+              max_rows: int = MAX_FIT_ROWS, **vectoriser_options) -> TextModel:
     """L2 logistic regression with balanced class weights.
 
-    Spark averages the loss over the weights, so the penalty is 1 / (C * sum of weights).
+    Of more than ``max_rows`` rows it learns from a stratified sample, in the order of
+    a seeded digest of their id; scoring and evaluation take every row.  Spark averages the loss over the weights, so the penalty is 1 / (C * sum of weights).
     """
+    if id_column in train.columns:
+        train = splits.stratified_sample(train, label, id_column, max_rows)
     vectoriser, counted = fit_vectoriser(train, body, **vectoriser_options)
     counts = {r[label]: r["n"] for r in metrics.label_counts(counted, label).collect()}
     n = sum(counts.values())
@@ -220,7 +222,7 @@ def out_of_fold(df: DataFrame, id_column: str, k: int = 5, body: str = "review_t
     folded = splits.folds(rows, "actual", id_column, k).persist()
     parts = []
     for f in range(k):
-        model = fit_model(folded.filter(F.col("fold") != f), body, **options)
+        model = fit_model(folded.filter(F.col("fold") != f), body, id_column=id_column, **options)
         parts.append(model.score(folded.filter(F.col("fold") == f), body).drop(body))
     return reduce(DataFrame.unionByName, parts)
 
@@ -244,7 +246,6 @@ class Training:
     model: TextModel
     threshold: float
     results: DataFrame       # one row per approach
-    cross_validation: DataFrame
     terms: DataFrame
     distribution: DataFrame
 
@@ -257,7 +258,7 @@ def train_and_evaluate(df: DataFrame, id_column: str = "review_id", test_size: f
     train, test = splits.hold_out(data, "actual", id_column, test_size)
     train, test = train.persist(), test.persist()
     threshold = metrics.best_threshold(out_of_fold(train, id_column, body=body, **options)).first()["threshold"]
-    model = fit_model(train, body, **options)
+    model = fit_model(train, body, id_column=id_column, **options)
     scored = model.score(test, body).persist()
     area = metrics.roc_auc(scored)
     results = [
@@ -265,9 +266,7 @@ def train_and_evaluate(df: DataFrame, id_column: str = "review_id", test_size: f
         _named("model_half", scored.withColumn("predicted", predicted_class(F.col("score"), 0.5)), area),
         _named("lexicon_test", lexicon_predictions(test, lexicon, body)),
         _named("lexicon_all", lexicon_predictions(data, lexicon, body))]
-    return Training(model, threshold, reduce(DataFrame.unionByName, results),
-                    cross_validation(out_of_fold(data, id_column, body=body, **options)),
-                    influential_terms(model), metrics.label_counts(data))
+    return Training(model, threshold, reduce(DataFrame.unionByName, results), influential_terms(model), metrics.label_counts(data))
 
 
 def compare_approaches(df: DataFrame, id_column: str = "review_id", sample_size: int = 80,
@@ -279,7 +278,7 @@ def compare_approaches(df: DataFrame, id_column: str = "review_id", sample_size:
     """
     data = with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS).persist()
     sample = splits.stratified_sample(data, "actual", id_column, sample_size).persist()
-    model = fit_model(splits.rows_outside(data, sample, id_column), body, **options)
+    model = fit_model(splits.rows_outside(data, sample, id_column), body, id_column=id_column, **options)
     judged = [("lexicon", lexicon_predictions(sample, lexicon, body)), ("supervised", model.predict(sample, body=body))]
     if responses is not None:
         judged.append(("external", external_predictions(sample, responses, id_column, lexicon.aspect_names)))

@@ -54,7 +54,10 @@ def deduplicate_reviews(df: DataFrame, order: str = "row_idx",
 
 def remove_duplicates(df: DataFrame, subset: Sequence[str] = ("restaurant_id", "review_text"),
                       order: str = "row_idx") -> DataFrame:
-    return keep_first(df, list(subset), [order])
+    """Keep the first row of every combination of values; strings are compared by their digest."""
+    kinds = dict(df.dtypes)
+    keys = {f"_key_{c}": F.unhex(F.sha2(c, 256)) if kinds[c] == "string" else F.col(c) for c in subset}
+    return keep_first(df.withColumns(keys), list(keys), [order]).drop(*keys)
 
 
 def fill_metadata(df: DataFrame, columns: Sequence[str] = schemas.META_COLUMNS,
@@ -77,10 +80,11 @@ def fill_metadata(df: DataFrame, columns: Sequence[str] = schemas.META_COLUMNS,
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}"))])
     chunks = Window.partitionBy(entity).orderBy("_chunk")
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    later = chunks.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # the first value from here on is the last one met in reversed order: a growing frame, computed once
+    later = Window.partitionBy(entity).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = ends.select(entity, "_chunk", *[
         F.coalesce(F.last(f"_last_{c}", ignorenulls=True).over(earlier),
-                   F.first(f"_first_{c}", ignorenulls=True).over(later)).alias(f"_carried_{c}")
+                   F.last(f"_first_{c}", ignorenulls=True).over(later)).alias(f"_carried_{c}")
         for c in present])
 
     inside = (Window.partitionBy(entity, "_chunk").orderBy(order)

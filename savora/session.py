@@ -1,12 +1,8 @@
-"""Session defaults and the one place that decides where lineage may be cut."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-CHECKPOINT_DIR = "spark.checkpoint.dir"
+from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "savora", **conf: str) -> SparkSession:
@@ -23,21 +19,3 @@ def build_session(app_name: str = "savora", **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
-
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``.
-    Only a local session without that setting gets a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        configured = spark.conf.get(CHECKPOINT_DIR, None)
-        if not configured:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-            configured = tempfile.mkdtemp(prefix="savora-checkpoint-")
-        context.setCheckpointDir(configured)
-    return df.checkpoint(eager=True)

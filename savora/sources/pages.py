@@ -146,15 +146,22 @@ def card_reviews(html: Column) -> Column:
     return F.filter(found, lambda r: F.length(r["review_text"]) >= MIN_REVIEW_LENGTH)
 
 
+MACHINE_DATE = r"""(?is)(<meta\b[^>]*\bitemprop\s*=\s*["']datePublished["'][^>]*>|<time\b[^>]*\bdatetime\s*=[^>]*>)"""
+# a time element, or one whose class holds "date" or is "time", and what is inside it
+SHOWN_DATE = (r"""(?is)<(?:(time)\b[^>]*|(\w+)\b[^>]*\bclass\s*=\s*["'](?:[^"']*date[^"']*|(?:[^"']*\s)?time(?:\s[^"']*)?)["'][^>]*)>"""
+              r"""(.*?)</(?:\1|\2)\s*>""")
+
+
 def review_date(block: Column) -> Column:
-    """Machine-readable date, else an ISO date in the text, else a short text."""
-    machine = F.coalesce(_attribute(_tag_with(block, r"""(?<=<meta)[^>]*itemprop\s*=\s*["']datePublished["']"""), "content"),
-                         _attribute(_tag_with(block, r"(?<=<time)[^>]*\bdatetime\s*="), "datetime"))
-    shown = blank_to_null(inner_text(_body_of(block, r"""\bclass\s*=\s*["'][^"']*date[^"']*["']""")))
-    shown = F.coalesce(shown, blank_to_null(inner_text(_body_of(block, _class("time")))),
-                       blank_to_null(inner_text(F.regexp_extract(block, r"(?is)<time\b[^>]*>(.*?)</time>", 1))))
-    iso = blank_to_null(F.regexp_extract(shown, r"\d{4}-\d{2}-\d{2}", 0))
-    return F.coalesce(F.substring(machine, 1, 10), iso, F.when(F.length(shown) <= 40, shown))
+    """Machine-readable date, else of the shown elements the first with an ISO date or a short text."""
+    tag = F.regexp_extract(block, MACHINE_DATE, 1)
+    machine = F.coalesce(_attribute(tag, "content"), _attribute(tag, "datetime"))
+
+    def shown(body: Column) -> Column:
+        iso = blank_to_null(F.regexp_extract(body, r"\d{4}-\d{2}-\d{2}", 0))
+        return F.coalesce(iso, F.when(F.length(body) <= 40, blank_to_null(body)))
+    bodies = F.transform(F.regexp_extract_all(block, F.lit(SHOWN_DATE), F.lit(3)), lambda x: shown(inner_text(x)))
+    return F.coalesce(F.substring(machine, 1, 10), F.get(F.array_compact(bodies), F.lit(0)))
 
 
 # --- JSON-LD -----------------------------------------------------------------

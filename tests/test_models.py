@@ -176,11 +176,19 @@ def test_train_and_evaluate(labelled):
     rows = {r.approach: r for r in out.results.collect()}
     assert rows["model_half"].accuracy == 1.0 and rows["model_half"].auc == 1.0
     assert rows["lexicon_all"].tp + rows["lexicon_all"].fn == 15
-    assert out.cross_validation.first().folds == 5
+    assert textmodel.cross_validation(textmodel.out_of_fold(textmodel.labelled_reviews(labelled), "review_id")).first().folds == 5
     words = {r.label: r.term for r in out.terms.filter("rank <= 3").collect()}
     assert set(words) == {"positiva", "no positiva"}
 
 
+def test_fit_is_bounded_and_scores_all_rows(labelled):
+    data = textmodel.labelled_reviews(labelled)
+    model = textmodel.fit_model(data, max_rows=20)
+    assert model.score(data).count() == 45
+    full = textmodel.fit_model(data)
+    assert set(model.vectoriser.counter.vocabulary) <= set(full.vectoriser.counter.vocabulary)
+
+
 def test_compare_approaches(spark, labelled):
     answers = spark.createDataFrame([(i, '{"comida": "negative"}') for i in range(0, 45, 2)], "review_id long, response string")
     rows = {r.approach: r for r in textmodel.compare_approaches(labelled, sample_size=20, responses=answers).collect()}

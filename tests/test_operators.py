@@ -10,10 +10,10 @@ from savora.operators.explore import Filters
 from savora.operators.recommend import Preferences
 
 SOURCES = [
-    ("dg_1", "Salsipuedes Restaurant", "La comida estuvo excelente", "a", "Panameña", None),
-    ("rg_abc", "Salsipuedes  Restaurante", "El servicio fue lento de verdad", "b", None, "$$"),
-    ("dg_2", "Otro Lugar", "Muy bueno todo el menu", "a", "Italiana", "$"),
-    ("rg_abc", "Salsipuedes Restaurante", "la comida estuvo excelente!", "b", None, "$$")]
+    ("dg_1", "Faro Azul Restaurant", "Pan tibio y queso de cabra", "a", "Panameña", None),
+    ("rg_abc", "Faro  Azul Restaurante", "Media hora hasta la carta", "b", None, "$$"),
+    ("dg_2", "La Veleta", "Ñoquis como los de casa", "a", "Italiana", "$"),
+    ("rg_abc", "Faro Azul Restaurante", "pan tibio y QUESO de cabra...", "b", None, "$$")]
 SOURCE_SCHEMA = "restaurant_id string, restaurant_name string, review_text string, source string, category string, price_range string"
 
 
@@ -28,23 +28,23 @@ def test_unify_and_fill(frame):
     rows = out.collect()
     assert len({r.restaurant_id for r in rows}) == 2
     assert {r.source_restaurant_id for r in rows} == {"dg_1", "rg_abc", "dg_2"}
-    assert all(r.price_range for r in rows if r.restaurant_key == "salsipuedes")
+    assert all(r.price_range for r in rows if r.restaurant_key == "faro azul")
     assert set(schemas.META_COLUMNS) <= set(out.columns)
 
 
 def test_shared_entities(frame):
     rows = unify.shared_entities(unify.unify_restaurants(frame(SOURCES, SOURCE_SCHEMA))).collect()
-    assert [(r.restaurant_key, r.source_ids) for r in rows] == [("salsipuedes", 2)]
+    assert [(r.restaurant_key, r.source_ids) for r in rows] == [("faro azul", 2)]
 
 
 def test_deduplicate(frame):
-    df = frame([("r1", "La comida estuvo excelente"), ("r1", "la comida estuvo excelente!"), ("r2", "La comida estuvo excelente"), ("r1", "ok")],
+    df = frame([("r1", "Pan tibio y queso de cabra"), ("r1", "pan tibio y QUESO de cabra..."), ("r2", "Pan tibio y queso de cabra"), ("r1", "ok")],
                "restaurant_id string, review_text string")
     assert sorted(r.row_idx for r in unify.deduplicate_reviews(df).collect()) == [0, 2]
 
 
 def test_deduplicate_limits_groups_before_the_shuffle(frame):
-    df = frame([("r1", "La comida estuvo excelente")], "restaurant_id string, review_text string")
+    df = frame([("r1", "Pan tibio y queso de cabra")], "restaurant_id string, review_text string")
     assert plan_of(unify.deduplicate_reviews(df)).count("WindowGroupLimit") == 2
 
 
@@ -112,11 +112,11 @@ def test_no_window_runs_over_a_whole_table(spark):
 # --- filters and aspects -----------------------------------------------------
 
 FILTER_ROWS = [
-    ("r1", "Sushi Uno", "Japonesa, Sushi", "Japonesa", "$$", "Obarrio", 4.9, "a", 1.0, 1.0, True, True),
-    ("r1", "Sushi Uno", "Japonesa, Sushi", "Japonesa", "$$", "Obarrio", 4.9, "b", 1.0, 0.0, True, False),
-    ("r2", "Pizza Nova", "Italiana", "Italiana", "$", "Marbella", 4.1, "c", 0.0, 0.0, True, False),
-    ("r3", "Cafe Central", "Cafe", "Cafe", "$", "Obarrio", 3.2, "d", -1.0, 0.0, True, False),
-    ("r3", "Cafe Central", "Cafe", "Cafe", "$", "Obarrio", 3.2, "e", -1.0, 0.0, False, False)]
+    ("r1", "Kai Ramen", "Japonesa, Sushi", "Japonesa", "$$", "Puerto", 4.9, "a", 1.0, 1.0, True, True),
+    ("r1", "Kai Ramen", "Japonesa, Sushi", "Japonesa", "$$", "Puerto", 4.9, "b", 1.0, 0.0, True, False),
+    ("r2", "Forno Sud", "Italiana", "Italiana", "$", "Colina", 4.1, "c", 0.0, 0.0, True, False),
+    ("r3", "Grano Fino", "Cafe", "Cafe", "$", "Puerto", 3.2, "d", -1.0, 0.0, True, False),
+    ("r3", "Grano Fino", "Cafe", "Cafe", "$", "Puerto", 3.2, "e", -1.0, 0.0, False, False)]
 FILTER_SCHEMA = ("restaurant_id string, restaurant_name string, category string, category_primary string, price_band string, location string, overall_rating double, "
                  "review_text string, sentiment_comida_score double, sentiment_precio_score double, mentions_comida boolean, mentions_precio boolean")
 
@@ -133,7 +133,7 @@ def test_search(reviews, query, count):
 
 def test_filters_compose(reviews):
     assert explore.apply_filters(reviews, Filters()).count() == 5
-    assert explore.apply_filters(reviews, Filters(zone="Obarrio", min_rating=4.0)).count() == 2
+    assert explore.apply_filters(reviews, Filters(zone="Puerto", min_rating=4.0)).count() == 2
     assert explore.apply_filters(reviews, Filters(category="Cafe", price="$")).count() == 2
 
 
@@ -166,10 +166,10 @@ def test_directory(frame):
 
 
 def test_labels(spark):
-    df = spark.createDataFrame([(None, "Sin Nota", None), (4.9, "Sushi Uno", 5)], "rating double, name string, n long")
+    df = spark.createDataFrame([(None, "Sin Nota", None), (4.9, "Kai Ramen", 5)], "rating double, name string, n long")
     short = [r.x for r in df.select(explore.restaurant_label(F.col("rating"), F.col("name")).alias("x")).collect()]
-    assert short == ["s/c - Sin Nota", "4.9 - Sushi Uno"]
-    assert df.select(explore.restaurant_label(F.col("rating"), F.col("name"), F.col("n")).alias("x")).collect()[1].x == "4.9 - Sushi Uno (5 reseñas)"
+    assert short == ["s/c - Sin Nota", "4.9 - Kai Ramen"]
+    assert df.select(explore.restaurant_label(F.col("rating"), F.col("name"), F.col("n")).alias("x")).collect()[1].x == "4.9 - Kai Ramen (5 reseñas)"
 
 
 # --- quality -----------------------------------------------------------------
@@ -189,7 +189,7 @@ def test_no_sentiment_nothing_suspicious(frame):
 # --- digest ------------------------------------------------------------------
 
 def test_digest(frame):
-    df = frame([("r1", "Uno", "texto secreto", 4.5, "a", "Italiana", "Obarrio", "$", 1.0, True), ("r1", "Uno", "texto secreto", 4.5, "b", "Italiana", "Obarrio", "$", 1.0, True),
+    df = frame([("r1", "Uno", "texto secreto", 4.5, "a", "Italiana", "Puerto", "$", 1.0, True), ("r1", "Uno", "texto secreto", 4.5, "b", "Italiana", "Puerto", "$", 1.0, True),
                 ("r2", "Dos", "texto secreto", 4.0, "a", "Cafe", None, "$", 0.0, False)],
                "restaurant_id string, restaurant_name string, review_text string, overall_rating double, source string, category_primary string, location string, price_band string, sentiment_comida_score double, mentions_comida boolean")
     text = explore.digest_text(explore.digest(df)).first().digest
@@ -201,9 +201,9 @@ def test_digest(frame):
 
 # --- recommend ---------------------------------------------------------------
 
-SCORING = [("r1", "Sushi Uno", "Japonesa", "Desde $25 hasta $35", "Obarrio", 4.9, "t", 0.9, 0.8, -0.5, 0.6),
-           ("r2", "Pizza Nova", "Italiana", "Desde $15 hasta $25", "Marbella", 4.2, "t", 0.4, 0.3, 0.4, 0.2),
-           ("r3", "Cafe Central", "Cafe", "Hasta $15", "Obarrio", 4.0, "t", 0.1, 0.2, 0.9, 0.1)]
+SCORING = [("r1", "Kai Ramen", "Japonesa", "Desde $25 hasta $35", "Puerto", 4.9, "t", 0.9, 0.8, -0.5, 0.6),
+           ("r2", "Forno Sud", "Italiana", "Desde $15 hasta $25", "Colina", 4.2, "t", 0.4, 0.3, 0.4, 0.2),
+           ("r3", "Grano Fino", "Cafe", "Hasta $15", "Puerto", 4.0, "t", 0.1, 0.2, 0.9, 0.1)]
 
 
 @pytest.fixture
@@ -217,19 +217,19 @@ def ranked(df, **wanted):
 
 
 def test_recommendations(restaurants):
-    full = ranked(restaurants, category="japonesa", max_price="Desde $25 hasta $35", location="Obarrio", priority_aspects=["comida"])
-    assert full[0][0] == "Sushi Uno" and full[0][1] >= 80
+    full = ranked(restaurants, category="japonesa", max_price="Desde $25 hasta $35", location="Puerto", priority_aspects=["comida"])
+    assert full[0][0] == "Kai Ramen" and full[0][1] >= 80
     assert all(0 <= s <= 100 for _, s in full) and [s for _, s in full] == sorted((s for _, s in full), reverse=True)
     budget = dict(ranked(restaurants, max_price="Hasta $15"))
-    assert budget["Cafe Central"] > budget["Sushi Uno"]
-    assert dict(ranked(restaurants, location="Marbella"))["Pizza Nova"] > dict(ranked(restaurants))["Pizza Nova"] - 1e-9
-    assert ranked(restaurants, priority_aspects=["precio"])[0][0] != "Sushi Uno"
-    assert ranked(restaurants, priority_aspects=["comida"])[0][0] == "Sushi Uno"
+    assert budget["Grano Fino"] > budget["Kai Ramen"]
+    assert dict(ranked(restaurants, location="Colina"))["Forno Sud"] > dict(ranked(restaurants))["Forno Sud"] - 1e-9
+    assert ranked(restaurants, priority_aspects=["precio"])[0][0] != "Kai Ramen"
+    assert ranked(restaurants, priority_aspects=["comida"])[0][0] == "Kai Ramen"
 
 
 def test_match_score_by_hand(restaurants):
     # (3 category + 2 * (1 - 2/3) price + 2 zone + 2 * 4.9 / 5 rating) of 9
-    assert dict(ranked(restaurants, category="japonesa", max_price="$", location="obarrio"))["Sushi Uno"] == 84.7
+    assert dict(ranked(restaurants, category="japonesa", max_price="$", location="puerto"))["Kai Ramen"] == 84.7
 
 
 def test_explanation(restaurants):

@@ -171,10 +171,3 @@ def test_batch_chain(spark, sources):
     assert rows[1].sentiment_servicio == "negative"
     assert "review_count" in featured.columns
     assert all(r.price_range is None for r in rows)
-
-
-def test_checkpoint_uses_the_configured_folder(spark):
-    from savora.session import materialise
-    df = materialise(spark.range(5))
-    assert df.count() == 5
-    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") in spark.sparkContext.getCheckpointDir()
