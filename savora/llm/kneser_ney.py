@@ -10,8 +10,9 @@ and are broadcast.  Each task sends the grams of a chunk of documents with their
 back one sum per document and shard.  Shards are replicated as the number of chunks grows, so a frequent pair of symbols
 meets in several tasks.
 
-A document is kept if its perplexity is at most the ``quantile`` of the trusted texts of its language (of all trusted
-texts, if its language has none).
+A document is kept if its perplexity is at most ``slack`` times the ``quantile`` of trusted texts of its language that the model
+has not seen (of all languages, if its own has none): one in ``held_out`` trusted texts, by the hash of its id, is kept from
+training for that, since a model finds what it has learnt from less surprising.
 
 Defined cases: a null or empty text has no perplexity and is not kept; without trusted texts every symbol is equally likely and nothing
 is rejected; null languages are one language; each row is scored apart, also rows of equal or null ids; repeated labels of an id count once, and a
@@ -34,6 +35,8 @@ SYMBOLS = 1024
 DIRECT = 0x250
 BITS = 10
 QUANTILE = 0.99
+SLACK = 1.25
+HELD_OUT = 5
 CHUNK_CHARS = 4 << 20
 CHUNK_DOCS = 4096
 GRAMS_PER_SHARD = 250_000
@@ -285,18 +288,24 @@ RETURNED = "chunk bigint, data binary, ids array<bigint>, langs array<string>, s
 RETURNED_ARROW = pa.schema([("chunk", pa.int64()), ("data", pa.binary()), ("ids", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64()))])
 
 
-def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """``(doc_id, lang, n_symbols, perplexity, threshold, kept)`` of each row of ``(doc_id, lang, text)``; ``trusted`` holds ids."""
+def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, slack: float = SLACK, held_out: int = HELD_OUT) -> DataFrame:
+    """``(doc_id, lang, n_symbols, perplexity, threshold, kept)`` of each row of ``(doc_id, lang, text)``; ``trusted`` holds ids.
+
+    With ``held_out`` 0 the model learns from all trusted texts and the quantiles are theirs.
+    """
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
-    if ids.count() <= BROADCAST_ROWS:  # else Spark shuffles both sides, with the same result
-        ids = F.broadcast(ids)
+    few = ids.count() <= BROADCAST_ROWS  # else Spark shuffles both sides, with the same result
+    apart = F.pmod(F.xxhash64("doc_id"), F.lit(held_out or 1)) == 0
+    learnt, unseen = (ids, ids) if not held_out else (ids.filter(~apart), ids.filter(apart))
+    learnt, unseen = (F.broadcast(x) if few else x for x in (learnt, unseen))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    counts = count_grams(rows.join(ids, "doc_id", "left_semi").select("text"))
+    counts = count_grams(rows.join(learnt, "doc_id", "left_semi").select("text"))
     scored = stored(log_probabilities(rows, counts).withColumn(
         "perplexity", F.when(F.col("size") > 0, F.exp(-F.col("log_probability") / F.col("size")))), "perplexity")
-    known = scored.join(ids, "doc_id", "left_semi").filter("size > 0")
-    limits = known.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("own"))
-    overall = known.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
+    known = scored.join(unseen, "doc_id", "left_semi").filter("size > 0")
+    limit = F.percentile_approx("perplexity", quantile, 10_000) * slack
+    limits = known.groupBy("lang").agg(limit.alias("own"))
+    overall = known.agg(limit).first()[0]
     limited = scored.join(limits.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
     return limited.select("doc_id", "lang", F.col("size").alias("n_symbols"), "perplexity", threshold.alias("threshold"),

@@ -87,7 +87,7 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     members = (path_nodes(messages).join(messages, ["tree_key", "node"])
                .groupBy("tree_key", "leaf")
                .agg(F.first("tree").alias("tree"), F.avg(F.coalesce("score", F.lit(0.0))).alias("score"),
-                    F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("at"), "role", "text"))).alias("turns")))
+                    F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("at"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns")))
     best = Window.partitionBy("tree_key").orderBy(F.col("score").desc(), "leaf")
     return (members.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= branches)
             .select("tree", "rank", F.transform("turns", lambda t: F.struct(t["role"], t["text"])).alias("turns")))
