@@ -116,7 +116,26 @@ def identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-BLOCKS = "key bigint, whole bigint, mark bigint, id bigint, first bigint, last bigint, ahead int"
+BLOCKS = "key bigint, whole bigint, mark bigint, id bigint, first bigint, last bigint, ahead int, n bigint, more array<struct<first:bigint,last:bigint>>"
+BLOCKS_ARROW = pa.schema([*((c, pa.int64()) for c in ("key", "whole", "mark", "id", "first", "last")), ("ahead", pa.int32()), ("n", pa.int64()),
+                          ("more", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))])
+
+
+def collapsed(key: np.ndarray, whole: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Of blocks of one text that agree in both digits the first stays: (rows that stay, number of blocks, all their ranges, joined).
+
+    Text that repeats itself at short distance has a block for every few bytes, all alike.
+    """
+    order = np.lexsort((first, whole, key))
+    fresh = np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (whole[order][1:] != whole[order][:-1])))
+    cuts = np.append(np.flatnonzero(fresh), len(order))
+    counts, more = np.diff(cuts), [None] * (len(cuts) - 1)
+    for g in np.flatnonzero(counts > 1).tolist():
+        own = order[cuts[g]:cuts[g + 1]]
+        apart = np.flatnonzero(first[own][1:] > last[own][:-1] + 1)
+        begin, end = np.concatenate(([0], apart + 1)), np.append(apart, len(own) - 1)
+        more[g] = [{"first": a, "last": z} for a, z in zip(first[own[begin]].tolist(), last[own[end]].tolist())]
+    return order[cuts[:-1]], counts, more
 
 
 def suffix_blocks(rows: DataFrame, depth: int) -> DataFrame:
@@ -128,10 +147,15 @@ def suffix_blocks(rows: DataFrame, depth: int) -> DataFrame:
             for row, at, data in [*pieces(part.column(2)), (-1, 0, None)]:
                 if data is not None and len(data) >= depth:
                     key, whole, first, last, ahead = blocks_of(data, depth)
-                    held.append((key.view(np.int64), whole.view(np.int64), np.full(len(key), marks[row]), np.full(len(key), ids[row]), first + at, last + at, ahead.astype(np.int32)))
-                    size += len(key)
+                    first, last = first + at, last + at
+                    kept, counts, more = collapsed(key, whole, first, last)
+                    held.append((key[kept].view(np.int64), whole[kept].view(np.int64), np.full(len(kept), marks[row]), np.full(len(kept), ids[row]),
+                                 first[kept], last[kept], ahead[kept].astype(np.int32), counts, more))
+                    size += len(kept)
                 if held and (row < 0 or size > 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], [f.split()[0] for f in BLOCKS.split(", ")])
+                    columns = [pa.array(np.concatenate(x)) for x in list(zip(*held))[:-1]]
+                    lists = pa.array([m for h in held for m in h[-1]], BLOCKS_ARROW.field("more").type)
+                    yield pa.RecordBatch.from_arrays([*columns, lists], schema=BLOCKS_ARROW)
                     held, size = [], 0
     return rows.mapInArrow(batches, BLOCKS)
 
@@ -231,11 +255,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(mark, id, spans)``: byte ranges covered by repeated strings, for the rows that have any."""
     rows = identified(docs, doc_id, text)
     blocks = suffix_blocks(rows, depth)
-    shared = blocks.select("key").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = blocks.select("key", "n").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     again = stored(blocks.join(shared, "key"), "blocks")
-    alike = again.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(F.struct("mark", "id", "first", "last", "ahead")).alias("one"))
+    alike = again.groupBy("key", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("mark", "id", "first", "last", "ahead")).alias("one"))
     alike = stored(alike, "alike")
-    decided = again.join(alike.filter("n > 1").select("key", "whole"), ["key", "whole"]).select("mark", "id", "first", "last")
+    own = F.coalesce("more", F.array(F.struct("first", "last")))
+    decided = (again.join(alike.filter("n > 1").select("key", "whole"), ["key", "whole"]).select("mark", "id", F.explode(own).alias("range"))
+               .select("mark", "id", "range.first", "range.last"))
     # one block of each kind stands for its kind
     kinds = alike.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     undecided = alike.join(kinds, "key").select("key", "kinds", F.least("n", F.lit(2)).cast("long").alias("n"), "one.*")
