@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by the name of their kind in brackets; every document stays."""
-    clean = secret_novelty.redact(secret_novelty.scan(_packed(docs)))
+    clean = secret_novelty.redact(_packed(docs))
     return _unpacked(clean, docs.columns, F.col("text"))
 
 

@@ -163,7 +163,7 @@ class SpeculativeBpe:
         if len(new):
             keys = distinct[new]
             fits[new] = self._first_merge(keys // self.n, keys % self.n) == NEVER
-            if len(self.known) > REMEMBERED_WORDS:
+            if len(self.known) > REMEMBERED_WORDS // 3:
                 self.known.clear()
             self.known.update(zip(keys.tolist(), fits[new].tolist()))
         good[owner[1:][inside][~fits.astype(bool)[which]]] = False

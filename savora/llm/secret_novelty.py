@@ -103,13 +103,12 @@ def scan(docs: DataFrame, text: str = "text", threshold: float = NOVELTY) -> Dat
     return docs.mapInArrow(batches, shape)
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Replace the text under ``spans`` by ``[KIND]``; overlapping spans are replaced together."""
+def redact(docs: DataFrame, text: str = "text", threshold: float = NOVELTY) -> DataFrame:
+    """Replace every span in the text by ``[KIND]``; overlapping spans are replaced together."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             names = part.schema.names
-            texts, spans = part.column(names.index(text)).to_pylist(), part.column(names.index("spans")).to_pylist()
-            clean = pa.array([t if not s else cut(t, s) for t, s in zip(texts, spans)], pa.string())
+            clean = pa.array([t and cut(t, scan_text(t, threshold)) for t in part.column(names.index(text)).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([clean if n == text else part.column(i) for i, n in enumerate(names)], names)
     return docs.mapInArrow(batches, docs.schema)
 

@@ -43,6 +43,7 @@ FREQUENT_SHARE = 2000
 KEYS_PER_BUCKET = 1 << 19
 BATCH_LEAST = 4
 BROADCAST_ROWS = 1_000_000
+REMEMBERED_PAIRS = 500_000
 
 
 def least_overlap(size: np.ndarray, threshold: int) -> np.ndarray:
@@ -276,9 +277,12 @@ def dual_traversal(one: SignatureTree, other: SignatureTree | None, threshold: i
 
 
 def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs ``(u, v)`` of every tile: rows ``(tile, side, rep, label, n, bitmap)``; a tile with two sides is searched across."""
+    """Candidate pairs ``(u, v)`` of every tile: rows ``(tile, side, rep, label, n, bitmap, route)``; a tile with two sides is searched across.
+
+    Similar members meet in many tiles.  Tiles of one ``route``, their smallest members, go to one task, which gives a pair once.
+    """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, held = None, []
+        tile, route, held, given = None, None, [], set()
 
         def close() -> Iterator[pa.RecordBatch]:
             side, rep, label, n = (np.concatenate([h[i] for h in held]) for i in range(4))
@@ -298,25 +302,33 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
                             continue
                         left = tree(x, two)
                         for i, j in dual_traversal(left, None if one == two and not across else tree(y, two), threshold):
-                            u, v = rep[x[i]], rep[y[j]]
-                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                            pairs = set(zip(np.minimum(rep[x[i]], rep[y[j]]).tolist(), np.maximum(rep[x[i]], rep[y[j]]).tolist())) - given
+                            if len(given) > REMEMBERED_PAIRS:  # only a pair given twice can come of it
+                                given.clear()
+                            given.update(pairs)
+                            if pairs:
+                                u, v = zip(*pairs)
+                                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
         for part in parts:
-            names = part.column(0).to_numpy()
+            tiles = part.column(0).to_numpy()
             columns = [part.column(i).to_numpy() for i in range(1, 5)]
-            maps = part.column(5).to_pylist()
-            cuts = np.concatenate(([0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]))
+            maps, routes = part.column(5).to_pylist(), part.column(6).to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(tiles[1:] != tiles[:-1]) + 1, [len(tiles)]))
             for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if z > a:
-                    if names[a] != tile and held:
+                    if tiles[a] != tile and held:
                         yield from close()
                         held = []
-                    tile = names[a]
+                    if routes[a] != route:
+                        route = routes[a]
+                        given.clear()
+                    tile = tiles[a]
                     held.append([*(c[a:z] for c in columns), maps[a:z]])
         if held:
             yield from close()
-    dealt = (members.select("tile", F.col("side").cast("long"), "rep", "label", "n", "bitmap")
-             .repartition("tile").sortWithinPartitions("tile"))
+    dealt = (members.select("tile", F.col("side").cast("long"), "rep", "label", "n", "bitmap", "route")
+             .repartition("route").sortWithinPartitions("route", "tile"))
     return dealt.mapInArrow(batches, "u bigint, v bigint").distinct()
 
 
@@ -394,16 +406,19 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     labelled = stored(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                       .select("group", "key", "rep", F.coalesce("component", "rep").alias("label")), "labelled")
-    one = F.struct(F.col("key").isNull().alias("whole"), F.coalesce("key", "group").alias("name"))
-    mixed = (labelled.select(one.alias("one"), "group", "label").groupBy("one").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.collect_set("group").alias("groups"))
-             .filter("a <> b").select("groups"))
+    name = F.xxhash64(F.col("key").isNull(), F.coalesce("key", "group"))
+    labelled = labelled.withColumn("name", name)
+    mixed = (labelled.groupBy("name").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.collect_set("group").alias("groups"))
+             .filter("a <> b").select("name", "groups"))
     # each part of a key with itself and with every later part
-    pairs_of = mixed.select(F.explode("groups").alias("one"), "groups").select("one", F.explode("groups").alias("two")).filter("one <= two")
-    sides = (pairs_of.withColumn("tile", F.xxhash64("one", "two"))
-             .select("tile", F.explode(F.when(F.col("one") == F.col("two"), F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("group"))))
-                                       .otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("one").alias("group")),
-                                                          F.struct(F.lit(1).alias("side"), F.col("two").alias("group"))))).alias("x")).select("tile", "x.*"))
-    tiles = sides.join(labelled, "group").join(maps, "rep").select("tile", "side", "rep", "label", "n", "bitmap")
+    smallest = centres.select("group", F.col("u").alias("smallest"))
+    parts = mixed.select("name", F.explode("groups").alias("one"), "groups").select("name", "one", F.explode("groups").alias("two")).filter("one <= two")
+    side = [F.struct(F.lit(i).alias("side"), F.col(c).alias("group")) for i, c in enumerate(("one", "two"))]
+    sides = (parts.join(smallest.select(F.col("group").alias("one"), F.col("smallest").alias("s1")), "one")
+             .join(smallest.select(F.col("group").alias("two"), F.col("smallest").alias("s2")), "two")
+             .withColumns({"tile": F.xxhash64("name", "one", "two"), "route": F.xxhash64("s1", "s2")})
+             .select("tile", "route", F.explode(F.when(F.col("one") == F.col("two"), F.array(side[0])).otherwise(F.array(*side))).alias("x")).select("tile", "route", "x.*"))
+    tiles = sides.join(labelled.drop("name"), "group").join(maps, "rep").select("tile", "side", "rep", "label", "n", "bitmap", "route")
     second = verified(tree_pairs(tiles, threshold), texts, classes, width, threshold)
     found = components(first.unionByName(second))
     by_class = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("low", "high", "n", F.coalesce("component", "rep").alias("component_id"))
@@ -414,9 +429,15 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each component: the one with the smallest id.  Rows without an id stay."""
-    found = similar_components(docs, doc_id, text, **options)
-    kept = found.filter(F.col(doc_id) == F.col("component_id")).select(doc_id).distinct()
+    found = stored(similar_components(docs, doc_id, text, **options), "components")
+
+    def ids(rows: DataFrame) -> DataFrame:
+        rows = rows.select(doc_id)
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows  # beyond that Spark shuffles, with the same result
+    kept = ids(found.filter(F.col(doc_id) == F.col("component_id")).distinct())
+    repeated = ids(found.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).count().filter("count > 1"))
+    stay = docs.join(kept, doc_id, "left_semi")
+    whole = stay.join(repeated, doc_id, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), doc_id, text)
     first = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), doc_id, text)
-    one = whole.join(kept, doc_id, "left_semi").withColumn("_rank", first).filter("_rank = 1").select("_row.*")
-    return one.unionByName(docs.filter(F.col(doc_id).isNull()))
+    one = whole.withColumn("_rank", first).filter("_rank = 1").select("_row.*")
+    return stay.join(repeated, doc_id, "left_anti").select(docs.columns).unionByName(one).unionByName(docs.filter(F.col(doc_id).isNull()))

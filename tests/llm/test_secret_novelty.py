@@ -46,9 +46,9 @@ def test_scan_and_redact_rows(documents):
     assert len(rows) == len(TEXTS) + 3 and found.columns.count("spans") == 1
     for r in rows:
         assert [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] != "novel"] == by_hand(r["text"] or "")
-    clean = [r["text"] for r in sn.redact(found).filter("doc_id = 99").collect()]
+    clean = [r["text"] for r in sn.redact(docs).filter("doc_id = 99").collect()]
     assert clean == ["[ASSIGN]", "[ASSIGN]"]
-    assert sn.redact(found).filter("text IS NULL").count() == 2
+    assert sn.redact(docs).filter("text IS NULL").count() == 2
     assert sn.scan(documents([])).count() == 0
 
 
