@@ -73,7 +73,7 @@ def _escaped(column: str):
     return out
 
 
-def _review_pages(t):
+def _review_pages(t, gaps: bool = False):
     day = F.lpad((F.col("turn") % 28 + 1).cast("string"), 2, "0")
     review = F.concat(
         F.lit('<div class="r" itemprop="review"><span itemprop="author">'), "role", F.lit('</span><div itemprop="reviewRating"><meta itemprop="ratingValue" content="'),
@@ -81,13 +81,13 @@ def _review_pages(t):
     turns = t.conversations.select("conv_id", "turn", review.alias("r"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "r"))), lambda x: x["r"]), "\n")
     grouped = turns.groupBy("conv_id").agg(body.alias("b"))
-    # every fifth page has no reviews at all
-    return grouped.select(F.col("conv_id").alias("page_id"), F.col("conv_id").alias("restaurant_id"),
-                          F.when(F.col("conv_id") % 5 == 0, "<p>empty</p>").otherwise(F.col("b")).alias("html"))
+    # with gaps, every fifth page has no reviews at all
+    html = F.when(F.col("conv_id") % 5 == 0, "<p>empty</p>").otherwise(F.col("b")) if gaps else F.col("b")
+    return grouped.select(F.col("conv_id").alias("page_id"), F.col("conv_id").alias("restaurant_id"), html.alias("html"))
 
 
 REVIEWS_SQL = r"""reviews AS (SELECT conv_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS review_text, role AS reviewer_name, round(CAST((turn % 5) + 0.5 AS DOUBLE), 6) AS review_rating,
-  '2024-01-' || lpad(CAST(turn % 28 + 1 AS VARCHAR), 2, '0') AS review_date FROM conversations WHERE conv_id % 5 <> 0 AND length(trim(regexp_replace(text, '\s+', ' ', 'g'))) >= 10)"""
+  '2024-01-' || lpad(CAST(turn % 28 + 1 AS VARCHAR), 2, '0') AS review_date FROM conversations WHERE length(trim(regexp_replace(text, '\s+', ' ', 'g'))) >= 10)"""
 
 
 @query("s14_page_reviews", f"WITH {REVIEWS_SQL} SELECT * FROM reviews")
@@ -102,10 +102,10 @@ def _(t):
     return out.drop("page_id").withColumn("review_rating", r6("review_rating"))
 
 
-@query("s17_flatten_outer", f"""WITH {REVIEWS_SQL} SELECT 'ta_' || c.conv_id AS restaurant_id, review_text, review_rating, 'site' AS source
+@query("s17_flatten_outer", f"""WITH {REVIEWS_SQL.replace('WHERE length(', 'WHERE conv_id % 5 <> 0 AND length(')} SELECT 'ta_' || c.conv_id AS restaurant_id, review_text, review_rating, 'site' AS source
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN reviews USING (conv_id)""")
 def _(t):
-    out = pages.flatten_reviews(_review_pages(t), pages.microdata_reviews(F.col("html")), "site", "ta_", keep_empty=True)
+    out = pages.flatten_reviews(_review_pages(t, gaps=True), pages.microdata_reviews(F.col("html")), "site", "ta_", keep_empty=True)
     return out.select("restaurant_id", "review_text", r6("review_rating"), "source")
 
 

@@ -548,8 +548,7 @@ def _(t):
 
 # --- time --------------------------------------------------------------------
 
-# reviews of one cuisine and zone, thin enough to leave gaps between months
-THIN = "category_primary = 'BUILDING' AND location = 'NATION_4' AND price_level = 2"
+GAPS = "month(review_date) NOT IN (3, 4, 8)"  # months without reviews, in every year
 MONTHS_SQL = f"""daily AS (SELECT CAST(review_date AS DATE) AS d, count(*) AS n FROM scored WHERE review_date IS NOT NULL AND {{0}} GROUP BY 1),
 months AS (SELECT CAST(unnest(generate_series(date_trunc('month', min(d)), date_trunc('month', max(d)), INTERVAL 1 MONTH)) AS DATE) AS month FROM daily),
 volume AS (SELECT month, CAST(coalesce(sum(n), 0) AS BIGINT) AS reviews, count(d) AS active_days FROM months LEFT JOIN daily ON date_trunc('month', d) = month GROUP BY 1)"""
@@ -570,9 +569,9 @@ def _(t):
     return _trend(t, "true")
 
 
-@query("w05_volume_trend_with_gaps", f"WITH {MONTHS_SQL.format(THIN)} {TREND_SQL}", "scored")
+@query("w05_volume_trend_with_gaps", f"WITH {MONTHS_SQL.format(GAPS)} {TREND_SQL}", "scored")
 def _(t):
-    return _trend(t, THIN)
+    return _trend(t, GAPS)
 
 
 @query("w06_same_month_last_year", f"WITH {MONTHS_SQL.format('true')} SELECT month, reviews, nullif(lag(reviews, 12) OVER (ORDER BY month), 0) AS same_month_last_year FROM volume", "scored")
@@ -585,10 +584,10 @@ def _(t):
     return _trend(t, "true").select("month", "running_total")
 
 
-@query("w08_daily_moving_average", f"""WITH {MONTHS_SQL.format(THIN)}, spine AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
+@query("w08_daily_moving_average", f"""WITH {MONTHS_SQL.format(GAPS)}, spine AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
 SELECT day, round((SELECT sum(n) / count(*) FROM daily WHERE d > day - INTERVAL 3 MONTH AND d <= day), 6) AS moving_average FROM spine""", "scored")
 def _(t):
-    return timeseries.daily_moving_average(star.reviews(t.scored.filter(THIN))).select("day", r6("moving_average"))
+    return timeseries.daily_moving_average(star.reviews(t.scored.filter(GAPS))).select("day", r6("moving_average"))
 
 
 ASPECT_TREND = """
@@ -609,9 +608,9 @@ def _(t):
     return _aspect_trend(star.aspects(t.scored))
 
 
-@query("w13_monthly_series_with_gaps", ASPECT_TREND.format("AND \"RestauranteID\" IN ('r11', 'r22', 'r14')"), "aspects restaurants")
+@query("w13_monthly_series_with_gaps", ASPECT_TREND.format("AND month(\"Fecha\") NOT IN (3, 4, 8)"), "aspects restaurants")
 def _(t):
-    return _aspect_trend(star.aspects(t.scored).filter(F.col("RestauranteID").isin("r11", "r22", "r14")))
+    return _aspect_trend(star.aspects(t.scored).filter(~F.month("Fecha").isin(3, 4, 8)))
 
 
 @query("w13_monthly_volume", f"WITH {MONTHS_SQL.format('true')} SELECT * FROM volume", "scored")
