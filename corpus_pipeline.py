@@ -13,6 +13,8 @@ from savora.llm import bm25_wand, bpe_speculate, line_quality, secret_novelty, s
 from savora.llm.common import stored, table
 
 ROW = "_document"
+# workers live through all stages: what the last one remembers lies beside the memory of the others
+WORDS_IN_MEMORY = 100_000
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -51,7 +53,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text; a null text has none."""
-    encoded = bpe_speculate.encode(_packed(docs), public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe_speculate.encode(_packed(docs), public_tokenizers.path("word_bpe_49k.json"), remembered=WORDS_IN_MEMORY)
     kept = [F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_tokens", "ids")]
     return encoded.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids")
 

@@ -47,7 +47,9 @@ def byte_letters() -> list[str]:
 class SpeculativeBpe:
     """Encoder and decoder of one tokenizer file."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, remembered: int | None = None):
+        """``remembered`` bounds the words whose tokens are kept in memory between texts."""
+        self.remembered = remembered or REMEMBERED_WORDS
         model = spec["model"]
         pre = spec["pre_tokenizer"]["pretokenizers"]
         if (model["type"], spec["decoder"], spec["post_processor"], model["continuing_subword_prefix"], pre[0]["invert"]) != ("BPE", None, None, None, True):
@@ -163,7 +165,7 @@ class SpeculativeBpe:
         if len(new):
             keys = distinct[new]
             fits[new] = self._first_merge(keys // self.n, keys % self.n) == NEVER
-            if len(self.known) > REMEMBERED_WORDS // 3:
+            if len(self.known) > self.remembered // 3:
                 self.known.clear()
             self.known.update(zip(keys.tolist(), fits[new].tolist()))
         good[owner[1:][inside][~fits.astype(bool)[which]]] = False
@@ -188,7 +190,7 @@ class SpeculativeBpe:
             jobs.append([*parts, self.split(text[at:] if at else text)])
         new = {w for parts in jobs for p in parts if not isinstance(p, int) for w in p}.difference(self.words)
         if new:
-            if len(self.words) + len(new) > REMEMBERED_WORDS:
+            if len(self.words) + len(new) > self.remembered:
                 self.words.clear()
                 new = {w for parts in jobs for p in parts if not isinstance(p, int) for w in p}
             self._learn(new)
@@ -210,14 +212,14 @@ class SpeculativeBpe:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-_LOADED: dict[int, SpeculativeBpe] = {}
+_LOADED: dict[tuple, SpeculativeBpe] = {}
 
 
-def load(raw: bytes) -> SpeculativeBpe:
+def load(raw: bytes, remembered: int | None = None) -> SpeculativeBpe:
     """The tokenizer of a file's content, built once per process."""
-    key = hash(raw)
+    key = hash(raw), remembered
     if key not in _LOADED:
-        _LOADED[key] = SpeculativeBpe(json.loads(raw))
+        _LOADED[key] = SpeculativeBpe(json.loads(raw), remembered)
     return _LOADED[key]
 
 
@@ -238,12 +240,12 @@ def _mapped(docs: DataFrame, column: str, kind: str, arrow: pa.DataType, source:
     return docs.mapInArrow(batches, docs.drop(column).withColumn(column, F.lit(None).cast(kind)).schema)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Add ``ids``, the token ids of the whole text."""
+def encode(docs: DataFrame, path: str, text: str = "text", remembered: int | None = None) -> DataFrame:
+    """Add ``ids``, the token ids of the whole text.  Fewer ``remembered`` words take less memory and more time."""
     raw = read_file(docs.sparkSession, path)
 
     def convert(texts: pa.Array) -> pa.Array:
-        ids = load(raw.value).encode_batch([t or "" for t in texts.to_pylist()])
+        ids = load(raw.value, remembered).encode_batch([t or "" for t in texts.to_pylist()])
         offsets = np.zeros(len(ids) + 1, np.int32)
         np.cumsum([len(i) for i in ids], out=offsets[1:])
         flat = np.concatenate([np.array(i, np.int32) for i in ids]) if ids else np.zeros(0, np.int32)
