@@ -370,7 +370,7 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int,
                 yield piece.select([0, 1]).filter(pa.array(links, pa.bool_()))
     pairs = stored(pairs, "pairs")
     ends = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("rep"))
-    wanted = ends.select("rep").distinct()
+    wanted = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
     few = wanted.count() <= BROADCAST_ROWS  # else Spark shuffles both sides, with the same result
     expected = classes.join(wanted, "rep", "left_semi").groupBy("rep").agg(F.collect_list(F.struct("low", "high", "n")).alias("expected"))
     own = own_texts(texts.join(F.broadcast(expected) if few else expected, "rep").select("rep", "text", "expected"), width)
