@@ -180,16 +180,19 @@ MODEL, GRAMS, NAMES = 0, 1, 2
 
 
 def sent_chunks(docs: DataFrame, shards: int, replicas: int) -> DataFrame:
-    """Rows for the shards: the grams of each chunk of ``(doc_id, lang, text)``, and one row with the names of its documents."""
+    """Rows for the shards: the grams of each chunk of ``(doc_id, lang, text)``, and one row with the names of its documents.
+
+    A chunk is named by the partition and place of its first row, whatever it holds, so equal chunks stay apart, and a task that
+    runs again over the same rows sends the same names.
+    """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids, langs, texts = (part.column(i).to_pylist() for i in range(3))
+            names = byte_text.keys_of(part.column(3).to_numpy(), 32).view(np.int64)  # different places, different keys, evenly spread
             for a, z in chunk_texts(texts):
                 grams, owner = grams_of(texts[a:z])
                 sizes = np.bincount(owner, minlength=z - a)
-                # the name of a chunk follows its content, so a task that runs again sends the same chunks
-                name = byte_text.keys_of(np.array([hash((i or 0, n)) for i, n in zip(ids[a:z], sizes.tolist())], np.int64).view(np.uint64) + np.arange(z - a, dtype=np.uint64), 32)
-                chunk = int(name.sum(dtype=np.uint64).astype(np.int64))
+                chunk = int(names[a])
                 both, counts = np.unique((grams << 12) | owner, return_counts=True)
                 gram, doc = both >> 12, both & (CHUNK_DOCS - 1)
                 shard = shard_of(gram, shards)
@@ -205,7 +208,7 @@ def sent_chunks(docs: DataFrame, shards: int, replicas: int) -> DataFrame:
                     rows.append({"shard": s, "replica": replica, "kind": GRAMS, "chunk": chunk, "n": z - a, "data": pack(gram[own][fresh], runs, doc[own], counts[own])})
                 rows.append({"shard": chunk % shards, "replica": replica, "kind": NAMES, "chunk": chunk, "n": z - a, "ids": ids[a:z], "langs": langs[a:z], "sizes": sizes.tolist()})
                 yield pa.RecordBatch.from_pylist(rows, SENT_ARROW)
-    return docs.mapInArrow(batches, SENT)
+    return docs.withColumn("_place", F.monotonically_increasing_id()).mapInArrow(batches, SENT)
 
 
 def log_probabilities(docs: DataFrame, counts: DataFrame) -> DataFrame:
@@ -273,7 +276,7 @@ def log_probabilities(docs: DataFrame, counts: DataFrame) -> DataFrame:
                     names, sums = None, 0.0
                 chunk = r["chunk"]
                 if r["data"] is None:
-                    names = r if names is None else {k: names[k] + r[k] for k in ("ids", "langs", "sizes")}
+                    names = r
                 else:
                     sums = sums + np.frombuffer(r["data"], np.float64)
         if names:

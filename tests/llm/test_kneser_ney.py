@@ -60,6 +60,24 @@ def test_perplexity_matches_the_definition(spark, documents, monkeypatch):
         assert expected is None or abs(r["perplexity"] - expected) < 1e-6 * expected
 
 
+def test_equal_chunks_are_scored_apart(spark, documents, monkeypatch):
+    """The same rows in several partitions, and one-row chunks of equal ids and lengths but different texts."""
+    monkeypatch.setattr(kn, "CHUNK_CHARS", 900)
+    twice = documents(TEXTS).repartition(3, "doc_id")
+    other = [(None, prose(70 + i, 300)[:1000]) for i in range(4)]
+    docs = twice.unionByName(twice).unionByName(documents(other).coalesce(1))
+    rows = kn.classify(docs, spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5)], "doc_id long"), held_out=0).collect()
+    # trusted texts are learnt from as often as they are there
+    model = ByHand(TEXTS[:5] * 2)
+    expected = [(i, model.perplexity(t or "")) for i, t in [*enumerate(TEXTS, 1)] * 2 + other]
+
+    def in_order(found):
+        return sorted((i or 0, p or 0.0) for i, p in found)
+    got = in_order((r["doc_id"], r["perplexity"]) for r in rows)
+    assert len(got) == len(expected)
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) <= 1e-6 * b[1] for a, b in zip(got, in_order(expected)))
+
+
 def test_probabilities_sum_to_one():
     model = ByHand(TEXTS[:4])
     grams = np.array([(s[0] << 20) | (s[1] << 10) | s[2] for s in ([107, 97, 108], [0, 0, 0], [999, 5, 6])])
