@@ -5,8 +5,10 @@ lies whole in some window.  The score of an item is BM25 over the distinct words
 item's own text, so that 1 means all of it.  Block-max WAND finds every item that reaches ``threshold``: the
 upper bound of a passage is tested for all windows at once, those that pass walk the posting lists, which are ordered by
 item and hold the maximum of each block, and skip what cannot reach it.  Retrieved items are verified: the shares
-of the question's and of the answer's word runs that stand in the passage must both reach ``overlap``.  The question is all
-of an item but its last sentence, the answer is that sentence; of a single sentence they are its halves.
+of the question and of the answer that stand in the passage must both reach ``overlap``.  The question is all
+of an item but its last sentence, the answer is that sentence; of a single sentence they are its halves.  A share is that of the
+word runs, or that of the words that need no edit where the part fits best, so one changed word does not undo all runs around
+it.  Two or three words are fitted together with their neighbours in the item, five words in all; a single word must be there.
 
 Words that over ``common`` of the distinct item texts hold are not indexed, unless an item has no other.  Items are indexed in
 blocks of bounded size, one broadcast each, so the benchmark may grow.
@@ -72,6 +74,47 @@ def share_found(wanted: list[str], passage: list[str]) -> float:
     return len(part & runs(passage, width)) / len(part)
 
 
+def edits(wanted: list[str], passage: list[str]) -> int:
+    """Least number of words to change, add or drop so that ``wanted`` stands somewhere in the passage (Myers' bit vectors)."""
+    at: dict[str, int] = {}
+    for i, w in enumerate(wanted):
+        at[w] = at.get(w, 0) | 1 << i
+    every, last = (1 << len(wanted)) - 1, 1 << len(wanted) - 1
+    up, down, now = every, 0, len(wanted)
+    least = now
+    for w in passage:
+        same = at.get(w, 0)
+        cross = same | down
+        along = (((same & up) + up) ^ up) | same
+        more, less = down | ~(along | up) & every, up & along
+        now += bool(more & last) - bool(less & last)
+        least = min(least, now)
+        more, less = more << 1 & every, less << 1 & every
+        up, down = (less | ~(cross | more)) & every, more & cross
+    return least
+
+
+def share_fitted(wanted: list[str], passage: list[str], overlap: float) -> float:
+    """Share of the words that need no edit where they fit best; 0 if too few of the words are there at all."""
+    held = set(passage)
+    if sum(w in held for w in wanted) < overlap * len(wanted):
+        return 0.0
+    return 1 - edits(wanted, passage) / len(wanted)
+
+
+def shares_of(question: list[str], answer: list[str], passage: list[str], overlap: float) -> tuple[float, float]:
+    """Shares of question and answer in the passage; the answer is not looked for if the question fails."""
+    whole = question + answer
+
+    def share(part: list[str], context: list[str]) -> float:
+        found = share_found(part, passage)
+        if found >= overlap or len(part) < 2:
+            return found
+        return max(found, share_fitted(part if len(part) > 3 else context, passage, overlap))
+    first = share(question, whole[:RUN])
+    return first, share(answer, whole[-RUN:]) if first >= overlap else 0.0
+
+
 @dataclass
 class Posting:
     items: list[int]
@@ -195,7 +238,7 @@ class Index:
                 passage = [bytes(data[s:e]).decode() for s, e in zip(starts[a:z], ends[a:z])]
                 for item, score in hits:
                     question, answer = self.parts[item]
-                    shares = share_found(question, passage), share_found(answer, passage)
+                    shares = shares_of(question, answer, passage, overlap)
                     if min(shares) >= overlap and score > found[rows[w]].get(item, {}).get("score", 0.0):
                         found[rows[w]][item] = {"item_id": self.ids[item], "score": score, "question_overlap": shares[0],
                                                 "answer_overlap": shares[1], "first_word": a - int(bounds[rows[w]])}

@@ -55,6 +55,35 @@ def test_leaks_of_whole_items_only(spark, documents):
     assert leaks(docs, items) == {1: [7], 2: [8, 9], 3: [], 4: [], 5: [], 6: [], 7: [8, 9], 8: [7], 50: [8, 9]}
 
 
+def test_one_changed_word_does_not_hide_an_item(spark, documents):
+    """At each position of items whose answers have two to twenty words."""
+    items = {n: prose(300 + n, 20, 99) + ". " + prose(400 + n, n, 99) for n in (2, 3, 4, 5, 8, 13, 20)}
+    items[99] = prose(350, 30, 99)
+    docs, expected = [], {}
+    for n, text in items.items():
+        words = text.split()
+        for k in range(len(words)):
+            docs.append((len(docs), prose(1, 40) + " " + " ".join([*words[:k], "zzqx", *words[k + 1:]]) + " " + prose(2, 40)))
+            expected[len(docs) - 1] = [n]
+    # the question alone, or with another answer, is none
+    docs += [(-1, prose(308, 20, 99)), (-2, prose(308, 20, 99) + ". " + prose(600, 8, 99)), (-3, prose(302, 20, 99) + ". " + prose(601, 2, 99))]
+    expected |= {-1: [], -2: [], -3: []}
+    assert leaks(documents(docs), spark.createDataFrame(list(items.items()), ITEMS)) == expected
+
+
+def test_edits_are_those_of_the_plain_table():
+    draw = random.Random(5)
+    for _ in range(300):
+        wanted, passage = draw.choices("abcd", k=draw.randint(1, 9)), draw.choices("abcde", k=draw.randint(0, 14))
+        above = [0] * (len(passage) + 1)
+        for i, w in enumerate(wanted, 1):
+            row = [i]
+            for j, p in enumerate(passage, 1):
+                row.append(min(above[j - 1] + (w != p), above[j] + 1, row[-1] + 1))
+            above = row
+        assert bw.edits(wanted, passage) == min(above)
+
+
 def test_blocks_of_items_agree_with_one_index(spark, documents):
     items = [(i, prose(100 + i, 30)) for i in range(12)]
     docs = documents([prose(i, 200) + " " + items[i][1] for i in range(12)]).withColumn("leaks", F.lit("clash")).withColumn("extra", F.lit(1))
