@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -39,6 +40,18 @@ def test_novel_spans_need_a_sensitive_place_and_a_new_string():
     assert sn.novel_spans("credential: example_example_example_1") == []
 
 
+def test_secrets_of_letters_only_are_told_from_words():
+    for text, value in [("pwd: kqzwvbxnprtymlsh", "kqzwvbxnprtymlsh"), ("Authorization: Bearer HqXvTzLpWkRjBnMdFg", "HqXvTzLpWkRjBnMdFg"),
+                        ("credentials = 'x$K!q@Z%w^P&v'", "x$K!q@Z%w^P&v")]:
+        assert [text[s:e] for _, s, e, _ in sn.novel_spans(text)] == [value]
+        assert value not in sn.cut(text, sn.scan_text(text))
+    words = ["straightforward", "internationalization", "configuracionPredeterminada", "correct-horse-battery-staple", "getUserByEmail.address", "characteristics"]
+    assert [w for w in words if sn.novel_spans(f"pwd: {w}")] == []
+    draw = random.Random(4)
+    keys = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=16)) for _ in range(500)]
+    assert sum(len(sn.novel_spans(f"passphrase: {k}")) for k in keys) >= 490
+
+
 def test_scan_and_redact_rows(documents):
     docs = documents([*TEXTS, (99, f"password = {KEY}"), (99, f"password = {KEY}"), (None, None)]).withColumn("spans", F.lit("clash")).withColumn("extra", F.lit(1))
     found = sn.scan(docs)
