@@ -115,3 +115,18 @@ def test_held_out_prose_is_told_from_junk(spark):
     out = kn.classify(spark.read.parquet(f"{folder}/documents.parquet"), known)
     held = out.join(labels.filter("doc_id % 2 = 1"), "doc_id").select("kept", "quality").collect()
     assert sum(r["kept"] == (r["quality"] == 1) for r in held) / len(held) > 0.97
+
+
+def test_query_does_not_trust_toxic_texts(spark, documents, tmp_path):
+    from savora.llm.all_queries import QUERIES
+    docs = documents([(i, prose(i, 100) if i <= 20 else prose(i, 100).upper()) for i in range(1, 41)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, 1, int(i > 20)) for i in range(1, 41)], "doc_id long, quality long, toxic long")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+
+    def rows(out):
+        return sorted((r["doc_id"], r["perplexity"], r["threshold"], r["kept"]) for r in out.collect())
+    got = rows(QUERIES["op3_kneser_ney"](spark, str(tmp_path)))
+    wanted = rows(kn.classify(docs, labels.filter("doc_id <= 20")))
+    assert all(np.allclose(a[1:3], b[1:3]) and a[::3] == b[::3] for a, b in zip(got, wanted, strict=True))
+    assert not any(r[3] for r in got if r[0] > 20)
