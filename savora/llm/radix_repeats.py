@@ -101,13 +101,13 @@ def blocks_of(data: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*rows))
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(row, position of the first byte, bytes) of texts, long ones in overlapping parts."""
+def pieces(texts: pa.Array, depth: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, position of the first byte, bytes) of texts, long ones in overlapping parts that have each suffix of ``depth`` bytes once."""
     for first, stop, data, offsets in byte_text.chunks(texts):
         for row in range(first, stop):
             text = data[offsets[row - first]:offsets[row - first + 1]]
-            for at in range(0, max(1, len(text) - DEPTH + 1), PIECE):
-                yield row, at, text[at:at + PIECE + DEPTH - 1]
+            for at in range(0, max(1, len(text) - depth + 1), PIECE):
+                yield row, at, text[at:at + PIECE + depth - 1]
 
 
 def identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -144,7 +144,7 @@ def suffix_blocks(rows: DataFrame, depth: int) -> DataFrame:
         for part in parts:
             marks, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
             held, size = [], 0
-            for row, at, data in [*pieces(part.column(2)), (-1, 0, None)]:
+            for row, at, data in [*pieces(part.column(2), depth), (-1, 0, None)]:
                 if data is not None and len(data) >= depth:
                     key, whole, first, last, ahead = blocks_of(data, depth)
                     first, last = first + at, last + at

@@ -56,6 +56,18 @@ def test_spans_match_counting_every_window(documents, monkeypatch, piece, large)
         assert f == e, text
 
 
+@pytest.mark.parametrize("depth", [200, 1000])
+def test_texts_of_over_a_megabyte_are_cut_by_the_depth_asked_for(documents, depth):
+    draw = random.Random(depth)
+    long = "".join(draw.choices("abcdefghijklmnop", k=rr.PIECE + 3000))
+    again = long[rr.PIECE - depth // 2:rr.PIECE - depth // 2 + depth]  # across the cut
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in rr.remove(
+        documents([long, "#" + again]), rr.repeated_spans(documents([long, "#" + again]), depth=depth)).collect()}
+    start = rr.PIECE - depth // 2
+    assert spans == {1: [(start, start + depth)], 2: [(1, 1 + depth)]}
+    assert all(not r["spans"] for r in rr.remove(documents([long]), rr.repeated_spans(documents([long]), depth=depth)).collect())
+
+
 def test_equal_and_null_ids_clashes_and_no_rows(documents):
     text = prose(9, 120)
     docs = documents([(1, text), (1, text), (None, text), (None, prose(8, 120)), (None, None)]).withColumn("kept", F.lit(1)).withColumn("extra", F.lit(1))
