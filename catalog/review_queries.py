@@ -590,6 +590,12 @@ def _(t):
     return timeseries.daily_moving_average(star.reviews(t.scored.filter(GAPS))).select("day", r6("moving_average"))
 
 
+@query("w08_daily_moving_average_all_months", f"""WITH {MONTHS_SQL.format('true')}, spine AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS day FROM daily)
+SELECT day, round((SELECT sum(n) / count(*) FROM daily WHERE d > day - INTERVAL 3 MONTH AND d <= day), 6) AS moving_average FROM spine""", "scored")
+def _(t):
+    return timeseries.daily_moving_average(star.reviews(t.scored)).select("day", r6("moving_average"))
+
+
 ASPECT_TREND = """
 WITH p AS (SELECT CAST(date_trunc('month', "Fecha") AS DATE) AS month, "Aspecto", avg("Puntaje") FILTER ("Mencionado") AS m, count(*) FILTER ("Mencionado") AS k FROM aspects
   JOIN restaurants USING ("RestauranteID") WHERE "Fecha" IS NOT NULL {0} GROUP BY 1, 2),
