@@ -73,7 +73,7 @@ def _escaped(column: str):
     return out
 
 
-def _review_pages(t, gaps: bool = False):
+def review_pages(t, gaps: bool = False):
     day = F.lpad((F.col("turn") % 28 + 1).cast("string"), 2, "0")
     review = F.concat(
         F.lit('<div class="r" itemprop="review"><span itemprop="author">'), "role", F.lit('</span><div itemprop="reviewRating"><meta itemprop="ratingValue" content="'),
@@ -92,20 +92,20 @@ REVIEWS_SQL = r"""reviews AS (SELECT conv_id, trim(regexp_replace(text, '\s+', '
 
 @query("s14_page_reviews", f"WITH {REVIEWS_SQL} SELECT * FROM reviews")
 def _(t):
-    out = _review_pages(t).select(F.col("page_id").alias("conv_id"), F.inline(pages.microdata_reviews(F.col("html"))))
+    out = review_pages(t).select(F.col("page_id").alias("conv_id"), F.inline(pages.microdata_reviews(F.col("html"))))
     return out.withColumn("review_rating", r6("review_rating"))
 
 
 @query("s17_flatten_reviews", f"WITH {REVIEWS_SQL} SELECT 'dg_' || conv_id AS restaurant_id, review_text, reviewer_name, review_rating, review_date, 'site' AS source FROM reviews")
 def _(t):
-    out = pages.flatten_reviews(_review_pages(t), pages.microdata_reviews(F.col("html")), "site", "dg_")
+    out = pages.flatten_reviews(review_pages(t), pages.microdata_reviews(F.col("html")), "site", "dg_")
     return out.drop("page_id").withColumn("review_rating", r6("review_rating"))
 
 
 @query("s17_flatten_outer", f"""WITH {REVIEWS_SQL.replace('WHERE length(', 'WHERE conv_id % 5 <> 0 AND length(')} SELECT 'ta_' || c.conv_id AS restaurant_id, review_text, review_rating, 'site' AS source
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN reviews USING (conv_id)""")
 def _(t):
-    out = pages.flatten_reviews(_review_pages(t, gaps=True), pages.microdata_reviews(F.col("html")), "site", "ta_", keep_empty=True)
+    out = pages.flatten_reviews(review_pages(t, gaps=True), pages.microdata_reviews(F.col("html")), "site", "ta_", keep_empty=True)
     return out.select("restaurant_id", "review_text", r6("review_rating"), "source")
 
 

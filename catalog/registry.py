@@ -8,7 +8,6 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog import bindings
-from savora.sources.tables import spread
 
 
 class Tables:
@@ -24,8 +23,10 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """The texts, spread over the cores while they fit in few splits."""
-        return spread(self.spark.read.parquet(f"{self.folder}/documents.parquet"), "doc_id")
+        """The texts.  A test file is one split however much work its texts are, so it is dealt to the cores; a
+        table that has as many splits as cores is read as it is."""
+        df, cores = self.spark.read.parquet(f"{self.folder}/documents.parquet"), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
 
     @cached_property
     def texts(self) -> DataFrame:

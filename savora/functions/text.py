@@ -237,3 +237,23 @@ def translate_phrases(text: Column,
     for condition, new in rules[1:]:
         chosen = chosen.when(condition, F.lit(new))
     return chosen.otherwise(replaced)
+
+
+# --- line breaks -------------------------------------------------------------
+
+BREAKS = {"\\": "\\\\", "\n": "\\n", "\r": "\\r"}
+
+
+def escape_breaks(c: Column) -> Column:
+    """Line breaks as two visible characters, and backslashes doubled."""
+    for plain, escaped in BREAKS.items():
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return c
+
+
+def unescape_breaks(c: Column) -> Column:
+    """What ``escape_breaks`` was given.  Doubled backslashes split the text, so that what follows one is not taken for a break."""
+    def restored(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    parts = F.transform(F.split(c, r"\\\\"), restored)
+    return F.when(c.isNotNull(), F.array_join(parts, "\\"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from savora import schemas
 from savora.functions import sentiment
 from savora.operators import clean, cluster, features, normalize, unify
+from savora.sources import shared
 
 
 def unified(sources: DataFrame, lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON) -> DataFrame:
@@ -40,6 +41,6 @@ def clustered(normal: DataFrame, restarts: int = cluster.RESTARTS) -> DataFrame:
 def run(sources: DataFrame, reference_date: Column,
         lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
         restarts: int = cluster.RESTARTS) -> tuple[DataFrame, DataFrame]:
-    """(features, clustered).  The normalised reviews feed both and are kept once."""
-    normal = normalized(cleaned(unified(sources, lexicon), reference_date)).persist()
+    """(features, clustered).  The normalised reviews feed both, so they are stored once, in the shared folder."""
+    normal = shared.stored(normalized(cleaned(unified(sources, lexicon), reference_date)), "normalized")
     return featured(normal), clustered(normal, restarts)

@@ -69,13 +69,13 @@ def test_field_coverage(frame):
 # --- clean -------------------------------------------------------------------
 
 def test_clean_reviews(frame):
-    df = frame([("r1", "Casa <b>X</b>", "Española · Argentina", " $$ ", "4.5", "Rico http://a.b ya", "hace un mes"),
+    df = frame([("r1", "Casa <b>X</b>", "Vasca · Peruana", " $$ ", "4.5", "Rico http://a.b ya", "hace un mes"),
                 (None, "Y", "a", "$", "3", "texto", "2025-03-12"), ("r2", "Z", None, None, "malo", None, "ayer")],
                "restaurant_id string, restaurant_name string, category string, price_range string, overall_rating string, review_text string, review_date string")
     rows = clean.blanks_to_null(clean.clean_reviews(df, F.lit("2026-07-19"))).orderBy("row_idx").collect()
     assert [r.restaurant_id for r in rows] == ["r1", "r2"]
     first, second = rows
-    assert (first.restaurant_name, first.category, first.category_primary) == ("Casa X", "Española, Argentina", "Española")
+    assert (first.restaurant_name, first.category, first.category_primary) == ("Casa X", "Vasca, Peruana", "Vasca")
     assert (first.price_range, first.price_band, first.overall_rating, first.review_text) == ("$$", "$$ ($15-$25)", 4.5, "Rico ya")
     assert str(first.review_date)[:10] == "2026-06-19"
     assert (second.overall_rating, second.review_text, second.category_primary, second.review_date) == (None, None, None, None)
@@ -155,13 +155,13 @@ def test_buckets(spark):
     assert df.select(scores.sentiment_bucket(F.col("s"), "Sin datos").alias("b")).collect()[-1].b == "Sin datos"
 
 
-DIRECTORY = [("r1", "El Trapiche (Bella Vista)", 4.9), ("r1", "El Trapiche (Bella Vista)", 4.9), ("r1", "Restaurante El Trapiche", 4.9), ("r2", None, None)]
+DIRECTORY = [("r1", "El Faro (Bella Vista)", 4.9), ("r1", "El Faro (Bella Vista)", 4.9), ("r1", "Restaurante El Faro", 4.9), ("r2", None, None)]
 
 
 def test_directory(frame):
     df = frame(DIRECTORY, "restaurant_id string, restaurant_name string, overall_rating double")
     rows = {r.restaurant_id: r for r in explore.restaurant_directory(df).collect()}
-    assert (rows["r1"].restaurant_name, rows["r1"].resenas) == ("El Trapiche (Bella Vista)", 3)
+    assert (rows["r1"].restaurant_name, rows["r1"].resenas) == ("El Faro (Bella Vista)", 3)
     assert (rows["r2"].restaurant_name, rows["r2"].rating) == ("Sin nombre", None)
 
 

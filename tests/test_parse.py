@@ -47,7 +47,7 @@ def test_primary_category(value, raw, primary):
 
 
 def test_category_separators(value):
-    assert value(parse.split_categories, "Española · Argentina/Uruguaya|Chilena") == "Española, Argentina, Uruguaya, Chilena"
+    assert value(parse.split_categories, "Vasca · Peruana/Cubana|Andina") == "Vasca, Peruana, Cubana, Andina"
 
 
 @pytest.mark.parametrize("raw,number", [("1.9K", 1900.0), ("4,5", 4.5), ("2 k reseñas", 2000.0), ("nota 3", 3.0), ("", None), (None, None)])
@@ -56,7 +56,7 @@ def test_number_with_suffix(value, raw, number):
 
 
 @pytest.mark.parametrize("address,zone", [
-    ("Wanders and Yoo - Paitilla", "Paitilla"), ("Calle 50, Casa 1206 - Bella Vista - Panamá", "Bella Vista"),
+    ("Casa Azul & Co - Colina", "Colina"), ("Calle 50, Casa 1206 - Bella Vista - Panamá", "Bella Vista"),
     ("Solo - Panama - Ciudad de Panamá", None), ("Panamá", None), ("x -  - y", "y"), (None, None)])
 def test_zone_of_address(value, address, zone):
     assert value(parse.zone_of_address, address) == zone

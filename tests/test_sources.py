@@ -1,12 +1,12 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from savora import schemas
 from savora.plans import batch
 from savora.sources import pages, tables
 from savora.streaming.incremental import extract_new_pages
 
-ROWS = [("dg_1", "Salsipuedes Restaurant", 'La comida, "excelente"\ny barata', "siteA"), ("dg_2", "Otro", "El servicio fue lento y malo", "siteA")]
+ROWS = [("dg_1", "Brisa del Mar Restaurant", 'La comida, "excelente"\ny barata', "siteA"), ("dg_2", "Otro", "El servicio fue lento y malo", "siteA")]
 
 
 def write_csv(folder, name, header, rows):
@@ -23,7 +23,7 @@ def write_csv(folder, name, header, rows):
 def sources(tmp_path):
     a = write_csv(tmp_path, "a.csv", ["restaurant_id", "restaurant_name", "review_text", "source"], ROWS)
     b = write_csv(tmp_path, "b.csv", ["source", "restaurant_id", "review_text", "overall_rating", "restaurant_name", "price_range"],
-                  [("siteB", "rg_9", "La comida excelente y barata", "4.5", "Salsipuedes Restaurante", "$$"), ("siteB", "rg_9", "ambiente acogedor y limpio", "n/a", "Salsipuedes Restaurante", "")])
+                  [("siteB", "rg_9", "La comida excelente y barata", "4.5", "Brisa del Mar Restaurante", "$$"), ("siteB", "rg_9", "ambiente acogedor y limpio", "n/a", "Brisa del Mar Restaurante", "")])
     empty = write_csv(tmp_path, "empty.csv", ["restaurant_id", "restaurant_name", "review_text", "source"], [])
     return [a, str(tmp_path / "missing.csv"), empty, b]
 
@@ -62,6 +62,79 @@ def test_gated_write(spark, tmp_path):
     assert not (tmp_path / "bad").exists()
 
 
+def resplit(spark, size, path, schema=None, escaped=False):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        frame = tables.read_positioned(spark, path, schema, escaped)
+        ordered = tables.with_row_order([frame])
+        return frame.rdd.getNumPartitions(), [(r.row_idx, r.n) for r in ordered.orderBy("row_idx").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_row_order_does_not_depend_on_splits(spark, tmp_path, kind):
+    rows = spark.range(4000).select(F.col("id").alias("n"), F.concat(F.lit("x\ny \\"), F.col("id")).alias("t")).repartition(3)
+    path = str(tmp_path / f"rows.{kind}")
+    tables.write_table(rows, path, escaped_breaks=True)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.StringType())])
+    parts, whole = resplit(spark, 1 << 27, path, schema, True)
+    more, split = resplit(spark, 9000, path, schema, True)
+    assert whole == split and [i for i, _ in whole] == list(range(4000)) and sorted(n for _, n in whole) == list(range(4000))
+    assert more > parts or kind == "parquet"
+    # inside a file, rows follow each other as they were written
+    files = [[r.n for r in spark.read.parquet(f).collect()] for f in sorted(str(f) for f in (tmp_path / "rows.parquet").glob("*.parquet"))] if kind == "parquet" else []
+    assert not files or [n for _, n in whole] == [n for f in files for n in f]
+
+
+def test_sources_follow_each_other(spark, sources):
+    once, again = ([(r.row_idx, r.source, r.review_text) for r in tables.load_sources(spark, order).orderBy("row_idx").collect()] for order in (sources, sources[::-1]))
+    assert [i for i, *_ in once] == [0, 1, 2, 3] and [s for _, s, _ in once] == ["siteA", "siteA", "siteB", "siteB"]
+    assert [s for _, s, _ in again] == ["siteB", "siteB", "siteA", "siteA"]
+
+
+def test_many_files_are_joined_instead_of_broadcast(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "many")
+    spark.range(50).withColumnRenamed("id", "n").repartition(7).write.parquet(path)
+    small = [(r.row_idx, r.n) for r in tables.with_row_order([tables.read_positioned(spark, path)]).orderBy("row_idx").collect()]
+    monkeypatch.setattr(tables, "FILES_TO_BROADCAST", 2)
+    assert [(r.row_idx, r.n) for r in tables.with_row_order([tables.read_positioned(spark, path)]).orderBy("row_idx").collect()] == small
+
+
+BREAKS = ["a\nb", "a\r\n\\n", "\\", "\\\\n\n", "\\\\\\r", "", None, "plain", "\n", 'q"\n,"', "\\r\\n"]
+
+
+def test_escaped_breaks(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(BREAKS)), "n long, t string")
+    path = str(tmp_path / "breaks.csv")
+    tables.write_table(df, path, escaped_breaks=True)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.StringType())])
+    assert [r.t for r in tables.read_csv(spark, path, schema, escaped_breaks=True).orderBy("n").collect()] == BREAKS
+    lines = [x for f in (tmp_path / "breaks.csv").glob("*.csv") for x in f.read_text().splitlines() if x != "n,t"]
+    assert len(lines) == len(BREAKS)
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    assert tables.write_table(spark.range(5), path) == 5
+    broken = spark.range(8).select(F.when(F.col("id") == 7, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    assert tables.write_table(spark.range(3), path) == 3
+    assert spark.read.parquet(path).count() == 3 and [f.name for f in tmp_path.iterdir()] == ["kept"]
+
+
+def test_append(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    for value in ("a", "b"):
+        tables.append_table(spark.createDataFrame([(value, 1)], "x string, y int"), path, ["y", "x"])
+    assert sorted(r.x for r in spark.read.option("header", True).csv(path).collect()) == ["a", "b"]
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([("h1", "a", 1), ("h2", "b", 1)], "key string, result string, v long")
     new = spark.createDataFrame([("h2", "c", 2), ("h2", "d", 3), ("h3", "e", 1)], "key string, result string, v long")
@@ -86,7 +159,7 @@ def test_links(spark):
 
 DETAIL = """<html><h1>Casa <b>Uno</b></h1><span itemprop="servesCuisine">Italiana</span><meta itemprop="priceRange" content="$$">
 <div itemprop="aggregateRating"><span itemprop="ratingValue">4,6</span><span itemprop="reviewCount">1.9K</span></div>
-<div class="dg-reviews-stats x">Comida 4.4 /5 Servicio 4.5 /5 Ambiente 7 /5</div><p itemprop="streetAddress">Wanders and Yoo - Paitilla</p>
+<div class="dg-reviews-stats x">Comida 4.4 /5 Servicio 4.5 /5 Ambiente 7 /5</div><p itemprop="streetAddress">Casa Azul & Co - Colina</p>
 <div itemprop="review"><span itemprop="author">Ana</span><div itemprop="reviewRating"><span itemprop="ratingValue">5</span></div>
 <meta itemprop="datePublished" content="2025-03-12"><p itemprop="reviewBody">Muy rico &amp; barato</p></div>
 <div itemprop="review"><p itemprop="reviewBody">corto</p></div>
@@ -97,7 +170,7 @@ def test_microdata(spark):
     df = spark.createDataFrame([(12, DETAIL), (13, "<html></html>")], "id long, html string")
     row, empty = pages.microdata_record(df, F.col("id")).orderBy("id").collect()
     assert (row.restaurant_name, row.category, row.price_range, row.overall_rating, row.review_count) == ("Casa Uno", "Italiana", "$$", 4.6, 1900.0)
-    assert (row.food_rating, row.service_rating, row.ambiance_rating, row.location) == (4.4, 4.5, None, "Paitilla")
+    assert (row.food_rating, row.service_rating, row.ambiance_rating, row.location) == (4.4, 4.5, None, "Colina")
     assert (empty.restaurant_name, empty.overall_rating, empty.location) == (None, None, None)
 
 
@@ -159,6 +232,20 @@ def test_incremental_extraction_keeps_and_continues(spark, tmp_path):
     assert {r.restaurant_id: r["count"] for r in spark.read.parquet(out).groupBy("restaurant_id").count().collect()} == {"dg_1": 2, "dg_2": 2}
 
 
+def test_a_stopped_run_keeps_its_batches(spark, tmp_path):
+    store, out, state = (str(tmp_path / n) for n in ("pages", "out", "state"))
+    for page in range(6):
+        spark.createDataFrame([(page, "u", DETAIL)], "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(store)
+
+    def extract(df):
+        return df.select("page_id")
+    kept = extract_new_pages(spark, store, out, state, extract, files_per_batch=1, max_batches=2)
+    assert kept >= 2 and spark.read.parquet(out).count() >= 2
+    extract_new_pages(spark, store, out, state, extract, files_per_batch=4)
+    assert sorted(r.page_id for r in spark.read.parquet(out).collect()) == list(range(6))
+    assert extract_new_pages(spark, store, out, state, extract) == 0
+
+
 # --- the chain ---------------------------------------------------------------
 
 def test_batch_chain(spark, sources):
