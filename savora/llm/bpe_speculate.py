@@ -5,6 +5,8 @@ and no merge fires across any boundary between neighbours; whether one fires dep
 is vectorised: for all new neighbour pairs of a batch at once, along the last pieces of the left token and the first pieces of
 the right one.  Only words that fail are merged step by step.
 
+White space always ends a word, so a text is looked up run by run between white space; runs that were met before are remembered with their ids.
+
 Merge across a boundary: pieces x (left) and y (right) meet when both exist and neither has
 been merged further.  So a rule (x, y) of rank m fires if m is below the rank that makes x part of the next larger
 piece, and not above the one that does so for y (of equal rules the leftmost goes first).
@@ -19,17 +21,22 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from savora.llm.common import kept_by_worker
+
 NO_RANK = 1 << 40
 NEVER = np.int64(NO_RANK)
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 400_000
 TEXTS_AT_ONCE = 256
+NOT_WHITE = regex.compile("[\x1c-\x1f]")
 # \s as the tokenizer's pattern has it
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
 
@@ -70,8 +77,15 @@ class SpeculativeBpe:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {p: i for i, p in enumerate(pairs)}
         self._tables(pairs)
+        self.white = regex.compile(f"[{SPACE}]+")
         self.known: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self._forget_runs()
+
+    def _forget_runs(self) -> None:
+        """Runs between white space: their places, and the ids of each one after the other.  The first ones are the added tokens."""
+        self.runs: dict[str | int, int] = {i: place for place, i in enumerate(self.added.values())}
+        self.flat, self.bounds = np.array(list(self.added.values()), np.int32), np.arange(len(self.added) + 1)
 
     def _tables(self, pairs: list[tuple[str, str]]) -> None:
         n = max(self.vocab.values()) + 1
@@ -173,54 +187,71 @@ class SpeculativeBpe:
             self.words[word] = tuple(proposal if ok else self._merged(s))
 
     def split(self, text: str) -> list[str]:
-        """The words of a text without added tokens, after normalisation."""
+        """The runs between white space of a text without added tokens, after normalisation."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letters are lowered one by one: no final sigma
-        return self.pieces.findall(text.lower())
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each text."""
-        jobs: list[list] = []
+        text = text.lower()
+        # str.split takes four control characters for white space, the tokenizer does not
+        return [r for r in self.white.split(text) if r] if NOT_WHITE.search(text) else text.split()
+
+    def _meet(self, new: list[str]) -> None:
+        """Ids of new runs."""
+        if len(self.words) > self.remembered:
+            self.words.clear()
+        cut = [self.pieces.findall(r) for r in new]
+        if fresh := set(chain.from_iterable(cut)).difference(self.words):
+            self._learn(fresh)
+        known = self.words
+        ids = [list(chain.from_iterable(map(known.__getitem__, words))) for words in cut]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.runs.update(zip(new, range(len(self.runs), len(self.runs) + len(new))))
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all texts one after the other, number of tokens of each)."""
+        jobs: list[list[str | int]] = []
         for text in texts:
-            parts: list = []
+            runs: list[str | int] = []
             at = 0
             for m in (self.special.finditer(text) if self.special and "<" in text else ()):
-                parts += [self.split(text[at:m.start()]), self.added[m[0]]]
+                runs += [*self.split(text[at:m.start()]), self.added[m[0]]]
                 at = m.end()
-            jobs.append([*parts, self.split(text[at:] if at else text)])
-        new = {w for parts in jobs for p in parts if not isinstance(p, int) for w in p}.difference(self.words)
-        if new:
-            if len(self.words) + len(new) > self.remembered:
-                self.words.clear()
-                new = {w for parts in jobs for p in parts if not isinstance(p, int) for w in p}
-            self._learn(new)
-        known = self.words
-        out = []
-        for parts in jobs:
-            ids: list[int] = []
-            for p in parts:
-                if isinstance(p, int):
-                    ids.append(p)
-                else:
-                    for w in p:
-                        ids += known[w]
-            out.append(ids)
-        return out
+            jobs.append(runs + self.split(text[at:]) if at else self.split(text))
+        if len(self.runs) > self.remembered:
+            self._forget_runs()
+        if new := set(chain.from_iterable(jobs)).difference(self.runs):
+            self._meet(list(new))
+        counts = np.fromiter(map(len, jobs), np.int64, len(jobs))
+        places = np.fromiter(map(self.runs.__getitem__, chain.from_iterable(jobs)), np.int64, int(counts.sum()))
+        sizes = self.bounds[places + 1] - self.bounds[places]
+        behind = np.cumsum(sizes)
+        flat = self.flat[np.repeat(self.bounds[places] - behind + sizes, sizes) + np.arange(int(sizes.sum()))]
+        upto = np.concatenate((np.zeros(1, np.int64), behind))[np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))]
+        return flat, np.diff(upto)
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of each text."""
+        flat, counts = self.encode_flat(texts)
+        return [part.tolist() for part in np.split(flat, np.cumsum(counts)[:-1])] if len(texts) else []
 
     def decode(self, ids: list[int]) -> str:
         """The tokens, special ones included, joined by blanks: the file names no decoder."""
         return " ".join(map(self.names.__getitem__, ids))
 
 
-_LOADED: dict[tuple, SpeculativeBpe] = {}
+def load(raw: bytes, remembered: int | None = None) -> SpeculativeBpe:
+    """The tokenizer of a file's content, with the words its worker has met."""
+    return kept_by_worker(f"bpe {hash(raw)} {remembered}", lambda: SpeculativeBpe(json.loads(raw), remembered))
 
 
-def load(raw: bytes, remembered: int | None = None) -> SpeculativeBpe:
-    """The tokenizer of a file's content, built once per process."""
-    key = hash(raw), remembered
-    if key not in _LOADED:
-        _LOADED[key] = SpeculativeBpe(json.loads(raw), remembered)
-    return _LOADED[key]
+def names_of(raw: bytes) -> pa.Array:
+    """The token of each id, the added ones included."""
+    def read() -> pa.Array:
+        spec = json.loads(raw)
+        by_id = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        return pa.array([by_id.get(i) for i in range(max(by_id) + 1)], pa.string())
+    return kept_by_worker(f"bpe names {hash(raw)}", read)
 
 
 def read_file(spark: SparkSession, path: str):
@@ -245,11 +276,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", remembered: int | Non
     raw = read_file(docs.sparkSession, path)
 
     def convert(texts: pa.Array) -> pa.Array:
-        ids = load(raw.value, remembered).encode_batch([t or "" for t in texts.to_pylist()])
-        offsets = np.zeros(len(ids) + 1, np.int32)
-        np.cumsum([len(i) for i in ids], out=offsets[1:])
-        flat = np.concatenate([np.array(i, np.int32) for i in ids]) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        flat, counts = load(raw.value, remembered).encode_flat([t or "" for t in texts.to_pylist()])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat))
     return _mapped(docs, "ids", "array<int>", pa.list_(pa.int32()), text, convert)
 
 
@@ -258,6 +286,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     raw = read_file(encoded.sparkSession, path)
 
     def convert(rows: pa.Array) -> pa.Array:
-        tokenizer = load(raw.value)
-        return pa.array([tokenizer.decode(r or []) for r in rows.to_pylist()], pa.string())
+        names = names_of(raw.value)
+        flat, sizes = rows.flatten(), pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), names.take(flat))
+        return pc.binary_join(tokens, " ")
     return _mapped(encoded, "decoded", "string", pa.string(), ids, convert)

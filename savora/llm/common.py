@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from typing import Callable
@@ -41,6 +42,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_by_worker(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once per Python worker.
+
+    Functions travel to the tasks by value, and their module's variables with them, so those would be new in every task.
+    """
+    kept = sys.__dict__.setdefault("_savora_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row, also inside lambda functions."""
     return F.transform(F.array(value), use)[0]
