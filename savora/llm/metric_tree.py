@@ -29,7 +29,7 @@ from savora.llm.common import slots, stored
 SCALE = 256
 TOP = 5
 TREE = 4096
-PAGE = 64
+PAGE = 256
 FANOUT = 16
 CELLS = 4096
 BLOCK_BITS = 10
@@ -53,10 +53,10 @@ def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1, 1))
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact at any size."""
+def summable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as floating point where no inner product of theirs can round, else as numbers without bounds."""
     reach = a.shape[1] * max(np.abs(a).max(initial=0), 1) * float(max(np.abs(b).max(initial=0), 1))
-    return np.rint(a.astype(float) @ b.astype(float).T).astype(np.int64) if reach < 2 ** 53 else a.astype(object) @ b.astype(object).T
+    return (a.astype(float), b.astype(float)) if reach < 2 ** 53 else (a.astype(object), b.astype(object))
 
 
 def highest(angle: np.ndarray, reach: np.ndarray, longest: np.ndarray, shortest: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -112,6 +112,7 @@ class Tree:
     def search(self, queries: np.ndarray, floors: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
         """The ``k`` best ``(-score, id)`` of each query that score at least its floor, best first."""
         nodes, units, lengths = self.nodes, directions(queries), lengths_of(queries)
+        queries, entries = summable(queries, self.vectors)
         best: list[list[tuple[int, int]]] = [[] for _ in queries]
         floors = floors.copy()
         angle = np.zeros((len(queries), len(nodes)))
@@ -138,10 +139,11 @@ class Tree:
                             angle[some, child] = angles(units[some], self.pivots[child:child + 1])[:, 0]
                             bound[some, child] = highest(angle[some, child], below["radius"][j], below["longest"][j], below["shortest"][j], lengths[some])
                 else:
-                    self._page(node, angle[asking, at], asking, queries, lengths, floors, best, k)
+                    self._page(node, angle[asking, at], asking, queries, entries, lengths, floors, best, k)
         return best
 
-    def _page(self, node, angle: np.ndarray, asking: np.ndarray, queries: np.ndarray, lengths: np.ndarray, floors: np.ndarray, best: list, k: int) -> None:
+    def _page(self, node, angle: np.ndarray, asking: np.ndarray, queries: np.ndarray, entries: np.ndarray, lengths: np.ndarray, floors: np.ndarray,
+              best: list, k: int) -> None:
         with np.errstate(divide="ignore", invalid="ignore"):
             needed = (floors[asking] - 1e-6) / (lengths[asking] * node["longest"] * (1 + 1e-9))
         # an entry further from the query than this scores less than the floor; below 0 the shortest entry might still reach it
@@ -151,19 +153,19 @@ class Tree:
         stop = node["start"] + int(np.searchsorted(stored, (angle + far).max(), "right"))
         if start >= stop:
             return
-        scores = products(queries[asking], self.vectors[start:stop])
+        scores = queries[asking] @ entries[start:stop].T
         self.computed += scores.size
-        for i, row in zip(asking.tolist(), scores):
-            good = np.flatnonzero(row >= floors[i])
+        hits, places = np.nonzero(scores >= floors[asking, None])
+        cuts = np.searchsorted(hits, np.arange(len(asking) + 1))
+        for at in np.unique(hits).tolist():
+            i, row, good = asking[at], scores[at], places[cuts[at]:cuts[at + 1]]
             if len(good) > k:
-                least = np.sort(row[good])[-k]
-                good = good[row[good] >= least]
-            if len(good):
-                found = best[i] + [(-int(row[j]), v) for j in good.tolist() for v in self.ids[start + j]]
-                found.sort()
-                best[i] = found[:k]
-                if len(best[i]) == k:
-                    floors[i] = max(floors[i], -best[i][-1][0])
+                good = good[row[good] >= np.sort(row[good])[-k]]
+            found = best[i] + [(-int(row[j]), v) for j in good.tolist() for v in self.ids[start + j]]
+            found.sort()
+            best[i] = found[:k]
+            if len(best[i]) == k:
+                floors[i] = max(floors[i], -best[i][-1][0])
 
 
 def _matrix(lists: pa.ListArray, dims: int) -> np.ndarray:
