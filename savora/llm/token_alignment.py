@@ -2,7 +2,7 @@
 
 1. Galloping intersection: of the two ascending lists of token ends the shorter drives an exponential, then a binary search into the longer.  Ends in
    both lists cut the text into groups; the difference of successive places found is the range of tokens that a token overlaps: its links.
-2. Both tokenizers always cut before a blank that follows something else than white space, so a text is a row of units.  Units that a task has
+2. Both tokenizers always cut before a blank that follows something else than white space, so a text is a row of units.  Units that a worker has
    met are remembered with their groups and links, new ones are laid end to end and intersected together.
 3. A chunk of documents is stored as its distinct pairs of ids, the pairs of each distinct unit and the units of each document.  Pairs are summed over the
    corpus, and the sums go back to a chunk once per distinct pair of it, not once per document or link.
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from savora.llm.bpe_speculate import byte_letters, read_file
-from savora.llm.common import stored
+from savora.llm.common import kept_by_worker, stored
 
 # fixed value: how byte-level BPE cuts a text into words
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -131,7 +131,7 @@ def _totals(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Aligner:
-    """Both tokenizers, and the units a task has met."""
+    """Both tokenizers, and the units its worker has met."""
 
     def __init__(self, byte_bpe: bytes, pieces: bytes):
         model = json.loads(byte_bpe)["model"]
@@ -250,7 +250,8 @@ def chunks(docs: DataFrame, byte_bpe: str, pieces: str, doc_id: str = "doc_id",
     files = [read_file(docs.sparkSession, path) for path in (byte_bpe, pieces)]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*(f.value for f in files))
+        raw = [f.value for f in files]
+        aligner = kept_by_worker(f"aligner {hash(tuple(raw))}", lambda: Aligner(*raw))
         chunk = Chunk(aligner)
         task, number, row, waiting, size = TaskContext.get().partitionId() << 40, 0, 0, [], 0
 
