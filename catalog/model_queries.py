@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from catalog import classifier_sql as csql
 from catalog.registry import query, r6
-from catalog.text_queries import LEXICON
+from catalog.text_queries import LEXICON, TOKENS_SQL, score_of
 from savora import fixed_values as fixed
 from savora.functions import sentiment
 from savora.operators import cluster, explore, features, metrics, splits, textmodel
+from savora.sources import shared
 
 FEATURES = ("avg_rating", "sentiment_comida_avg", "sentiment_servicio_avg", "sentiment_precio_avg",
             "sentiment_ambiente_avg", "review_count", "avg_word_count", "price_level")
@@ -43,16 +45,14 @@ def _vectors(t):
 
 @query("m02_kmeans")
 def _(t):
-    vectors = _vectors(t).persist()
-    vectors = cluster.sized_partitions(vectors, vectors.count()).persist()
-    model = cluster.fit_kmeans(vectors, 4)
-    return model.transform(vectors).select("restaurant_id", "cluster")
+    with cluster.in_memory(_vectors(t)) as vectors:
+        return shared.stored(cluster.fit_kmeans(vectors, 4).transform(vectors).select("restaurant_id", "cluster"), "clusters")
 
 
 @query("m02_kmeans_partition", f"WITH {FEATURES_SQL} SELECT count(DISTINCT restaurant_id) AS entities, 4 AS clusters, 0 AS nearer_elsewhere, 0.0 AS off_centre FROM features", "scored")
 def _(t):
     """Of the fitted clusters: no entity is nearer to another centre, and every centre is the mean of its members."""
-    vectors = _vectors(t).persist()
+    vectors = shared.stored(_vectors(t), "vectors")
     model = cluster.fit_kmeans(vectors, 4)
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
     rows = model.transform(vectors).select("restaurant_id", "cluster", vector_to_array("features").alias("v"))
@@ -71,6 +71,30 @@ def _(t):
     return t.spark.createDataFrame([(choice.k, choice.score)], "k int, silhouette double")
 
 
+K_RANGE = range(2, 10)
+_SCALED = ", ".join(f"(f.{c} - avg(f.{c}) OVER ()) / stddev_samp(f.{c}) OVER () AS {c}" for c in FEATURES)
+SCALED_SQL = f"""{FEATURES_SQL}, scaled AS (SELECT restaurant_id, [{", ".join(FEATURES)}] AS v FROM (SELECT restaurant_id, {_SCALED} FROM features f))"""
+
+
+@query("m03_silhouette_table", f"""WITH {SCALED_SQL},
+labelled AS (SELECT v, k, (hash_of % k)::INT AS c FROM (SELECT v, CAST(substr(restaurant_id, 2) AS BIGINT) // 3 AS hash_of FROM scaled), (SELECT unnest(generate_series(2, 9)) AS k)),
+numbered AS (SELECT *, row_number() OVER () AS i FROM labelled),
+means AS (SELECT a.k, a.i, a.c, b.c AS other, sum(list_sum(list_transform(generate_series(1, 8), lambda j: (a.v[j] - b.v[j]) ** 2))) AS total, count(*) AS n
+  FROM numbered a JOIN numbered b ON a.k = b.k AND a.i <> b.i GROUP BY ALL),
+s AS (SELECT k, i, max(total / n) FILTER (c = other) AS inside, min(total / n) FILTER (c <> other) AS nearest FROM means GROUP BY k, i),
+scores AS (SELECT k, avg(CASE WHEN inside IS NULL THEN 0 ELSE (nearest - inside) / greatest(nearest, inside) END) AS silhouette FROM s GROUP BY k)
+SELECT k, round(silhouette, 6) AS silhouette, silhouette = max(silhouette) OVER () AS best FROM scores""", "scored")
+def _(t):
+    """The scores that k is chosen by, for clusterings both sides know: entities dealt by their number."""
+    out, names = cluster.entity_features(t.scored)
+    points = cluster.feature_vectors(out, names).withColumn("v", vector_to_array("features"))
+    number = F.expr("CAST(substr(restaurant_id, 2) AS BIGINT) div 3")
+    labelled = points.withColumns({f"k{k}": number % k for k in K_RANGE})
+    scores = cluster.silhouette_table(labelled, "v", [f"k{k}" for k in K_RANGE])
+    best = F.col("silhouette") == F.max("silhouette").over(Window.partitionBy())  # over eight scores
+    return scores.select(F.substring("clustering", 2, 9).cast("long").alias("k"), r6("silhouette"), best.alias("best"))
+
+
 def _silhouette_sql(distance: str) -> str:
     return f"""WITH pairs AS (SELECT a.vec_id AS i, a.label AS la, b.label AS lb, {distance} AS d FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
 means AS (SELECT i, la, lb, avg(d) AS m FROM pairs GROUP BY 1, 2, 3),
@@ -94,19 +118,32 @@ def _(t):
     return points.agg(F.count("*").alias("points")).select(r6(F.lit(value), "silhouette"), "points")
 
 
-@query("m05_principal_plane")
+# the two leading directions by power iteration: multiply, divide by the length, take the first one out, again
+PLANE_SQL = f"""{SCALED_SQL},
+cells AS (SELECT i, j, sum(v[i] * v[j]) / (count(*) - 1) AS c FROM scaled, (SELECT unnest(generate_series(1, 8)) AS i), (SELECT unnest(generate_series(1, 8)) AS j) GROUP BY 1, 2),
+matrix AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM cells GROUP BY i)),
+one AS (SELECT 0 AS t, [1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3]::DOUBLE[] AS u UNION ALL
+  SELECT t + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))) FROM (SELECT t, list_transform(m, lambda r: list_dot_product(r, u)) AS w FROM one, matrix WHERE t < 3000)),
+first_axis AS (SELECT u, list_dot_product(u, list_transform(m, lambda r: list_dot_product(r, u))) AS variance FROM one, matrix WHERE t = 3000),
+rest AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - variance * u[i] * u[j])) AS m FROM matrix, first_axis),
+two AS (SELECT 0 AS t, [0.3, -0.4, 0.5, -0.6, 0.7, -0.8, 0.9, 1.0]::DOUBLE[] AS u UNION ALL
+  SELECT t + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))) FROM (SELECT t, list_transform(m, lambda r: list_dot_product(r, u)) AS w FROM two, rest WHERE t < 3000)),
+second_axis AS (SELECT u, list_dot_product(u, list_transform(m, lambda r: list_dot_product(r, u))) AS variance FROM two, rest WHERE t = 3000)"""
+
+
+@query("m05_principal_plane", f"""WITH RECURSIVE {PLANE_SQL}
+SELECT restaurant_id, round(abs(list_dot_product(v, a.u)), 4) AS pc1, round(abs(list_dot_product(v, b.u)), 4) AS pc2 FROM scaled, first_axis a, second_axis b""", "scored")
 def _(t):
-    points = t.embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    return cluster.principal_plane(points).select("vec_id", r6(F.abs("pc1"), "pc1"), r6(F.abs("pc2"), "pc2"))
+    """The sign of an axis is arbitrary."""
+    return cluster.principal_plane(_vectors(t)).select("restaurant_id", F.round(F.abs("pc1"), 4).alias("pc1"), F.round(F.abs("pc2"), 4).alias("pc2"))
 
 
-@query("m05_plane_of_features", f"WITH {FEATURES_SQL} SELECT count(*) AS entities, 0.0 AS correlation, true AS ordered, true AS within_total FROM features", "scored")
+@query("m05_plane_of_features", f"""WITH RECURSIVE {PLANE_SQL}
+SELECT (SELECT count(*) FROM scaled) AS entities, round(a.variance, 6) AS first, round(b.variance, 6) AS second, 0.0 AS correlation FROM first_axis a, second_axis b""", "scored")
 def _(t):
-    """Of the plane of the standardised entity features: the axes are uncorrelated, the first carries most, together at most all."""
+    """Entities, the variance along each axis of the plane, and what the axes still share."""
     plane = cluster.principal_plane(_vectors(t))
-    first, second = F.var_samp("pc1"), F.var_samp("pc2")
-    return plane.agg(F.count("*").alias("entities"), (F.round(F.abs(F.corr("pc1", "pc2")), 6)).alias("correlation"), (first >= second).alias("ordered"),
-                     (first + second <= len(FEATURES) + 1e-6).alias("within_total"))
+    return plane.agg(F.count("*").alias("entities"), r6(F.var_samp("pc1"), "first"), r6(F.var_samp("pc2"), "second"), F.round(F.abs(F.corr("pc1", "pc2")), 6).alias("correlation"))
 
 
 METRICS = {"avg_rating": "avg(overall_rating)", "avg_comida_sentiment": "avg(sentiment_comida_score)", "avg_price_level": "avg(price_level)", "review_count": "count(*)"}
@@ -249,33 +286,92 @@ def _(t):
 
 # --- the classifier ----------------------------------------------------------
 
+def with_classifier(sql: str) -> str:
+    return f"WITH RECURSIVE {csql.LABELLED}, {sql}"
+
+
 def _labelled(t):
     return textmodel.labelled_reviews(t.texts).select("review_id", "review_text", "actual")
 
 
-@query("m07_logistic_scores")
+_JUDGE = f"CASE WHEN score >= 0.5 THEN '{csql.MINORITY}' ELSE '{csql.POSITIVE}' END"
+TIGHT = 1e-10  # the fit goes on until scores agree with another way of training
+
+
+@query("m07_logistic_scores", with_classifier(f"{csql.WHOLE}, {csql.TRAINED} SELECT review_id, actual, {_JUDGE} AS predicted, round(score, 2) AS score FROM probability"), "texts")
 def _(t):
-    data = _labelled(t).persist()
-    return textmodel.fit_model(data).score(data).select("review_id", "actual", "score")
+    data = shared.stored(_labelled(t), "labelled")
+    return textmodel.fit_model(data, tol=TIGHT).predict(data).select("review_id", "actual", "predicted", F.round("score", 2).alias("score"))
 
 
-@query("k08_influential_terms")
+@query("k08_influential_terms", with_classifier(f"""{csql.WHOLE}, {csql.TRAINED},
+ordered AS (SELECT term, -weight AS weight, row_number() OVER (ORDER BY round(-weight, 4) DESC, term) AS up, row_number() OVER (ORDER BY round(-weight, 4), term) AS down FROM coefficients)
+SELECT '{csql.POSITIVE}' AS label, CAST(up AS INT) AS rank, term, round(weight, 3) AS weight FROM ordered WHERE up <= 12
+UNION ALL SELECT '{csql.MINORITY}', CAST(down AS INT), term, round(weight, 3) FROM ordered WHERE down <= 12"""), "texts")
 def _(t):
-    return textmodel.influential_terms(textmodel.fit_model(_labelled(t)))
+    model = textmodel.fit_model(shared.stored(_labelled(t), "labelled"), tol=TIGHT)
+    return textmodel.influential_terms(model).withColumn("weight", F.round("weight", 3))
+
+
+def _cells(approach: str, rows: str, predicted: str = "predicted", more: str = "") -> str:
+    return f"SELECT '{approach}' AS approach{more}, {CELLS} FROM (SELECT actual AS a, {predicted} AS p FROM {rows})"
+
+
+_FOLDS = f"{csql.fold_parts('labelled')}, parts AS (SELECT * FROM folds), {csql.TRAINED}, oof AS (SELECT * FROM probability WHERE NOT train)"
+
+
+@query("m09_fold_table", with_classifier(f"{_FOLDS} SELECT fold, tp, fn, fp, tn, {RATIOS} FROM (SELECT CAST(f AS INT) AS fold, {CELLS} FROM (SELECT fit AS f, actual AS a, {_JUDGE} AS p FROM oof) GROUP BY f)"), "texts")
+def _(t):
+    oof = textmodel.out_of_fold(_labelled(t), "review_id", tol=TIGHT)
+    return textmodel.fold_table(oof).select("fold", "tp", "fn", "fp", "tn", *[r6(c) for c in RATIO_NAMES])
+
+
+@query("m09_cross_validation", with_classifier(f"""{_FOLDS}, cells AS (SELECT f, {CELLS} FROM (SELECT fit AS f, actual AS a, {_JUDGE} AS p FROM oof) GROUP BY f),
+scored AS (SELECT (coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) + coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0)) / 2 AS f1 FROM cells)
+SELECT round(avg(f1), 6) AS f1_macro_mean, round(stddev_pop(f1), 6) AS f1_macro_std, count(*) AS folds FROM scored"""), "texts")
+def _(t):
+    out = textmodel.cross_validation(textmodel.out_of_fold(_labelled(t), "review_id", tol=TIGHT))
+    return out.select(r6("f1_macro_mean"), r6("f1_macro_std"), "folds")
+
+
+_LEXICON = f"""{TOKENS_SQL}, lexicon AS (SELECT l.review_id, l.actual, CASE WHEN coalesce((CASE WHEN n1 THEN {score_of('l1')} ELSE 0 END + CASE WHEN n2 THEN {score_of('l2')} ELSE 0 END
+   + CASE WHEN n3 THEN {score_of('l3')} ELSE 0 END + CASE WHEN n4 THEN {score_of('l4')} ELSE 0 END)
+   / nullif(CAST(n1 AS INT) + CAST(n2 AS INT) + CAST(n3 AS INT) + CAST(n4 AS INT), 0), {score_of('l1')}) > 0
+   THEN 'positiva' ELSE 'no positiva' END AS predicted FROM details d JOIN labelled l ON l.review_id = d.doc_id)"""
+
+# fits 0 to 4 learn from the training part without one fold each, fit 5 from all of it
+_HELD_OUT = f"""{csql.sample('labelled', '(SELECT ceil(0.25 * count(*)) FROM labelled)')}, learning AS (SELECT review_id, actual FROM sampled WHERE NOT inside),
+{csql.fold_parts('learning')}, parts AS (SELECT * FROM folds UNION ALL SELECT 5, review_id, NOT inside FROM sampled), {csql.TRAINED},
+oof AS (SELECT * FROM probability WHERE fit < 5 AND NOT train), tested AS (SELECT * FROM probability WHERE fit = 5 AND NOT train)"""
+_BEST = f"""tried AS (SELECT threshold, {CELLS} FROM (SELECT {_THRESHOLD} AS threshold, actual AS a, CASE WHEN score >= {_THRESHOLD} THEN '{csql.MINORITY}' ELSE '{csql.POSITIVE}' END AS p
+  FROM oof, (SELECT unnest(generate_series(0, 80)) AS i)) GROUP BY 1), best AS (SELECT threshold FROM (SELECT threshold, {RATIOS} FROM tried) ORDER BY f1_macro DESC, threshold LIMIT 1)"""
+_AREA = f"""area AS (SELECT round(sum(CASE WHEN f.score > o.score THEN 1.0 WHEN f.score = o.score THEN 0.5 ELSE 0 END) / count(*), 6) AS auc
+  FROM tested f JOIN tested o ON f.actual = '{csql.MINORITY}' AND o.actual <> '{csql.MINORITY}')"""
 
 
-@query("m09_cross_validation")
+@query("m11_train_and_evaluate", with_classifier(f"""{_HELD_OUT}, {_BEST}, {_AREA}, {_LEXICON},
+cells AS ({_cells('model_chosen_threshold', 'tested, best', f"CASE WHEN score >= threshold THEN '{csql.MINORITY}' ELSE '{csql.POSITIVE}' END")}
+  UNION ALL {_cells('model_half', 'tested', _JUDGE)} UNION ALL {_cells('lexicon_test', '(SELECT x.* FROM lexicon x JOIN sampled USING (review_id) WHERE inside)')} UNION ALL {_cells('lexicon_all', 'lexicon')})
+SELECT approach, tp, fn, fp, tn, {RATIOS}, CASE WHEN approach LIKE 'model%' THEN auc END AS auc FROM cells, area"""), "texts")
 def _(t):
-    return textmodel.cross_validation(textmodel.out_of_fold(_labelled(t), "review_id"))
+    out = textmodel.train_and_evaluate(t.texts, lexicon=LEXICON, tol=TIGHT).results
+    return out.select("approach", "tp", "fn", "fp", "tn", *[r6(c) for c in RATIO_NAMES], r6("auc"))
 
 
-@query("m11_train_and_evaluate")
+@query("m11_cross_validation", with_classifier(f"""{_HELD_OUT}, {_BEST}
+SELECT fold, tp, fn, fp, tn, {RATIOS}, (SELECT round(threshold, 6) FROM best) AS threshold FROM (SELECT CAST(f AS INT) AS fold, {CELLS} FROM (SELECT fit AS f, actual AS a, {_JUDGE} AS p FROM oof) GROUP BY f)"""), "texts")
 def _(t):
-    return textmodel.train_and_evaluate(t.texts, lexicon=LEXICON).results
+    """Folds of the training part, and the threshold chosen on them."""
+    done = textmodel.train_and_evaluate(t.texts, lexicon=LEXICON, tol=TIGHT)
+    return done.folds.select("fold", "tp", "fn", "fp", "tn", *[r6(c) for c in RATIO_NAMES], r6(F.lit(done.threshold), "threshold"))
 
 
-@query("m12_compare_approaches")
+@query("m12_compare_approaches", with_classifier(f"""{csql.sample('labelled', '80')}, parts AS (SELECT 0 AS fit, review_id, NOT inside AS train FROM sampled), {csql.TRAINED}, {_LEXICON},
+cells AS ({_cells('lexicon', '(SELECT x.* FROM lexicon x JOIN sampled USING (review_id) WHERE inside)')} UNION ALL {_cells('supervised', '(SELECT * FROM probability WHERE NOT train)', _JUDGE)}
+  UNION ALL {_cells('external', '(SELECT x.actual, CASE WHEN review_id % 3 = 0 OR toxic IS DISTINCT FROM 1 THEN ' + f"'{csql.POSITIVE}' ELSE '{csql.MINORITY}'" + ' END AS predicted FROM labelled x JOIN sampled USING (review_id) WHERE inside)')})
+SELECT approach, tp, fn, fp, tn, {RATIOS} FROM cells"""), "texts")
 def _(t):
     answers = t.labels.select(F.col("doc_id").alias("review_id"), F.when(F.col("doc_id") % 3 != 0, F.concat(
         F.lit('{"comida": "'), F.when(F.col("toxic") == 1, "negative").otherwise("positive"), F.lit('"}'))).alias("response"))
-    return textmodel.compare_approaches(t.texts, sample_size=80, lexicon=LEXICON, responses=answers)
+    out = textmodel.compare_approaches(t.texts, sample_size=80, lexicon=LEXICON, responses=answers, tol=TIGHT)
+    return out.select("approach", "tp", "fn", "fp", "tn", *[r6(c) for c in RATIO_NAMES])

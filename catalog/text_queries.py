@@ -294,20 +294,14 @@ def _(t):
 
 @query("w14_neighbour_words", f"""WITH {TOKENS_SQL}
 SELECT doc_id, count(*) FILTER (pol <> 0) AS polar_words, count(*) FILTER (abs(pol) = 1.5) AS stressed,
-  round(CAST(coalesce(sum(pol) FILTER (pol > 0), 0) AS DOUBLE), 6) AS positive_sum FROM polar GROUP BY doc_id""")
-def _(t):
-    """The same windows, spelled out: positions explode and neighbours are read by lag."""
-    from pyspark.sql import Window
-    words = F.regexp_extract_all(F.lower("text"), F.lit(f"([{fixed.WORD_LETTERS}]+)"), F.lit(1))
-    tokens = t.documents.select("doc_id", F.posexplode(words).alias("i", "w"))
-    near = Window.partitionBy("doc_id").orderBy("i")
-    base = F.when(F.col("w").isin(list(LEXICON.positive)), 1.0).when(F.col("w").isin(list(LEXICON.negative)), -1.0).otherwise(0.0)
-    negated = F.max(F.col("w").isin(list(LEXICON.negators))).over(near.rowsBetween(-3, -1))
-    stressed = F.max(F.col("w").isin(list(LEXICON.intensifiers))).over(near.rowsBetween(-2, -1))
-    polar = tokens.select("doc_id", (base * F.when(negated, -1.0).otherwise(1.0) * F.when(stressed, 1.5).otherwise(1.0)).alias("pol"))
-    return polar.groupBy("doc_id").agg(
-        F.count_if(F.col("pol") != 0).alias("polar_words"), F.count_if(F.abs("pol") == 1.5).alias("stressed"),
-        r6(F.coalesce(F.sum(F.when(F.col("pol") > 0, F.col("pol"))), F.lit(0.0)), "positive_sum"))
+  round(CAST(coalesce(sum(pol) FILTER (pol > 0), 0) AS DOUBLE), 6) AS positive_sum FROM documents LEFT JOIN polar USING (doc_id) GROUP BY doc_id""")
+def _(t):
+    codes = sentiment._word_codes(F.lower("text"), LEXICON)
+    words = text.let(codes, lambda c: F.transform(sentiment._polar_positions(c), lambda i: sentiment._double_polarity(c, i) / 2))
+    rows = t.documents.select("doc_id", words.alias("pol"))
+    gains = F.aggregate(F.filter("pol", lambda p: p > 0), F.lit(0.0), lambda a, p: a + p)
+    return rows.select("doc_id", F.size("pol").cast("long").alias("polar_words"), F.size(F.filter("pol", lambda p: F.abs(p) == 1.5)).cast("long").alias("stressed"),
+                       r6(gains, "positive_sum"))
 
 
 @query("j09_nearest_mention", f"""WITH {TOKENS_SQL}

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from typing import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from savora import fixed_values as fixed
 from savora.functions import parse, scores
 from savora.operators.ordering import sized_partitions
+from savora.plans.concurrent import side_by_side
+from savora.sources import shared
 
 SEED = 42
 RESTARTS = 10
@@ -40,8 +43,8 @@ def entity_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
         aggs["price_level"] = F.avg("price_level")
     elif "price_range" in df.columns:
         aggs["price_level"] = F.avg(parse.price_level(F.col("price_range")))
-    grouped = df.filter(F.col("restaurant_id").isNotNull()).groupBy("restaurant_id").agg(
-        *[c.alias(n) for n, c in aggs.items()]).persist()  # one row per entity, read again by every later step
+    grouped = shared.stored(df.filter(F.col("restaurant_id").isNotNull()).groupBy("restaurant_id").agg(
+        *[c.alias(n) for n, c in aggs.items()]), "entities")  # one row per entity, read again by every later step
     means = grouped.agg(*[F.avg(n).alias(n) for n in aggs]).first()
     names = [n for n in aggs if means[n] is not None]
     return grouped.select("restaurant_id", *[F.coalesce(n, F.lit(means[n])).alias(n) for n in names]), names
@@ -67,78 +70,102 @@ def feature_vectors(df: DataFrame, columns: Sequence[str], id_column: str = "res
     return scaler.fit(assembled).transform(assembled).select(id_column, "features")
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS) -> KMeansModel:
-    """The cheapest of several seeded starts."""
-    fits = [KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS, featuresCol="features",
-                   predictionCol="cluster").fit(vectors) for i in range(restarts)]
+@contextmanager
+def in_memory(vectors: DataFrame) -> Iterator[DataFrame]:
+    """Vectors kept, in as many partitions as they fill, while several fits read them."""
+    kept = sized_partitions(vectors, vectors.count()).persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def _start(vectors: DataFrame, k: int, seed: int) -> KMeansModel:
+    return KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster").fit(vectors)
+
+
+def _cheapest(fits: Sequence[KMeansModel]) -> KMeansModel:
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
+def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, restarts: int = RESTARTS) -> KMeansModel:
+    """The cheapest of several seeded starts, which run side by side; the first of equally cheap ones."""
+    return _cheapest(side_by_side([lambda i=i: _start(vectors, k, seed + i) for i in range(restarts)]))
+
+
 # --- silhouette --------------------------------------------------------------
 
-SLICE_BYTES = 64 * 1024 * 1024
+POINTS_PER_BLOCK = 4096
 
 
 def euclidean_silhouette(points: DataFrame, id_column: str, vector: str, cluster: str,
-                         slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                         points_per_block: int = POINTS_PER_BLOCK) -> DataFrame:
     """Mean silhouette with plain distances (one row: silhouette, points): a measure for a finished clustering.
 
-    Plain distances have no closed form, so every point meets every other one.
-    No pairs are emitted: the points are cut by hash into slices of a bounded
-    size, each slice is broadcast in turn, and every task adds up the distances
-    from its own points to the slice, per cluster.  ``vector`` is an array column.
+    Plain distances have no closed form, so every point meets every other one, in blocks: the points are
+    cut by hash into blocks of a bounded size, a task holds two of them, and what leaves it is one sum of distances per point and cluster.
+    ``vector`` is an array column.
     """
-    spark = points.sparkSession
     named = points.select(F.col(id_column).cast("string").alias("id"), F.col(vector).cast("array<double>").alias("v"),
                           F.col(cluster).cast("int").alias("c"))
-    shape = named.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    sizes = {r["c"]: r["n"] for r in named.groupBy("c").agg(F.count("*").alias("n")).collect()}
-    clusters = sorted(sizes)
-    if not shape["n"] or len(clusters) < 2:
-        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette"),
-                                     F.lit(shape["n"]).cast("long").alias("points"))
-    slices = max(1, -(-shape["n"] * shape["d"] * 8 // slice_bytes))
-    place = {c: i for i, c in enumerate(clusters)}
-
-    total = None
-    for s in range(slices):
-        part = named.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == s).select("v", "c").toPandas()
-        if part.empty:
-            continue
-        shared = spark.sparkContext.broadcast((np.stack(part["v"].to_numpy()),
-                                               part["c"].map(place).to_numpy()))
-
-        def distance_sums(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            others, labels = shared.value
-            onehot = np.eye(len(place))[labels]
-            for batch in batches:
-                for start in range(0, len(batch), 256):
-                    rows = batch.iloc[start:start + 256]
-                    own = np.stack(rows["v"].to_numpy())
-                    gap = np.sqrt(np.maximum(
-                        ((own[:, None, :] - others[None, :, :]) ** 2).sum(axis=2)
-                        if len(others) * own.shape[1] * len(own) < 5_000_000 else
-                        (own ** 2).sum(1)[:, None] + (others ** 2).sum(1)[None, :] - 2 * own @ others.T, 0))
-                    yield pd.DataFrame({"id": rows["id"], "c": rows["c"], "sums": list(gap @ onehot)})
-
-        sums = named.mapInPandas(distance_sums, "id string, c int, sums array<double>")
-        total = sums if total is None else total.unionByName(sums)
-    if slices > 1:
-        total = total.groupBy("id", "c").agg(
-            F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(len(clusters))]).alias("sums"))
-
-    own = own_size = None
-    others = []
-    for i, c in enumerate(clusters):
-        mine = F.col("c") == c
-        own = F.when(mine, F.get("sums", F.lit(i))) if own is None else own.when(mine, F.get("sums", F.lit(i)))
-        own_size = F.when(mine, sizes[c]) if own_size is None else own_size.when(mine, sizes[c])
-        others.append(F.when(~mine, F.get("sums", F.lit(i)) / sizes[c]))
-    nearest = F.least(*others) if len(others) > 1 else others[0]
-    inside = own / (own_size - 1)
-    value = F.when(own_size == 1, 0.0).otherwise(
-        F.coalesce(F.try_divide(nearest - inside, F.greatest(nearest, inside)), F.lit(0.0)))
-    return total.agg(F.avg(value).alias("silhouette"), F.count("*").alias("points"))
+    blocks = max(1, -(-named.count() // points_per_block))
+    packed = named.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v", "c")).alias("rows"))
+    packed = shared.stored(packed, "blocks")
+    own = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumnRenamed("rows", "own")
+    met = own.join(packed.select(F.col("block").alias("other"), "rows"), "other").select("own", "rows")
+
+    def distance_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+            rows = column.flatten()
+            return rows.field(0), np.stack(rows.field(1).to_numpy(zero_copy_only=False)), rows.field(2).to_numpy()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (ids, mine, labels), (_, others, other_labels) = (parts(batch.column(k).slice(i, 1)) for k in (0, 1))
+                clusters, which = np.unique(other_labels, return_inverse=True)
+                member = np.eye(len(clusters))[which]
+                for at in range(0, len(mine), 256):
+                    few = mine[at:at + 256]
+                    gaps = np.sqrt(np.stack([((few - other) ** 2).sum(axis=1) for other in others], axis=1)) @ member
+                    n = len(few)
+                    yield pa.RecordBatch.from_arrays([ids.slice(at, n).take(pa.array(np.repeat(np.arange(n), len(clusters)))), pa.array(np.repeat(labels[at:at + n], len(clusters))),
+                                                      pa.array(np.tile(clusters, n)), pa.array(gaps.ravel())], ["id", "c", "other", "gap"])
+    sizes = named.groupBy(F.col("c").alias("other")).agg(F.count("*").alias("n"))
+    sums = met.mapInArrow(distance_sums, "id string, c int, other int, gap double").groupBy("id", "c", "other").agg(F.sum("gap").alias("gap")).join(sizes, "other")
+    mine = F.col("other") == F.col("c")
+    per_point = sums.groupBy("id", "c").agg(
+        F.max(F.when(mine, F.col("n"))).alias("size"), F.max(F.when(mine, F.try_divide(F.col("gap"), F.col("n") - 1))).alias("inside"),
+        F.min(F.when(~mine, F.col("gap") / F.col("n"))).alias("nearest"))
+    value = F.when(F.col("size") == 1, 0.0).otherwise(F.coalesce(F.try_divide(F.col("nearest") - F.col("inside"), F.greatest("nearest", "inside")), F.lit(0.0)))
+    return per_point.agg(F.when(F.count("nearest") > 0, F.avg(value)).alias("silhouette"), F.count("*").alias("points"))
+
+
+def silhouette_table(points: DataFrame, vector: str, clusterings: Sequence[str]) -> DataFrame:
+    """(clustering, clusters, points, silhouette) of several label columns over the same points, with squared distances.
+
+    The mean squared distance of a point to a cluster follows from the cluster's count, mean and mean squared norm, so
+    the points are read twice and nothing is quadratic.  ``vector`` is an array column; a cluster of one point counts 0, a single cluster NULL.
+    """
+    def summed(pairs: Column) -> Column:
+        return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
+
+    def dot(a: Column, b: Column) -> Column:
+        return summed(F.zip_with(a, b, lambda x, y: x * y))
+    size = points.select(F.size(vector)).first()
+    width = size[0] if size else 0
+    rows = points.select(F.col(vector).alias("v"), F.explode(F.array(*[F.struct(F.lit(c).alias("clustering"), F.col(c).cast("int").alias("c")) for c in clusterings])).alias("k"))
+    rows = rows.select("v", "k.*").withColumn("norm", dot(F.col("v"), F.col("v")))
+    stats = rows.groupBy("clustering", "c").agg(F.count("*").alias("n"), F.avg("norm").alias("mean_norm"), F.array(*[F.avg(F.get("v", F.lit(i))) for i in range(width)]).alias("mean"))
+    # clusterings and their clusters are as many as the caller named and a fit may have
+    tables = stats.groupBy("clustering").agg(F.collect_list(F.struct("c", "n", "mean_norm", "mean")).alias("clusters"))
+    far = F.transform("clusters", lambda k: F.struct(k["c"].alias("c"), k["n"].alias("n"), (F.col("norm") + k["mean_norm"] - 2 * dot(F.col("v"), k["mean"])).alias("d")))
+    judged = rows.join(F.broadcast(tables), "clustering").withColumn("far", far)
+    own = F.filter("far", lambda k: k["c"] == F.col("c"))[0]
+    inside = F.try_divide(own["d"] * own["n"], own["n"] - 1)
+    nearest = F.array_min(F.transform(F.filter("far", lambda k: k["c"] != F.col("c")), lambda k: k["d"]))
+    judged = judged.withColumns({"inside": F.greatest(inside, F.lit(0.0)), "nearest": F.greatest(nearest, F.lit(0.0)), "alone": own["n"] == 1})
+    value = F.when(F.col("alone"), 0.0).otherwise(F.coalesce(F.try_divide(F.col("nearest") - F.col("inside"), F.greatest("nearest", "inside")), F.lit(0.0)))
+    out = judged.groupBy("clustering").agg(F.max(F.size("clusters")).alias("clusters"), F.count("*").alias("points"), F.avg(value).alias("silhouette"))
+    return out.withColumn("silhouette", F.when(F.col("clusters") > 1, F.col("silhouette")))
 
 
 def squared_silhouette(predicted: DataFrame, cluster: str = "cluster") -> float:
@@ -160,23 +187,23 @@ def choose_k(vectors: DataFrame, k_range: Sequence[int] = range(2, 10), seed: in
 
     The squared silhouette has a closed form, so the work is linear at every size.
     """
-    n = vectors.count()
-    vectors = sized_partitions(vectors, n).persist()
-    try:
+    with in_memory(vectors) as kept:
+        n = kept.count()
         usable = [k for k in k_range if 2 <= k < n]
-        best, scores = Choice(usable[0] if usable else 2, -1.0), []
-        for k in usable:
-            model = fit_kmeans(vectors, k, seed, restarts)
-            predicted = model.transform(vectors)
-            if predicted.select("cluster").distinct().count() < 2:
-                continue
-            score = squared_silhouette(predicted)
-            scores.append((k, score))
+        starts = [(k, i) for k in usable for i in range(restarts)]
+        fits = side_by_side([lambda k=k, i=i: _start(kept, k, seed + i) for k, i in starts])
+        models = {k: _cheapest([m for (size, _), m in zip(starts, fits) if size == k]) for k in usable}
+        labelled = kept.withColumn("_v", vector_to_array("features"))
+        for k, model in models.items():
+            labelled = model.setPredictionCol(f"k{k}").transform(labelled)
+            model.setPredictionCol("cluster")
+        found = {r["clustering"]: r for r in silhouette_table(labelled, "_v", [f"k{k}" for k in usable]).collect()} if usable else {}
+        scores = [(k, found[f"k{k}"]["silhouette"]) for k in usable if found[f"k{k}"]["silhouette"] is not None]
+        best = Choice(usable[0] if usable else 2, -1.0)
+        for k, score in scores:
             if score > best.score:
-                best = Choice(k, score, model)
+                best = Choice(k, score, models[k])
         return replace(best, scores=tuple(scores))
-    finally:
-        vectors.unpersist()
 
 
 def principal_plane(vectors: DataFrame) -> DataFrame:
@@ -245,13 +272,9 @@ def cluster_reviews(df: DataFrame, k_range: Sequence[int] = range(2, 10), restar
     """The whole job: features, choice of k, fit, profiles, names, labels on the reviews."""
     from savora.operators.explore import cluster_profiles
     features, names = entity_features(df)
-    vectors = feature_vectors(features, names).persist()
-    vectors = sized_partitions(vectors, vectors.count()).persist()
-    try:
-        chosen = choose_k(vectors, k_range, restarts=restarts)
-        model = chosen.model or fit_kmeans(vectors, chosen.k, restarts=restarts)
-        labels = model.transform(vectors).select("restaurant_id", "cluster")
-        labelled = add_cluster_labels(df, labels)
-        return add_cluster_names(labelled, cluster_names(cluster_profiles(labelled)))
-    finally:
-        vectors.unpersist()
+    vectors = shared.stored(feature_vectors(features, names), "vectors")
+    chosen = choose_k(vectors, k_range, restarts=restarts)
+    model = chosen.model or fit_kmeans(vectors, chosen.k, restarts=restarts)
+    labels = shared.stored(model.transform(vectors).select("restaurant_id", "cluster"), "clusters")
+    labelled = add_cluster_labels(df, labels)
+    return add_cluster_names(labelled, cluster_names(cluster_profiles(labelled)))

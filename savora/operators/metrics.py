@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from savora import fixed_values as fixed
 from savora.operators import ordering
+from savora.sources import shared
 
 MINORITY, POSITIVE = fixed.MINORITY_CLASS, fixed.POSITIVE_CLASS
 
@@ -72,7 +73,8 @@ def roc_auc(df: DataFrame, actual: str = "actual", score: str = "score", buckets
     """
     per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(actual) == MINORITY).alias("found"),
-        F.count_if(F.col(actual) != MINORITY).alias("others")).persist()
+        F.count_if(F.col(actual) != MINORITY).alias("others"))
+    per_score = shared.stored(per_score, "scores")  # read for the cuts, the bucket totals and the sums
     bucketed = ordering.range_buckets(per_score, "score", buckets)
     below = ordering.running_total(bucketed, "others", ["score"], "others_to")
     won = F.col("found") * (F.col("others_to") - F.col("others") + F.col("others") * 0.5)

@@ -7,7 +7,6 @@ from functools import reduce
 from typing import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer)
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +17,8 @@ from savora import fixed_values as fixed
 from savora.functions import parse, scores, sentiment, text
 from savora.functions.text import let
 from savora.operators import metrics, ordering, splits
+from savora.plans.concurrent import side_by_side
+from savora.sources import shared
 
 MIN_DF, MAX_DF = 2, 0.9
 TOLERANCE = 1e-4  # the stopping tolerance the published figures were made with
@@ -76,7 +77,7 @@ def tfidf(df: DataFrame, id_column: str, body: str = "review_text", min_df: int
     The join on the term may meet a term that a third of the documents use;
     adaptive execution splits that partition of the counts.
     """
-    counts = term_counts(df, id_column, body, stopwords).persist(StorageLevel.DISK_ONLY)  # read twice: for the vocabulary and the weights
+    counts = shared.stored(term_counts(df, id_column, body, stopwords), "terms")  # read twice: for the vocabulary and the weights
     known = vocabulary(counts, df.count(), min_df, max_df)
     raw = counts.join(known, "term").select(
         id_column, "term", ((F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")).alias("w"))
@@ -161,7 +162,7 @@ def predicted_class(score: Column, threshold: float) -> Column:
 
 
 def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual", c: float = 1.0, id_column: str = "review_id",
-              max_rows: int = MAX_FIT_ROWS, **vectoriser_options) -> TextModel:
+              max_rows: int = MAX_FIT_ROWS, tol: float = TOLERANCE, **vectoriser_options) -> TextModel:
     """L2 logistic regression with balanced class weights.
 
     Of more than ``max_rows`` rows it learns from a stratified sample, in the order of
@@ -180,22 +181,33 @@ def fit_model(train: DataFrame, body: str = "review_text", label: str = "actual"
     try:
         classifier = LogisticRegression(
             weightCol="w", regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-            maxIter=1000, tol=TOLERANCE, family="binomial").fit(prepared)
+            maxIter=1000, tol=tol, family="binomial").fit(prepared)
     finally:
         prepared.unpersist()
         counted.unpersist()
     return TextModel(vectoriser, classifier)
 
 
-def influential_terms(model: TextModel, n: int = 12) -> DataFrame:
-    """The terms that push hardest towards each class: (label, rank, term, weight)."""
+def coefficients(model: TextModel) -> DataFrame:
+    """(term, weight towards the minority class): as many rows as the vocabulary, which ``MAX_FIT_ROWS`` bounds."""
     from pyspark.sql import SparkSession
-    weights = -np.asarray(model.classifier.coefficients.toArray())  # towards the positive class
-    words = model.vectoriser.counter.vocabulary
-    order = np.argsort(weights, kind="stable")
-    rows = [(POSITIVE, r + 1, words[i], float(weights[i])) for r, i in enumerate(order[::-1][:n])]
-    rows += [(MINORITY, r + 1, words[i], float(weights[i])) for r, i in enumerate(order[:n])]
-    return SparkSession.getActiveSession().createDataFrame(rows, "label string, rank int, term string, weight double")
+    weights = model.classifier.coefficients.toArray().tolist()
+    return SparkSession.getActiveSession().createDataFrame(list(zip(model.vectoriser.counter.vocabulary, weights)), "term string, weight double")
+
+
+def influential_terms(model: TextModel, n: int = 12) -> DataFrame:
+    """The terms that push hardest towards each class: (label, rank, term, weight), positive weights towards the positive class.
+
+    Weights that agree to four digits are ordered by term: terms that always occur together weigh the same.
+    """
+    towards = coefficients(model).select("term", (-F.col("weight")).alias("weight"))
+
+    def hardest(label: str, order: Column) -> DataFrame:
+        top = towards.orderBy(order, "term").limit(n)
+        rank = F.row_number().over(Window.orderBy(order, "term"))  # over n rows
+        return top.select(F.lit(label).alias("label"), rank.alias("rank"), "term", "weight")
+    rounded = F.round("weight", 4)
+    return hardest(POSITIVE, rounded.desc()).unionByName(hardest(MINORITY, rounded.asc()))
 
 
 def lexicon_predictions(df: DataFrame, lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
@@ -217,20 +229,24 @@ def external_predictions(df: DataFrame, responses: DataFrame, id_column: str,
 # --- evaluation --------------------------------------------------------------
 
 def out_of_fold(df: DataFrame, id_column: str, k: int = 5, body: str = "review_text", **options) -> DataFrame:
-    """Scores of every row by a model that never saw it."""
+    """Scores of every row by a model that never saw it.  The folds are fitted side by side."""
     rows = with_terms(df, body).select(id_column, body, "actual", TERMS)
-    folded = splits.folds(rows, "actual", id_column, k).persist()
-    parts = []
-    for f in range(k):
+    folded = shared.stored(splits.folds(rows, "actual", id_column, k), "folds")
+
+    def scored(f: int) -> DataFrame:
         model = fit_model(folded.filter(F.col("fold") != f), body, id_column=id_column, **options)
-        parts.append(model.score(folded.filter(F.col("fold") == f), body).drop(body))
-    return reduce(DataFrame.unionByName, parts)
+        return model.score(folded.filter(F.col("fold") == f), body).drop(body)
+    return shared.stored(reduce(DataFrame.unionByName, side_by_side([lambda f=f: scored(f) for f in range(k)])), "out-of-fold")
+
+
+def fold_table(oof: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The four cells and the metrics of each fold."""
+    return metrics.evaluate(oof.withColumn("predicted", predicted_class(F.col("score"), threshold)), by=["fold"])
 
 
 def cross_validation(oof: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Mean and deviation of the macro F1 over the folds."""
-    judged = oof.withColumn("predicted", predicted_class(F.col("score"), threshold))
-    return metrics.evaluate(judged, by=["fold"]).agg(
+    return fold_table(oof, threshold).agg(
         F.avg("f1_macro").alias("f1_macro_mean"), F.stddev_pop("f1_macro").alias("f1_macro_std"),
         F.count("*").alias("folds"))
 
@@ -248,25 +264,27 @@ class Training:
     results: DataFrame       # one row per approach
     terms: DataFrame
     distribution: DataFrame
+    folds: DataFrame         # cells and metrics of each fold of the training part
+    cross_validation: DataFrame
 
 
 def train_and_evaluate(df: DataFrame, id_column: str = "review_id", test_size: float = 0.25,
                        lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON,
                        body: str = "review_text", **options) -> Training:
-    """Threshold from the training part only; model and lexicon judged on the same test rows."""
-    data = with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS).persist()
-    train, test = splits.hold_out(data, "actual", id_column, test_size)
-    train, test = train.persist(), test.persist()
-    threshold = metrics.best_threshold(out_of_fold(train, id_column, body=body, **options)).first()["threshold"]
+    """Threshold and cross-validation from the training part only; model and lexicon judged on the same test rows."""
+    data = shared.stored(with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS), "labelled")
+    train, test = (shared.stored(part, "part") for part in splits.hold_out(data, "actual", id_column, test_size))
+    oof = out_of_fold(train, id_column, body=body, **options)
+    threshold = metrics.best_threshold(oof).first()["threshold"]
     model = fit_model(train, body, id_column=id_column, **options)
-    scored = model.score(test, body).persist()
+    scored = shared.stored(model.score(test, body).select(id_column, "actual", "score"), "scored")
     area = metrics.roc_auc(scored)
     results = [
         _named("model_chosen_threshold", scored.withColumn("predicted", predicted_class(F.col("score"), threshold)), area),
         _named("model_half", scored.withColumn("predicted", predicted_class(F.col("score"), 0.5)), area),
         _named("lexicon_test", lexicon_predictions(test, lexicon, body)),
         _named("lexicon_all", lexicon_predictions(data, lexicon, body))]
-    return Training(model, threshold, reduce(DataFrame.unionByName, results), influential_terms(model), metrics.label_counts(data))
+    return Training(model, threshold, reduce(DataFrame.unionByName, results), influential_terms(model), metrics.label_counts(data), fold_table(oof), cross_validation(oof))
 
 
 def compare_approaches(df: DataFrame, id_column: str = "review_id", sample_size: int = 80,
@@ -276,8 +294,8 @@ def compare_approaches(df: DataFrame, id_column: str = "review_id", sample_size:
 
     The model learns from the rows outside the sample.
     """
-    data = with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS).persist()
-    sample = splits.stratified_sample(data, "actual", id_column, sample_size).persist()
+    data = shared.stored(with_terms(labelled_reviews(df), body).select(id_column, body, "actual", TERMS), "labelled")
+    sample = shared.stored(splits.stratified_sample(data, "actual", id_column, sample_size), "sample")
     model = fit_model(splits.rows_outside(data, sample, id_column), body, id_column=id_column, **options)
     judged = [("lexicon", lexicon_predictions(sample, lexicon, body)), ("supervised", model.predict(sample, body=body))]
     if responses is not None:
