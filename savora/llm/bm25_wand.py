@@ -2,23 +2,25 @@
 
 A passage is a window of twice the longest item, moved by the length of that item, so each copy of an item
 lies whole in some window.  The score of an item is BM25 over the distinct words of the passage, divided by the score of the
-item's own text, so that 1 means all of it.  Block-max WAND finds every item that reaches ``threshold``: the
-upper bound of a passage is tested for all windows at once, those that pass walk the posting lists, which are ordered by
-item and hold the maximum of each block, and skip what cannot reach it.  Retrieved items are verified: the shares
+item's own text, so that 1 means all of it.  Every word of an item counts.  Its commonest words, as long as they weigh at most ``SPARE`` of
+``threshold`` together, are not looked for but added once the others, the essential ones, weigh what is then still needed: without that the threshold is out of reach.  Block-max WAND
+over the essential words finds every item that gets there: the upper bound of a passage is tested for all windows at once, those that pass walk the posting
+lists, which are ordered by item and hold the maximum of each block, and skip what cannot reach it.  Retrieved items are verified: the shares
 of the question and of the answer that stand in the passage must both reach ``overlap``.  The question is all
 of an item but its last sentence, the answer is that sentence; of a single sentence they are its halves.  A share is that of the
 word runs, or that of the words that need no edit where the part fits best, so one changed word does not undo all runs around
 it.  Two or three words are fitted together with their neighbours in the item, five words in all; a single word must be there.
 
-Words that over ``common`` of the distinct item texts hold are not indexed, unless an item has no other.  Items are indexed in
-blocks of bounded size, one broadcast each, so the benchmark may grow.
+Items are indexed in blocks of bounded size, one broadcast each, so the benchmark may grow.
 
 Defined cases: a null text is an empty one and matches nothing, an item without words likewise; equal items each
-match; every row is kept, repeated rows alike; other columns pass through, ``leaks`` is replaced; no items give empty ``leaks``.
+match; every row is kept, repeated rows alike; a text of any length is searched whole, window by window; other columns pass through, ``leaks`` is replaced;
+no items give empty ``leaks``, no rows none.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 from typing import Iterator
@@ -26,14 +28,15 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from savora.llm import byte_text
-from savora.llm.common import slots, stored
+from savora.llm.common import kept_by_worker, slots, stored
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.5, 0.7
-COMMON = 0.05
+SPARE = 0.8
 RUN = 5
 POSTINGS_BLOCK = 64
 BLOCK_CHARS = 16 << 20
@@ -117,6 +120,8 @@ def shares_of(question: list[str], answer: list[str], passage: list[str], overla
 
 @dataclass
 class Posting:
+    """Items that a word is essential for, with its share of what they need."""
+
     items: list[int]
     weights: list[float]
     block_max: dict[int, float]
@@ -126,23 +131,35 @@ class Posting:
 class Index:
     """Inverted index of one block of items, their texts in small letters, with statistics of all items."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], total: int, mean_length: float, common: float):
+    def __init__(self, items: list[tuple[int, str]], df: dict[str, int], total: int, mean_length: float, threshold: float = THRESHOLD, spare: float = SPARE):
+        self.threshold = threshold
         self.ids = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         words = [WORD.findall(t) for _, t in items]
         self.longest = max([1, *map(len, words)])
-        most_df = max(2, common * total)
         postings: dict[str, list[tuple[int, float]]] = {}
+        extras: list[dict[str, float]] = []
+        self.needs: list[float] = []
         for n, own in enumerate(words):
             counts: dict[str, int] = {}
             for w in own:
                 counts[w] = counts.get(w, 0) + 1
-            rare = {w: c for w, c in counts.items() if df[w] <= most_df} or counts
             norm = K1 * (1 - B + B * len(own) / max(mean_length, 1.0))
-            weights = {w: np.log1p((total - df[w] + 0.5) / (df[w] + 0.5)) * c * (K1 + 1) / (c + norm) for w, c in rare.items()}
+            weights = {w: np.log1p((total - df[w] + 0.5) / (df[w] + 0.5)) * c * (K1 + 1) / (c + norm) for w, c in counts.items()}
             whole = sum(weights.values())
-            for w, weight in weights.items():
-                postings.setdefault(w, []).append((n, float(weight / whole)))
+            share = {w: float(weight / whole) for w, weight in weights.items()}
+            need, extra = threshold, {}
+            for w in sorted(share, key=lambda w: (-df[w], w)):
+                if df[w] < 2 or threshold - need + share[w] > spare * threshold:
+                    break
+                need -= share[w]
+                extra[w] = share[w]
+            self.needs.append(need)
+            extras.append(extra)
+            for w, weight in share.items():
+                lists = postings.setdefault(w, [])
+                if w not in extra:
+                    lists.append((n, weight / need))
         terms = sorted(postings)
         joined = [t.encode("utf-8", "replace") for t in terms]
         ends = np.cumsum([len(t) for t in joined], dtype=np.int64)
@@ -155,7 +172,9 @@ class Index:
             block_max: dict[int, float] = {}
             for n, weight in found:
                 block_max[n // POSTINGS_BLOCK] = max(block_max.get(n // POSTINGS_BLOCK, 0.0), weight)
-            self.postings.append(Posting([n for n, _ in found], [w for _, w in found], block_max, max(w for _, w in found)))
+            self.postings.append(Posting([n for n, _ in found], [w for _, w in found], block_max, max((w for _, w in found), default=0.0)))
+        place = {terms[i]: k for k, i in enumerate(order.tolist())}
+        self.extras = [[(place[w], weight) for w, weight in extra.items()] for extra in extras]
         self.most = np.array([p.most for p in self.postings] + [0.0])
         self.seen = np.zeros(1 << 16, bool)  # cheap first test of a hash
         self.seen[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
@@ -170,11 +189,11 @@ class Index:
         out[maybe[same]] = at[same]
         return out
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
+    def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """Block-max WAND: all items whose score over the distinct terms reaches the threshold."""
-        lists = [self.postings[t] for t in terms]
-        cursors = [[p.items[0], 0, p] for p in lists]
-        found, reach = [], threshold - 1e-9
+        present = set(terms)
+        cursors = [[p.items[0], 0, p] for p in map(self.postings.__getitem__, terms) if p.items]
+        found, reach = [], 1 - 1e-9
 
         def forward(cursor: list, target: int) -> None:
             items, at = cursor[2].items, cursor[1]
@@ -204,9 +223,11 @@ class Index:
                 for c in cursors[:pivot + 1]:
                     forward(c, max(target, item + 1))
             elif cursors[0][0] == item:
-                score = sum(c[2].weights[c[1]] for c in cursors[:pivot + 1])
-                if score >= reach:
-                    found.append((item, min(1.0, score)))
+                essential = sum(c[2].weights[c[1]] for c in cursors[:pivot + 1])
+                if essential >= reach:
+                    score = essential * self.needs[item] + sum(weight for t, weight in self.extras[item] if t in present)
+                    if score >= self.threshold - 1e-9:
+                        found.append((item, min(1.0, score)))
                 for c in cursors[:pivot + 1]:
                     forward(c, item + 1)
             else:
@@ -215,7 +236,7 @@ class Index:
             cursors = [c for c in cursors if c[0] >= 0]
         return found
 
-    def leaks(self, texts: pa.Array, threshold: float, overlap: float) -> list[list[dict]]:
+    def leaks(self, texts: pa.Array, overlap: float) -> list[list[dict]]:
         """Verified items of each text, each with its best passage."""
         out: list[list[dict]] = []
         step, width = self.longest, 2 * self.longest
@@ -229,10 +250,10 @@ class Index:
             begins = bounds[rows] + step * (np.arange(len(rows)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows))
             finish = np.minimum(begins + width, bounds[rows + 1])
             found: list[dict[int, dict]] = [{} for _ in range(stop - first)]
-            for w in np.flatnonzero(total[finish] - total[begins] >= threshold - 1e-9).tolist():
+            for w in np.flatnonzero(total[finish] - total[begins] >= 1 - 1e-9).tolist():
                 a, z = int(begins[w]), int(finish[w])
                 known = np.unique(terms[a:z])
-                hits = self.search(known[known < len(self.hashes)].tolist(), threshold)
+                hits = self.search(known[known < len(self.hashes)].tolist())
                 if not hits:
                     continue
                 passage = [bytes(data[s:e]).decode() for s, e in zip(starts[a:z], ends[a:z])]
@@ -246,7 +267,7 @@ class Index:
         return out
 
 
-def build_indexes(items: DataFrame, text: str = "text", item: str = "item_id", common: float = COMMON, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
+def build_indexes(items: DataFrame, text: str = "text", item: str = "item_id", threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> Iterator[Index]:
     """Indexes of blocks of items, each of about ``block_chars``; counts are taken over all distinct texts."""
     rows = items.select(F.col(item).cast("long").alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     held = stored(lower(rows, "text"), "items").select("item_id", "text", F.regexp_extract_all("text", F.lit(WORD_SQL), F.lit(0)).alias("words"))
@@ -262,20 +283,21 @@ def build_indexes(items: DataFrame, text: str = "text", item: str = "item_id", c
         members = [(r[0], r[1]) for r in own.orderBy("item_id", "text").select("item_id", "text").collect()]
         members = [m for m in members if WORD.search(m[1])]
         if members:
-            yield Index(members, df, n_texts, totals[1] or 0.0, common)
+            yield Index(members, df, n_texts, totals[1] or 0.0, threshold)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """Add ``leaks``, the items whose question and answer stand in a passage of the text."""
     out = docs.drop("leaks").withColumn("leaks", F.array().cast(LEAKS))
-    for index in build_indexes(items):
-        shipped = docs.sparkSession.sparkContext.broadcast(index)
+    for index in build_indexes(items, threshold=threshold):
+        shipped = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))  # the class travels along: executors need no copy of this package
 
         def batches(parts: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            index = kept_by_worker(f"wand {hash(shipped.value)}", lambda: pickle.loads(shipped.value))
             for part in parts:
                 names = part.schema.names
                 before = part.column(names.index("leaks")).to_pylist()
-                new = shipped.value.leaks(part.column(names.index(text)), threshold, overlap)
+                new = index.leaks(part.column(names.index(text)), overlap)
                 leaks = pa.array([[*(b or []), *n] for b, n in zip(before, new)], LEAKS_ARROW)
                 yield pa.RecordBatch.from_arrays([leaks if n == "leaks" else part.column(i) for i, n in enumerate(names)], names)
         out = out.mapInArrow(batches, out.schema)

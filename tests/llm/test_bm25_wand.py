@@ -15,7 +15,7 @@ def test_wand_finds_every_item_that_reaches_the_threshold(spark):
     draw = random.Random(1)
     vocabulary = [f"w{i}" for i in range(60)]
     texts = [(i, " ".join(draw.choices(vocabulary, k=draw.randint(2, 12)))) for i in range(300)]
-    index = next(bw.build_indexes(spark.createDataFrame(texts, ITEMS), common=0.4))
+    index = next(bw.build_indexes(spark.createDataFrame(texts, ITEMS)))
     words = {i: t.split() for i, t in texts}
     mean = sum(map(len, words.values())) / len(words)
     distinct = [set(t) for t in {tuple(w) for w in words.values()}]
@@ -24,8 +24,7 @@ def test_wand_finds_every_item_that_reaches_the_threshold(spark):
 
     def score(item, passage):
         own = words[item]
-        rare = {w for w in own if df[w] <= max(2, 0.4 * total)} or set(own)
-        weight = {w: math.log1p((total - df[w] + 0.5) / (df[w] + 0.5)) * own.count(w) * 2.2 / (own.count(w) + 1.2 * (0.25 + 0.75 * len(own) / mean)) for w in rare}
+        weight = {w: math.log1p((total - df[w] + 0.5) / (df[w] + 0.5)) * own.count(w) * 2.2 / (own.count(w) + 1.2 * (0.25 + 0.75 * len(own) / mean)) for w in own}
         return sum(v for w, v in weight.items() if w in passage) / sum(weight.values())
 
     numbers = {h: n for n, h in enumerate(index.hashes.tolist())}
@@ -36,7 +35,7 @@ def test_wand_finds_every_item_that_reaches_the_threshold(spark):
         raw = " ".join(passage).encode()
         starts, ends, _ = byte_text.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), byte_text.NOT_ALNUM)
         terms = sorted({numbers[h] for h in byte_text.word_hashes(np.frombuffer(raw, np.uint8), starts, ends).tolist() if h in numbers})
-        found = {index.ids[i]: s for i, s in index.search(terms, 0.5)}
+        found = {index.ids[i]: s for i, s in index.search(terms)}
         expected = {i: score(i, set(passage)) for i in words if score(i, set(passage)) >= 0.5 - 1e-9}
         assert set(found) == set(expected)
         assert all(abs(found[i] - min(1, expected[i])) < 1e-9 for i in found)
@@ -71,6 +70,67 @@ def test_one_changed_word_does_not_hide_an_item(spark, documents):
     assert leaks(documents(docs), spark.createDataFrame(list(items.items()), ITEMS)) == expected
 
 
+def test_copies_are_found_when_only_common_words_are_left(spark, documents):
+    """Items of 14 words that many items hold and two of their own, both of which are changed in the copy."""
+    draw = random.Random(9)
+    common = [f"word{i}" for i in range(90)]
+    items = [(i, " ".join([*draw.sample(common, 7), f"rare{i}a", *draw.sample(common, 7), f"own{i}b"])) for i in range(100)]
+    held = {w: sum(w in t.split() for _, t in items) for w in common}
+    assert sum(held.values()) / len(held) > 10
+    docs = documents([(i, prose(i, 30) + " " + t.replace(f"rare{i}a", "zzq").replace(f"own{i}b", "qqz") + " " + prose(1000 + i, 30)) for i, t in items])
+    found = leaks(docs, spark.createDataFrame(items, ITEMS))
+    assert found == {i: [i] for i, _ in items}
+
+
+def passages_of(text, width, step):
+    words = bw.WORD.findall(text.lower())
+    return [words[a:a + width] for a in range(0, max(1, len(words) - width + step), step)] if words else []
+
+
+def test_whole_operator_against_every_item_in_every_passage(spark, documents):
+    """Scores of all items over all passages, by the definition; items of common and rare words, copies with edits."""
+    draw = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(70)]
+    items = [(i, " ".join(draw.choices(vocabulary, k=draw.randint(4, 20))) + ". " + " ".join(draw.choices(vocabulary, k=draw.randint(2, 6)))) for i in range(80)]
+    texts = []
+    for i, (_, t) in enumerate(items):
+        words = t.split()
+        for _ in range(i % 4):
+            words[draw.randrange(len(words))] = draw.choice([*vocabulary, "new"])
+        texts.append(" ".join(draw.choices(vocabulary, k=draw.randint(0, 60))) + " " + " ".join(words) + " " + " ".join(draw.choices(vocabulary, k=draw.randint(0, 60))))
+    own = {i: bw.WORD.findall(t.lower()) for i, t in items}
+    distinct = [set(t) for t in {tuple(w) for w in own.values()}]
+    mean, total = sum(map(len, own.values())) / len(own), len(distinct)
+    idf = {w: math.log1p((total - n + 0.5) / (n + 0.5)) for w in vocabulary for n in [sum(w in d for d in distinct)]}
+    longest = max(map(len, own.values()))
+    expected = {}
+    for d, text in enumerate(texts, 1):
+        found = set()
+        for passage in passages_of(text, 2 * longest, longest):
+            for i, words in own.items():
+                weight = {w: idf[w] * words.count(w) * 2.2 / (words.count(w) + 1.2 * (0.25 + 0.75 * len(words) / mean)) for w in words}
+                if sum(v for w, v in weight.items() if w in passage) >= 0.5 * sum(weight.values()):
+                    question, answer = bw.question_and_answer(dict(items)[i])
+                    if min(bw.shares_of(question, answer, passage, bw.OVERLAP)) >= bw.OVERLAP:
+                        found.add(i)
+        expected[d] = sorted(found)
+    assert sum(map(len, expected.values())) > 40
+    assert leaks(documents(texts), spark.createDataFrame(items, ITEMS)) == expected
+
+
+def test_index_travels_without_the_package():
+    """A process that cannot import the package unpickles and uses what is broadcast."""
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    items = [(1, "alpha beta gamma delta"), (2, "alpha epsilon zeta eta")]
+    df = {w: sum(w in t for _, t in items) for _, t in items for w in t.split()}
+    packed = cloudpickle.dumps(bw.Index(items, df, 2, 4.0))
+    code = "import sys, pickle, pyarrow as pa; i = pickle.loads(sys.stdin.buffer.read()); assert not any(m.startswith('savora') for m in sys.modules); print([[x['item_id'] for x in r] for r in i.leaks(pa.array(['Alpha beta gamma delta', 'zeta']), 0.7)])"
+    done = subprocess.run([sys.executable, "-c", code], input=packed, capture_output=True, cwd="/", env={"PATH": "/usr/bin"})
+    assert done.stdout.decode().strip() == "[[1], []]", done.stderr.decode()[-500:]
+
+
 def test_edits_are_those_of_the_plain_table():
     draw = random.Random(5)
     for _ in range(300):
@@ -93,7 +153,7 @@ def test_blocks_of_items_agree_with_one_index(spark, documents):
     assert sum(1 for _ in bw.build_indexes(frame, block_chars=500)) > 2
     found = {}
     for index in bw.build_indexes(frame, block_chars=500):
-        for d, own in zip(docs.collect(), index.leaks(pa.array([r["text"] for r in docs.collect()]), bw.THRESHOLD, bw.OVERLAP)):
+        for d, own in zip(docs.collect(), index.leaks(pa.array([r["text"] for r in docs.collect()]), bw.OVERLAP)):
             found.setdefault(d["doc_id"], []).extend(x["item_id"] for x in own)
     assert found == one == {i + 1: [i] for i in range(12)}
     assert bw.find_leaks(out, frame).columns.count("leaks") == 1
