@@ -126,6 +126,38 @@ def _(t):
     return out.select("s_suppkey", "m.name", r6("m.rating", "rating"), "m.price_range", "m.category", "m.location")
 
 
+@query("s14_card_reviews", r"""
+SELECT conv_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS review_text, CASE WHEN turn % 3 <> 0 THEN role END AS reviewer_name, CAST(NULL AS DOUBLE) AS review_rating,
+  CASE WHEN turn % 2 = 0 THEN '2024-02-' || lpad(CAST(turn % 28 + 1 AS VARCHAR), 2, '0') ELSE 'hace ' || turn || ' meses' END AS review_date
+FROM conversations WHERE length(trim(regexp_replace(text, '\s+', ' ', 'g'))) >= 10""")
+def _(t):
+    """Pages that mark reviews by class: bodies of three kinds, some without an author, dates for machines or for readers."""
+    turn = F.col("turn")
+    kind = F.when(turn % 3 == 0, "text").when(turn % 3 == 1, "text_full").otherwise("text_overflow")
+    author = F.when(turn % 3 == 1, F.concat(F.lit('<a class="author_name">'), "role", F.lit("</a>"))).when(turn % 3 == 2, F.concat(F.lit('<i class="card author">'), "role", F.lit("</i>"))).otherwise("")
+    date = F.when(turn % 2 == 0, F.concat(F.lit('<time datetime="2024-02-'), F.lpad((turn % 28 + 1).cast("string"), 2, "0"), F.lit('T08:00">x</time>'))).otherwise(
+        F.concat(F.lit('<span class="user_date">hace '), turn.cast("string"), F.lit(" meses</span>")))
+    card = F.concat(F.lit('<div class="o_review big"><p class="'), kind, F.lit('">'), _escaped("text"), F.lit("</p>"), author, date, F.lit("</div>"))
+    grouped = t.conversations.select("conv_id", "turn", card.alias("r")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "r"))).alias("cards"))
+    html = F.array_join(F.transform("cards", lambda x: x["r"]), "\n")
+    return grouped.select("conv_id", F.inline(pages.card_reviews(html)))
+
+
+@query("s15_json_ld_record", """
+SELECT s_suppkey, 'rg_' || substr(md5(lower(replace(s_name, '#', '-'))), 1, 10) AS restaurant_id, CASE WHEN s_suppkey % 3 = 0 THEN 'Titulo ' || s_suppkey ELSE s_name END AS restaurant_name,
+  'Pizza' AS category, CAST(NULL AS VARCHAR) AS location, CASE WHEN s_suppkey % 2 = 0 THEN '$$' END AS price_range, round(s_acctbal, 6) AS overall_rating FROM supplier""")
+def _(t):
+    """Records with an id from the URL; where the block has no name, the heading gives it."""
+    key = F.col("s_suppkey")
+    name = F.when(key % 3 == 0, "").otherwise(F.col("s_name"))
+    body = F.concat(F.lit('{"name": "'), name, F.lit('", "servesCuisine": "Pizza", "priceRange": "'), F.when(key % 2 == 0, "$$").otherwise(""),
+                    F.lit('", "aggregateRating": {"ratingValue": '), F.col("s_acctbal").cast("string"), F.lit("}}"))
+    html = F.concat(F.lit("<h1>Titulo "), key.cast("string"), F.lit('</h1><script type="application/ld+json">'), body, F.lit("</script>"))
+    url = F.concat(F.lit("http://x.y/restaurante/"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.when(key % 2 == 0, "/").otherwise(""))
+    out = pages.json_ld_record(t.supplier.select("s_suppkey", html.alias("html"), url.alias("url")))
+    return out.select("s_suppkey", "restaurant_id", "restaurant_name", "category", "location", "price_range", r6("overall_rating"))
+
+
 @query("s16_review_date", """
 SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%Y-%m-%d') WHEN 2 THEN 'hace ' || user_id || ' meses' ELSE 'mes ' || user_id END AS review_date FROM events""")
 def _(t):

@@ -367,16 +367,39 @@ def _(t):
     return explore.cluster_points(t.scored).select("restaurant_id", "restaurant_name", "cluster", "reviews", r6("rating"), r6("sentiment"))
 
 
+@query("a17_price_labels", "SELECT cluster, price_range AS value, count(*) AS n FROM scored WHERE cluster IS NOT NULL AND price_range IS NOT NULL GROUP BY 1, 2", "scored")
+def _(t):
+    return explore.cluster_value_counts(t.scored)
+
+
 @query("a19_suspicious_ratings", "SELECT restaurant_name, round(rating, 6) AS rating, round(sentimiento, 6) AS sentimiento, resenas FROM suspicious", "suspicious")
 def _(t):
     return quality.suspicious_ratings(t.scored).select("restaurant_name", r6("rating"), r6("sentimiento"), "resenas")
 
 
-@query("a20_quality_note", "SELECT CASE WHEN count(*) = 0 THEN '' ELSE printf('" + fixed.QUALITY_NOTE.replace("%s", "%s") + "', count(*), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name)) END AS note FROM suspicious", "suspicious")
+def note_sql(most: int) -> str:
+    """All flagged names counted, the first ``most`` spelt out."""
+    return ("SELECT CASE WHEN count(*) = 0 THEN '' ELSE printf('" + fixed.QUALITY_NOTE + "', max(n), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name) || CASE WHEN max(n) > "
+            + f"{most} THEN printf('{fixed.MORE_NAMES}', max(n) - {most}) ELSE '' END) END AS note FROM (SELECT *, count(*) OVER () AS n FROM suspicious "
+            + f"QUALIFY row_number() OVER (ORDER BY rating, restaurant_name) <= {most})")
+
+
+@query("a20_quality_note", note_sql(quality.NAMES_IN_NOTE), "suspicious")
 def _(t):
     return quality.quality_note(quality.suspicious_ratings(t.scored))
 
 
+@query("a20_flagged_list", "SELECT row_number() OVER (ORDER BY rating, restaurant_name) AS rank, restaurant_name, round(rating, 6) AS rating, resenas FROM suspicious", "suspicious")
+def _(t):
+    return quality.flagged_list(quality.suspicious_ratings(t.scored)).select("rank", "restaurant_name", r6("rating"), "resenas")
+
+
+@query("a20_note_of_five", note_sql(5), "suspicious")
+def _(t):
+    """All flagged names counted, five of them spelt out."""
+    return quality.quality_note(quality.suspicious_ratings(t.scored), 5)
+
+
 @query("a21_histogram", """
 SELECT CAST(least(floor((overall_rating - 0.0) / 0.25), 19) AS INT) AS bin, count(*) AS n, round(least(floor(overall_rating / 0.25), 19) * 0.25, 6) AS bin_from FROM scored
 WHERE overall_rating BETWEEN 0 AND 5 GROUP BY 1, 3""", "scored")
@@ -407,7 +430,7 @@ UNION ALL SELECT 2, 'SENTIMIENTO POR ASPECTO', CASE aspect WHEN 'comida' THEN 1
 UNION ALL SELECT 3, 'MEJOR CALIFICADOS', row_number() OVER (ORDER BY nota DESC, restaurant_name), '  ' || restaurant_name || ': ' || printf('%.1f', nota) || ' (' || resenas || ' resenas)' FROM rated QUALIFY row_number() OVER (ORDER BY nota DESC, restaurant_name) <= 12
 UNION ALL SELECT 4, 'PEOR CALIFICADOS', row_number() OVER (ORDER BY nota, restaurant_name), '  ' || restaurant_name || ': ' || printf('%.1f', nota) || ' (' || resenas || ' resenas)' FROM rated
   WHERE restaurant_name NOT IN (SELECT restaurant_name FROM suspicious) QUALIFY row_number() OVER (ORDER BY nota, restaurant_name) <= 6
-UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 1, '  ' || printf('{fixed.QUALITY_NOTE}', count(*), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name)) FROM suspicious HAVING count(*) > 0
+UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 1, '  ' || note FROM ({note_sql(quality.NAMES_IN_NOTE)}) WHERE note <> ''
 UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 2, '  {fixed.QUALITY_ADVICE}' FROM suspicious HAVING count(*) > 0
 UNION ALL SELECT 6, 'COCINAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, category_primary), '  ' || category_primary || ': ' || n FROM (SELECT category_primary, count(*) AS n FROM scored WHERE category_primary IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, category_primary) <= 10
 UNION ALL SELECT 7, 'ZONAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, location), '  ' || location || ': ' || n FROM (SELECT location, count(*) AS n FROM scored WHERE location IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, location) <= 10
@@ -420,6 +443,12 @@ def _(t):
     return explore.digest(t.scored)
 
 
+@query("a23_digest_text", "SELECT string_agg(CASE WHEN rank = 1 THEN CASE WHEN section_no > 1 THEN chr(10) ELSE '' END || section || chr(10) ELSE '' END || line, chr(10) ORDER BY section_no, rank) AS digest FROM ("
+       + _DIGEST.replace("\nWITH ", "WITH ") + ")", "suspicious")
+def _(t):
+    return explore.digest_text(explore.digest(t.scored))
+
+
 # --- BI measures -------------------------------------------------------------
 
 BASE = """count(*) AS total_reviews, count(DISTINCT restaurant_id) AS total_restaurants, round(avg(review_rating), 6) AS avg_rating,
@@ -539,6 +568,13 @@ def _(t):
     return measures.sentiment_rank(star.aspects(t.scored)).select("RestauranteID", r6("mean_sentiment"), "rank")
 
 
+@query("w11_share_of_all", """
+SELECT "Zona", total_reviews, round(total_reviews / sum(total_reviews) OVER (), 6) AS share FROM (SELECT location AS "Zona", count(*) AS total_reviews FROM scored GROUP BY 1)""", "scored")
+def _(t):
+    counted = t.scored.groupBy(F.col("location").alias("Zona")).agg(F.count("*").alias("total_reviews"))
+    return measures.share_of_total(counted).select("Zona", "total_reviews", r6("share"))
+
+
 @query("w11_share_of_total", """
 SELECT "Zona", total_reviews, round(total_reviews / sum(total_reviews) OVER (), 6) AS share FROM (SELECT location AS "Zona", count(*) AS total_reviews FROM scored WHERE category_primary = 'MACHINERY' GROUP BY 1)""", "scored")
 def _(t):
@@ -669,6 +705,14 @@ def _(t):
     return explore.summary_input(rows)
 
 
+@query("f32_summary_input_limited", r"""
+SELECT conv_id::VARCHAR AS restaurant_id, count(*) AS reviews, string_agg('- ' || regexp_replace(text, '^\s+|\s+$', '', 'g'), chr(10) ORDER BY turn) AS lines
+FROM (SELECT * FROM conversations WHERE trim(text) <> '' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 2) GROUP BY 1""")
+def _(t):
+    rows = t.conversations.select(F.col("conv_id").cast("string").alias("restaurant_id"), F.col("turn").alias("row_idx"), F.col("text").alias("review_text"))
+    return explore.summary_input(rows, limit=2)
+
+
 @query("k07_summarisable", f"WITH {DIRECTORY_SQL} SELECT restaurant_id, resenas FROM directory WHERE resenas >= 2", "scored")
 def _(t):
     return explore.summarisable(t.scored).select("restaurant_id", "resenas")
@@ -704,6 +748,18 @@ def _(t):
     return features.encode_categories(t.scored).select("review_id", "price_range_encoded", "cat_machinery", "cat_building")
 
 
+@query("f18_clustering_columns", """
+SELECT review_id, round(coalesce(overall_rating, avg(overall_rating) OVER ()), 6) AS overall_rating, round(CAST(word_count AS DOUBLE), 6) AS avg_word_count,
+  round(coalesce(price_level, avg(price_level) OVER ()), 6) AS price_range_encoded, CAST(o % 2 AS BIGINT) AS cat_x, round(coalesce(s, avg(s) OVER ()), 6) AS overall_sentiment_score FROM
+  (SELECT *, review_id AS o, CASE WHEN review_id % 9 <> 0 THEN sentiment_comida_score END AS s FROM scored)""", "scored")
+def _(t):
+    """Row-level columns for clustering, gaps filled with the mean; columns that are absent are left out."""
+    rows = t.scored.select("review_id", "overall_rating", F.col("word_count").cast("double").alias("avg_word_count"), F.col("price_level").alias("price_range_encoded"),
+                           (F.col("review_id") % 2).cast("long").alias("cat_x"), F.when(F.col("review_id") % 9 != 0, F.col("sentiment_comida_score")).alias("overall_sentiment_score"))
+    out, names = features.clustering_columns(rows)
+    return out.select("review_id", *[F.col(c).cast("long").alias(c) if c == "cat_x" else r6(c) for c in names])
+
+
 @query("f18_impute_means", """
 SELECT review_id, round(coalesce(overall_rating, avg(overall_rating) OVER ()), 6) AS overall_rating, round(coalesce(price_level, avg(price_level) OVER ()), 6) AS price_level FROM scored""", "scored")
 def _(t):

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F, types as T
 
 from catalog.page_queries import REVIEWS_SQL, review_pages
 from catalog.registry import query, r6
+from catalog.text_queries import KEY, LEXICON, NAME_KEY
 from savora.operators.ordering import keep_first
+from savora.plans import batch
 from savora.sources import pages, shared, tables as stored
 from savora.streaming.incremental import extract_new_pages
 
@@ -84,6 +86,18 @@ def _(t):
     return stored.union_sources(read).groupBy("attempt", "c_mktsegment").agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
+_CHAIN = f"""kept AS (SELECT row_idx, 'r_' || substr(md5({NAME_KEY.format('restaurant_name')}), 1, 10) AS restaurant_id, trim(regexp_replace(restaurant_name, '\\s+', ' ', 'g')) AS restaurant_name, source
+  FROM texts WHERE length({KEY.format('review_text')}) >= 10 QUALIFY row_number() OVER (PARTITION BY {NAME_KEY.format('restaurant_name')}, {KEY.format('review_text')} ORDER BY row_idx) = 1)"""
+
+
+@query("batch_chain", f"WITH {_CHAIN} SELECT row_idx, restaurant_id, restaurant_name, source, count(*) OVER (PARTITION BY restaurant_id, restaurant_name) AS review_count, true AS clustered FROM kept", "texts")
+def _(t):
+    """Sources to clustered reviews: identity, duplicates, metadata, sentiment, cleaning, features, clusters."""
+    featured, clustered = batch.run(t.texts, F.lit("2026-07-19"), LEXICON, restarts=2)
+    labels = clustered.select("row_idx", (F.col("cluster").isNotNull() & F.col("cluster_name").isNotNull()).alias("clustered"))
+    return featured.select("row_idx", "restaurant_id", "restaurant_name", "source", "review_count").join(labels, "row_idx")
+
+
 @query("s09_incremental_extraction", f"WITH {REVIEWS_SQL} SELECT 'dg_' || conv_id AS restaurant_id, review_text, reviewer_name, review_rating, review_date, 'site' AS source FROM reviews")
 def _(t):
     """Page files become review rows batch by batch; the first run is stopped after two batches, the second one goes on behind them."""

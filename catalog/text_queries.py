@@ -493,6 +493,16 @@ def _(t):
     return stored.upsert(old, new, "user_id", "event_id")
 
 
+@query("s06_keyed_upsert_all", """
+WITH latest AS (SELECT user_id, value, event_id FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
+stored AS (SELECT user_id, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1)
+SELECT user_id, value, event_id FROM stored WHERE user_id NOT IN (SELECT user_id FROM latest) UNION ALL SELECT user_id, value, event_id FROM latest""")
+def _(t):
+    events = t.events.select("user_id", "value", "event_id", "event_type")
+    old = keep_first(events, ["user_id"], ["event_id"]).drop("event_type")
+    return stored.upsert(old, events.filter("event_type = 'click'").drop("event_type"), "user_id", "event_id")
+
+
 INVENTORY = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels",
              "conversations")
 

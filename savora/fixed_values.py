@@ -269,6 +269,7 @@ MONTH_NAMES = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio",
 
 # --- Fixed values: texts of notes and explanations ---------------------------
 
+MORE_NAMES = " y %d mas"
 QUALITY_NOTE = (
     "Aviso de calidad de datos: %d restaurante(s) tienen una calificacion que "
     "contradice el texto de sus resenas, por una inconsistencia en la fuente "

@@ -12,6 +12,7 @@ from savora import fixed_values as fixed
 from savora.functions import parse, scores, text
 from savora.operators import quality
 from savora.operators.ordering import keep_first
+from savora.sources import shared
 
 ALL = "Todos"
 
@@ -387,9 +388,18 @@ def cluster_members(df: DataFrame, cluster: int, query: str = "", order: str = "
             .orderBy(F.col("rating").desc_nulls_last(), "restaurant_id"))
 
 
+LABELS_IN_PROFILE = 50
+
+
+def cluster_value_counts(df: DataFrame, column: str = "price_range") -> DataFrame:
+    """(cluster, value, n) of every value of a column."""
+    return df.filter(F.col("cluster").isNotNull() & F.col(column).isNotNull()).groupBy("cluster", F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
 def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
     """Profile per cluster: counts, review-weighted means over all rows, price
-    distribution and most frequent categories."""
+    distribution and most frequent categories.  The distribution holds the ``LABELS_IN_PROFILE`` most
+    frequent labels; ``cluster_value_counts`` has all of them as rows."""
     level = parse.price_level(F.col("price_range"))
     base = df.filter(F.col("cluster").isNotNull())
     means = base.groupBy("cluster").agg(
@@ -402,7 +412,8 @@ def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
         return (base.filter(F.col(column).isNotNull()).groupBy("cluster", column)
                 .agg(F.count("*").alias("n")))
 
-    prices = counted("price_range").groupBy("cluster").agg(
+    labels = keep_first(counted("price_range"), ["cluster"], [F.desc("n"), "price_range"], LABELS_IN_PROFILE)
+    prices = labels.groupBy("cluster").agg(
         F.map_from_entries(F.collect_list(F.struct("price_range", "n"))).alias("price_distribution"))
     categories = keep_first(counted("category"), ["cluster"], [F.desc("n"), "category"], top)
     tops = categories.groupBy("cluster").agg(
@@ -412,25 +423,30 @@ def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
 
 # --- digest ------------------------------------------------------------------
 
+LINES_IN_SECTION = 50
+SOURCES_IN_DIGEST = 50
+
+
 def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
     """The dataset in a few dozen lines: (section_no, section, rank, line).
 
-    Every section is a small aggregate; no review text is read.  The sections about
-    names share one summary per name, those about counts one table of counts.
+    Every section is a small aggregate of at most ``LINES_IN_SECTION`` lines; no review text is read.  The sections about
+    names share one summary per name, those about counts one table of counts.  Sources and flagged names are counted, and
+    the first of them named.
     """
     def numbered(source: DataFrame, keys: Sequence[Column], line: Column, no: int, title: str) -> DataFrame:
-        # at most a handful of rows per section: ranked inside one sorted array
-        lines = F.array_sort(F.collect_list(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)],
-                                                     line.alias("line"))))
-        return source.agg(lines.alias("_l")).select(
+        # a bounded number of rows per section: ranked inside one sorted array
+        names = [f"k{i}" for i in range(len(keys))]
+        few = source.select(*[k.alias(n) for k, n in zip(keys, names)], line.alias("line")).orderBy(*names).limit(LINES_IN_SECTION)
+        return few.agg(F.array_sort(F.collect_list(F.struct(*names, "line"))).alias("_l")).select(
             F.posexplode(F.transform("_l", lambda x: x["line"])).alias("rank", "line")).select(
             F.lit(no).alias("section_no"), F.lit(title).alias("section"),
             (F.col("rank") + 1).alias("rank"), "line")
 
     sections = []
-    totals = df.agg(F.count("*").alias("n"), F.count_distinct("restaurant_id").alias("r"),
-                    F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("s"),
-                    F.avg("overall_rating").alias("m"))
+    sources = df.filter(F.col("source").isNotNull()).groupBy("source").agg(F.lit(1).alias("_one"))
+    named = quality.top_names(sources, ["source"], "source", SOURCES_IN_DIGEST).select("names").scalar()
+    totals = df.agg(F.count("*").alias("n"), F.count_distinct("restaurant_id").alias("r"), F.avg("overall_rating").alias("m")).withColumn("s", named)
     general = F.array_compact(F.array(
         F.concat(F.lit("- Resenas: "), F.col("n").cast("string")),
         F.concat(F.lit("- Restaurantes: "), F.col("r").cast("string")),
@@ -452,7 +468,7 @@ def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
 
     rated_line = F.concat(F.lit("  "), F.col("restaurant_name"), F.lit(": "), F.format_string("%.1f", "nota"),
                           F.lit(" ("), F.col("resenas").cast("string"), F.lit(" resenas)"))
-    names = quality.name_summary(df, order).persist()
+    names = shared.stored(quality.name_summary(df, order), "names")
     flagged = quality.contradictions(names)
     sections.append(numbered(best_names(names, rows), [-F.col("nota"), F.col("restaurant_name")], rated_line,
                              3, "MEJOR CALIFICADOS"))
@@ -464,7 +480,7 @@ def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
         .withColumn("rank", F.col("rank") + 1))
 
     counted = [c for c in (category_column(df), "location", "price_band") if c in df.columns]
-    cells = df.groupBy(*counted).agg(F.count("*").alias("n")).persist()
+    cells = shared.stored(df.groupBy(*counted).agg(F.count("*").alias("n")), "cells")
 
     def counts(column: str, top: int | None, no: int, title: str, unit: str = "", by_value: bool = False) -> DataFrame:
         source = cells.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"))

@@ -194,3 +194,87 @@ def test_compare_approaches(spark, labelled):
     rows = {r.approach: r for r in textmodel.compare_approaches(labelled, sample_size=20, responses=answers).collect()}
     assert set(rows) == {"lexicon", "supervised", "external"}
     assert all(r.tp + r.fn + r.fp + r.tn == 20 for r in rows.values())
+
+
+# --- silhouettes, fits side by side, evidence of a fit ------------------------
+
+def plain_silhouette(points, labels, squared):
+    import numpy as np
+    gaps = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    gaps = gaps if squared else np.sqrt(gaps)
+    out = []
+    for i, own in enumerate(labels):
+        same = [j for j, c in enumerate(labels) if c == own and j != i]
+        if not same:
+            out.append(0.0)
+            continue
+        inside = gaps[i, same].mean()
+        nearest = min(gaps[i, [j for j, c in enumerate(labels) if c == o]].mean() for o in set(labels) - {own})
+        out.append((nearest - inside) / max(nearest, inside) if max(nearest, inside) else 0.0)
+    return sum(out) / len(out)
+
+
+def test_silhouettes_follow_the_definition(spark):
+    import numpy as np
+    points = np.random.default_rng(3).normal(size=(90, 4))
+    points[:5] = points[0]  # repeated points
+    first, second = [i % 3 for i in range(90)], [0 if i else 7 for i in range(90)]
+    df = spark.createDataFrame([(i, p.tolist(), a, b, 1) for i, (p, a, b) in enumerate(zip(points, first, second))], "id long, v array<double>, a int, b int, one int")
+    table = {r["clustering"]: (r["clusters"], r["points"], r["silhouette"]) for r in cluster.silhouette_table(df, "v", ["a", "b", "one"]).collect()}
+    assert table["a"][:2] == (3, 90) and abs(table["a"][2] - plain_silhouette(points, first, True)) < 1e-9
+    assert table["b"][:2] == (2, 90) and abs(table["b"][2] - plain_silhouette(points, second, True)) < 1e-9
+    assert table["one"] == (1, 90, None)
+    for per_block in (1000, 25):
+        row = cluster.euclidean_silhouette(df, "id", "v", "a", points_per_block=per_block).first()
+        assert row["points"] == 90 and abs(row["silhouette"] - plain_silhouette(points, first, False)) < 1e-9
+    assert cluster.euclidean_silhouette(df, "id", "v", "one").first()["silhouette"] is None
+    assert cluster.silhouette_table(df.limit(0), "v", ["a"]).collect() == []
+
+
+def test_starts_side_by_side_give_what_they_give_in_turn(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    points = np.random.default_rng(4).normal(size=(200, 3))
+    vectors = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>").select("id", array_to_vector("v").alias("features")).coalesce(1).persist()
+    costs = [cluster._start(vectors, 3, cluster.SEED + i).summary.trainingCost for i in range(4)]
+    together = cluster.fit_kmeans(vectors, 3, restarts=4)
+    assert together.summary.trainingCost == min(costs)
+    vectors.unpersist()
+
+
+def test_jobs_side_by_side_keep_their_order_and_raise(spark):
+    from savora.plans.concurrent import side_by_side
+    assert side_by_side([lambda i=i: spark.range(i).count() for i in range(12)]) == list(range(12))
+
+    def broken():
+        raise ValueError("no")
+    with pytest.raises(ValueError):
+        side_by_side([lambda: 1, broken])
+
+
+def test_gradient_vanishes_at_the_fit(spark):
+    """From the coefficients as a table, joined with the terms: the penalised, class-weighted gradient."""
+    from pyspark.sql import functions as F
+    rows = [(i, " ".join(["rico", "lento", "caro", "bonito", "frio"][j] for j in range(5) if (i * 7 + j * 3) % (4 + j) < 2) or "nada", "positiva" if (i * 7) % 5 < 3 else "no positiva") for i in range(60)]
+    df = spark.createDataFrame(rows, "review_id long, review_text string, actual string")
+    model = textmodel.fit_model(df, tol=1e-12)
+    weights = textmodel.tfidf(df, "review_id")
+    scores = model.score(df).select("review_id", "score", "actual")
+    counts = {r["actual"]: r["n"] for r in df.groupBy("actual").agg(F.count("*").alias("n")).collect()}
+    miss = F.col("score") - (F.col("actual") == textmodel.MINORITY).cast("double")
+    weight = F.when(F.col("actual") == textmodel.MINORITY, 60 / (2 * counts[textmodel.MINORITY])).otherwise(60 / (2 * counts[textmodel.POSITIVE]))
+    per_row = scores.withColumn("g", miss * weight / 60)
+    pulled = weights.withColumnRenamed("weight", "x").join(per_row, "review_id").groupBy("term").agg(F.sum(F.col("x") * F.col("g")).alias("g"))
+    worst = pulled.join(textmodel.coefficients(model), "term").agg(F.max(F.abs(F.col("g") + F.col("weight") / 60)), F.count("*")).first()
+    assert worst[0] < 1e-6 and worst[1] == textmodel.coefficients(model).count()
+    assert abs(per_row.agg(F.sum("g")).first()[0]) < 1e-6
+
+
+def test_cross_validation_is_that_of_its_folds(spark):
+    rows = [(i, "comida rica " * (i % 3) + "servicio lento " * (i % 2) + "precio justo", "positiva" if i % 3 else "no positiva") for i in range(50)]
+    oof = textmodel.out_of_fold(spark.createDataFrame(rows, "review_id long, review_text string, actual string"), "review_id")
+    table = textmodel.fold_table(oof).collect()
+    assert sum(r.tp + r.fn + r.fp + r.tn for r in table) == 50 and sorted(r.fold for r in table) == [0, 1, 2, 3, 4]
+    whole = textmodel.cross_validation(oof).first()
+    mean = sum(r.f1_macro for r in table) / 5
+    assert abs(whole.f1_macro_mean - mean) < 1e-12 and whole.folds == 5

@@ -312,3 +312,34 @@ def test_sample_reviews_limit_before_the_shuffle(frame):
     out = explore.sample_reviews(df)
     assert plan_of(out).count("WindowGroupLimit") == 2
     assert sorted(r.review_text for r in out.collect()) == ["0", "1"]
+
+
+# --- bounded texts, full lists -----------------------------------------------
+
+def flagged_names(spark, n):
+    return spark.createDataFrame([(f"n{i:03d}", 1.0 + (i * 7 % 5) / 10, 0.9, 2) for i in range(n)], "restaurant_name string, rating double, sentimiento double, resenas long")
+
+
+def test_note_counts_all_and_names_some(spark):
+    found = flagged_names(spark, 8)
+    whole = quality.quality_note(found).first().note
+    assert whole.count("n0") == 8 and " mas" not in whole
+    short = quality.quality_note(found, 3).first().note
+    assert short.startswith("Aviso de calidad de datos: 8 ") and "(n000, n005, n003 y 5 mas)" in short
+    assert quality.quality_note(found.limit(0), 3).first().note == ""
+
+
+def test_flagged_list_has_every_name(spark):
+    rows = quality.flagged_list(flagged_names(spark, 40)).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(1, 41))
+    assert [(r.rating, r.restaurant_name) for r in rows] == sorted((r.rating, r.restaurant_name) for r in rows)
+    assert quality.flagged_list(flagged_names(spark, 1)).count() == 1
+
+
+def test_profile_maps_are_bounded(spark, monkeypatch):
+    rows = [("r1", 0, f"${i % 6}", "a", 4.0) for i in range(60)] + [("r2", 1, "$1", None, None), ("r3", None, "$1", "a", 1.0)]
+    df = spark.createDataFrame(rows, "restaurant_id string, cluster int, price_range string, category string, overall_rating double")
+    monkeypatch.setattr(explore, "LABELS_IN_PROFILE", 2)
+    profile = {r["cluster"]: r["price_distribution"] for r in explore.cluster_profiles(df).collect()}
+    assert profile == {0: {"$0": 10, "$1": 10}, 1: {"$1": 1}}
+    assert explore.cluster_value_counts(df).filter("cluster = 0").count() == 6
