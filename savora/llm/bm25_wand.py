@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from savora.llm import byte_text
-from savora.llm.common import kept_by_worker, slots, stored
+from savora.llm.common import kept_by_worker, slots, stored, tidy
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.5, 0.7
@@ -53,7 +53,7 @@ def lower(rows: DataFrame, text: str) -> DataFrame:
         for part in parts:
             names = part.schema.names
             yield pa.RecordBatch.from_arrays([pc.utf8_lower(part.column(i)) if n == text else part.column(i) for i, n in enumerate(names)], names)
-    return rows.mapInArrow(batches, rows.schema)
+    return rows.mapInArrow(tidy(batches), rows.schema)
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -300,5 +300,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", threshold:
                 new = index.leaks(part.column(names.index(text)), overlap)
                 leaks = pa.array([[*(b or []), *n] for b, n in zip(before, new)], LEAKS_ARROW)
                 yield pa.RecordBatch.from_arrays([leaks if n == "leaks" else part.column(i) for i, n in enumerate(names)], names)
-        out = out.mapInArrow(batches, out.schema)
+        out = out.mapInArrow(tidy(batches), out.schema)
     return out

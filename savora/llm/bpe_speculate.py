@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from itertools import chain
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from savora.llm.common import kept_by_worker
+from savora.llm.common import kept_by_worker, tidy
 
 NO_RANK = 1 << 40
 NEVER = np.int64(NO_RANK)
@@ -241,7 +241,9 @@ class SpeculativeBpe:
 
 
 def load(raw: bytes, remembered: int | None = None) -> SpeculativeBpe:
-    """The tokenizer of a file's content, with the words its worker has met."""
+    """The tokenizer of a file's content, with the words its worker has met; a bound on the words means that they go with the task."""
+    if remembered:
+        return SpeculativeBpe(json.loads(raw), remembered)
     return kept_by_worker(f"bpe {hash(raw)} {remembered}", lambda: SpeculativeBpe(json.loads(raw), remembered))
 
 
@@ -259,8 +261,10 @@ def read_file(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _mapped(docs: DataFrame, column: str, kind: str, arrow: pa.DataType, source: str, convert) -> DataFrame:
+def _mapped(docs: DataFrame, column: str, kind: str, source: str, start: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """Add a column; ``start`` gives a task what converts the arrays of its batches."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convert = start()
         for part in parts:
             for at in range(0, part.num_rows, TEXTS_AT_ONCE):
                 piece = part.slice(at, TEXTS_AT_ONCE)
@@ -268,26 +272,33 @@ def _mapped(docs: DataFrame, column: str, kind: str, arrow: pa.DataType, source:
                 kept = [i for i, n in enumerate(names) if n != column]
                 made = convert(piece.column(names.index(source)))
                 yield pa.RecordBatch.from_arrays([*(piece.column(i) for i in kept), made], [*(names[i] for i in kept), column])
-    return docs.mapInArrow(batches, docs.drop(column).withColumn(column, F.lit(None).cast(kind)).schema)
+    return docs.mapInArrow(tidy(batches), docs.drop(column).withColumn(column, F.lit(None).cast(kind)).schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", remembered: int | None = None) -> DataFrame:
     """Add ``ids``, the token ids of the whole text.  Fewer ``remembered`` words take less memory and more time."""
     raw = read_file(docs.sparkSession, path)
 
-    def convert(texts: pa.Array) -> pa.Array:
-        flat, counts = load(raw.value, remembered).encode_flat([t or "" for t in texts.to_pylist()])
+    def start():
+        tokenizer = load(raw.value, remembered)
+        return lambda texts: encoded(tokenizer, texts)
+
+    def encoded(tokenizer: SpeculativeBpe, texts: pa.Array) -> pa.Array:
+        flat, counts = tokenizer.encode_flat([t or "" for t in texts.to_pylist()])
         return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(flat))
-    return _mapped(docs, "ids", "array<int>", pa.list_(pa.int32()), text, convert)
+    return _mapped(docs, "ids", "array<int>", text, start)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the text of the token ids."""
     raw = read_file(encoded.sparkSession, path)
 
-    def convert(rows: pa.Array) -> pa.Array:
+    def start():
         names = names_of(raw.value)
+        return lambda rows: decoded(names, rows)
+
+    def decoded(names: pa.Array, rows: pa.Array) -> pa.Array:
         flat, sizes = rows.flatten(), pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
         tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), names.take(flat))
         return pc.binary_join(tokens, " ")
-    return _mapped(encoded, "decoded", "string", pa.string(), ids, convert)
+    return _mapped(encoded, "decoded", "string", ids, start)

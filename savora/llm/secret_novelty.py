@@ -20,6 +20,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from savora.llm.common import tidy
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
@@ -120,7 +122,7 @@ def scan(docs: DataFrame, text: str = "text", threshold: float = NOVELTY) -> Dat
             kept = [i for i, n in enumerate(part.schema.names) if n != "spans"]
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), spans], [*(part.schema.names[i] for i in kept), "spans"])
     shape = docs.drop("spans").withColumn("spans", F.lit(None).cast("array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")).schema
-    return docs.mapInArrow(batches, shape)
+    return docs.mapInArrow(tidy(batches), shape)
 
 
 def redact(docs: DataFrame, text: str = "text", threshold: float = NOVELTY) -> DataFrame:
@@ -130,7 +132,7 @@ def redact(docs: DataFrame, text: str = "text", threshold: float = NOVELTY) -> D
             names = part.schema.names
             clean = pa.array([t and cut(t, scan_text(t, threshold)) for t in part.column(names.index(text)).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([clean if n == text else part.column(i) for i, n in enumerate(names)], names)
-    return docs.mapInArrow(batches, docs.schema)
+    return docs.mapInArrow(tidy(batches), docs.schema)
 
 
 def cut(text: str, spans: list[dict]) -> str:

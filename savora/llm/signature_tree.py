@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from savora.llm import byte_text
-from savora.llm.common import slots, stored
+from savora.llm.common import slots, stored, tidy
 from savora.llm.components import components
 
 WIDTH = 5
@@ -43,7 +43,7 @@ FREQUENT_SHARE = 2000
 KEYS_PER_BUCKET = 1 << 19
 BATCH_LEAST = 4
 BROADCAST_ROWS = 1_000_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_PAIRS = 1_000_000
 
 
 def least_overlap(size: np.ndarray, threshold: int) -> np.ndarray:
@@ -114,7 +114,7 @@ def describe(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
                 some = held >= BATCH_LEAST
                 none = pa.nulls(int(some.sum()), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(none), pa.binary()), pa.array(shingles[some].view(np.int64)), pa.array(held[some])], schema=schema)
-    return stored(docs.select(F.col(doc_id).cast("long"), text).mapInArrow(batches, spec), "described")
+    return stored(docs.select(F.col(doc_id).cast("long"), text).mapInArrow(tidy(batches), spec), "described")
 
 
 def key_groups(docs: DataFrame, text: str, frequent: DataFrame, n_buckets: int, width: int, threshold: int) -> DataFrame:
@@ -198,8 +198,8 @@ def key_groups(docs: DataFrame, text: str, frequent: DataFrame, n_buckets: int,
         if keys:
             yield from close()
 
-    rows = (docs.select(text).mapInArrow(keyed, "bucket int, keys binary, classes binary")
-            .repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(grouped, "key bigint, members array<bigint>"))
+    rows = (docs.select(text).mapInArrow(tidy(keyed), "bucket int, keys binary, classes binary")
+            .repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(grouped), "key bigint, members array<bigint>"))
     # keys with the same members ask the same question
     return stored(rows.dropDuplicates(["key", "members"]).withColumn("group", F.monotonically_increasing_id()), "groups")
 
@@ -214,7 +214,7 @@ def own_texts(texts: DataFrame, width: int) -> DataFrame:
                 found = zip(low.view(np.int64).tolist(), high.view(np.int64).tolist(), np.diff(bounds).tolist())
                 right += [any((e["low"], e["high"], e["n"]) == f for e in own) for own, f in zip(expected[first:stop], found)]
             yield part.select([0, 1]).filter(pa.array(right, pa.bool_()))
-    return texts.mapInArrow(batches, "rep bigint, text string")
+    return texts.mapInArrow(tidy(batches), "rep bigint, text string")
 
 
 class SignatureTree:
@@ -276,13 +276,36 @@ def dual_traversal(one: SignatureTree, other: SignatureTree | None, threshold: i
             stack.append((depth - 1, x[cut:cut + (1 << 15)], y[cut:cut + (1 << 15)]))
 
 
+class Given:
+    """Pairs that were given before, packed into one sorted array: each member has a number of its own here."""
+
+    def __init__(self):
+        self.numbers: dict[int, int] = {}
+        self.pairs = np.zeros(0, np.int64)
+
+    def new(self, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that were not given yet, once each, as (smaller, larger)."""
+        u, v = np.minimum(u, v), np.maximum(u, v)
+        members, where = np.unique(np.concatenate((u, v)), return_inverse=True)
+        for m in members.tolist():
+            self.numbers.setdefault(m, len(self.numbers))
+        own = np.array([self.numbers[m] for m in members.tolist()], np.int64)[where]
+        packed, first = np.unique(own[:len(u)] << 32 | own[len(u):], return_index=True)
+        at = np.minimum(np.searchsorted(self.pairs, packed), max(len(self.pairs) - 1, 0))
+        fresh = self.pairs[at] != packed if len(self.pairs) else np.ones(len(packed), bool)
+        if len(self.pairs) > REMEMBERED_PAIRS:  # only a pair given twice can come of it
+            self.pairs = np.zeros(0, np.int64)
+        self.pairs = np.sort(np.concatenate((self.pairs, packed[fresh])), kind="stable")
+        return u[first[fresh]], v[first[fresh]]
+
+
 def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
     """Candidate pairs ``(u, v)`` of every tile: rows ``(tile, side, rep, label, n, bitmap, route)``; a tile with two sides is searched across.
 
     Similar members meet in many tiles.  Tiles of one ``route``, their smallest members, go to one task, which gives a pair once.
     """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, route, held, given = None, None, [], set()
+        tile, route, held, given = None, None, [], Given()
 
         def close() -> Iterator[pa.RecordBatch]:
             side, rep, label, n = (np.concatenate([h[i] for h in held]) for i in range(4))
@@ -302,13 +325,9 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
                             continue
                         left = tree(x, two)
                         for i, j in dual_traversal(left, None if one == two and not across else tree(y, two), threshold):
-                            pairs = set(zip(np.minimum(rep[x[i]], rep[y[j]]).tolist(), np.maximum(rep[x[i]], rep[y[j]]).tolist())) - given
-                            if len(given) > REMEMBERED_PAIRS:  # only a pair given twice can come of it
-                                given.clear()
-                            given.update(pairs)
-                            if pairs:
-                                u, v = zip(*pairs)
-                                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                            u, v = given.new(rep[x[i]], rep[y[j]])
+                            if len(u):
+                                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         for part in parts:
             tiles = part.column(0).to_numpy()
@@ -321,15 +340,14 @@ def tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
                         yield from close()
                         held = []
                     if routes[a] != route:
-                        route = routes[a]
-                        given.clear()
+                        route, given = routes[a], Given()
                     tile = tiles[a]
                     held.append([*(c[a:z] for c in columns), maps[a:z]])
         if held:
             yield from close()
     dealt = (members.select("tile", F.col("side").cast("long"), "rep", "label", "n", "bitmap", "route")
              .repartition("route").sortWithinPartitions("route", "tile"))
-    return dealt.mapInArrow(batches, "u bigint, v bigint").distinct()
+    return dealt.mapInArrow(tidy(batches), "u bigint, v bigint").distinct()
 
 
 def plausible(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
@@ -352,7 +370,7 @@ def plausible(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFr
     def side(name: str, n: str, bitmap: str) -> DataFrame:
         return signatures.select(F.col("rep").alias(name), F.col("n").alias(n), F.col("bitmap").alias(bitmap))
     rows = pairs.join(side("u", "n1", "b1"), "u").join(side("v", "n2", "b2"), "v").select("u", "v", "n1", "b1", "n2", "b2")
-    return rows.mapInArrow(batches, "u bigint, v bigint").distinct()
+    return rows.mapInArrow(tidy(batches), "u bigint, v bigint").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -376,7 +394,7 @@ def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int,
     own = own_texts(texts.join(F.broadcast(expected) if few else expected, "rep").select("rep", "text", "expected"), width)
     both = (ends.join(own, "rep").groupBy("u", "v")
             .agg(F.max(F.when(F.col("rep") == F.col("u"), F.col("text"))).alias("t1"), F.max(F.when(F.col("rep") == F.col("v"), F.col("text"))).alias("t2")))
-    return stored(both.mapInArrow(batches, "u bigint, v bigint"), "links")
+    return stored(both.mapInArrow(tidy(batches), "u bigint, v bigint"), "links")
 
 
 def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
