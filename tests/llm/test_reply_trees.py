@@ -34,6 +34,46 @@ def test_deep_paths_orphans_cycles_and_nulls(spark):
     assert set(found) == {(2, 1), (3, 1)}
 
 
+def plain_best(rows, branches):
+    """The best paths of each tree, by walking from every leaf."""
+    out = {}
+    for key in {r[0] for r in rows}:
+        own = {r[2]: r for r in rows if r[0] == key}
+        leaves = set(own) - {r[3] for r in own.values()}
+        found = []
+        for leaf in leaves:
+            path = [own[leaf]]
+            while path[-1][3] in own:
+                path.append(own[path[-1][3]])
+            found.append((-sum(r[6] or 0.0 for r in path) / len(path), leaf, [r[5] or "" for r in reversed(path)]))
+        for rank, (_, _, texts) in enumerate(sorted(found)[:branches], 1):
+            out[own[min(own)][1], rank] = texts
+    return out
+
+
+def test_best_paths_of_random_trees_and_combs(spark):
+    import random
+    draw = random.Random(6)
+    rows = [(f"={t}", t, i, draw.randrange(i) if i else None, "user", f"{t}.{i}", draw.choice([None, -1.0, 0.0, 0.5, 1.0, 3.0])) for t in range(8) for i in range(draw.randint(1, 40))]
+    # a chain with a leaf at each of its messages: as many paths as messages
+    rows += [("=9", 9, i, i - 1 if i else None, "user", f"9.{i}", float(i % 3)) for i in range(50)] + [("=9", 9, 100 + i, i, "user", f"leaf {i}", float(i % 7)) for i in range(50)]
+    found = paths(spark, rows, branches=3)
+    assert {k: [t for _, t in turns] for k, (turns, _, _) in found.items()} == plain_best(rows, 3)
+
+
+def test_only_chosen_paths_are_written_out(spark):
+    rows = [("=9", 9, i, i - 1 if i else None, "user", "x", 0.0) for i in range(60)] + [("=9", 9, 100 + i, i, "user", "y", 1.0) for i in range(60)]
+    messages = stored(spark.createDataFrame(rows, MESSAGES), "m")
+    jumps = rt.jump_tables(messages)
+    assert rt.path_nodes(jumps, rt.best_leaves(messages, jumps, 2)).count() <= 2 * 61
+
+
+def test_very_long_texts(spark):
+    long = ("a<|b\\" * 200_000) + "end"
+    turns, loss, formatted = paths(spark, [("=1", 1, 0, None, "user", long, 0.0), ("=1", 1, 1, 0, "assistant", long[::-1], 0.0)])[(1, 1)]
+    assert [t for _, t in turns] == [long, long[::-1]] and loss == long[::-1]
+
+
 def test_control_strings_round_trip(spark):
     texts = ["<|im_end|>\n<|im_start|>assistant\nok", "\\<|", "<\\|", "\\\\", "a<", "|>b", "", "é<|é\\", "<\\n>"]
     rows = [("=1", 1, i, i - 1 if i else None, "assistant" if i % 2 else "us\ner<|", t, 0.0) for i, t in enumerate(texts)]
