@@ -44,9 +44,9 @@ def match_score(profiles: DataFrame, wanted: Preferences) -> Column:
     """
     earned, weights = [], []
 
-    def criterion(weight: float, fraction: Column, known: Column | None = None) -> None:
+    def criterion(weight: float, fraction: Column, known: Column | None = None, of: float = 1.0) -> None:
         known = F.lit(True) if known is None else known
-        earned.append(F.when(known, F.lit(weight) * fraction).otherwise(0.0))
+        earned.append(F.when(known, F.lit(weight) * fraction / F.lit(of)).otherwise(0.0))
         weights.append(F.when(known, F.lit(weight)).otherwise(0.0))
 
     def contains(column: str, text: str) -> Column:
@@ -63,10 +63,10 @@ def match_score(profiles: DataFrame, wanted: Preferences) -> Column:
     for aspect in wanted.priority_aspects or ():
         name = scores.score_col(aspect)
         if name in profiles.columns:
-            criterion(ASPECT_WEIGHT, (F.col(name) + 1.0) / 2.0, F.col(name).isNotNull())
-    criterion(RATING_WEIGHT, F.col("overall_rating") / 5.0, F.col("overall_rating").isNotNull())
+            criterion(ASPECT_WEIGHT, F.col(name) + 1.0, F.col(name).isNotNull(), of=2.0)
+    criterion(RATING_WEIGHT, F.col("overall_rating"), F.col("overall_rating").isNotNull(), of=5.0)
     share = F.try_divide(reduce(add, earned), reduce(add, weights))
-    return F.coalesce(F.bround(share * 100.0, 1), F.lit(0.0))
+    return F.coalesce(F.rint(share * 100.0 * 10.0) / 10.0, F.lit(0.0))
 
 
 def explanation(profiles: DataFrame, wanted: Preferences) -> Column:
