@@ -377,14 +377,16 @@ def _(t):
     return quality.suspicious_ratings(t.scored).select("restaurant_name", r6("rating"), r6("sentimiento"), "resenas")
 
 
-def note_sql(most: int) -> str:
-    """All flagged names counted, the first ``most`` spelt out."""
+def note_sql(most: int | None = None) -> str:
+    """All flagged names counted and spelt out, or only the first ``most`` spelt out."""
+    if most is None:
+        return "SELECT CASE WHEN count(*) = 0 THEN '' ELSE printf('" + fixed.QUALITY_NOTE + "', count(*), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name)) END AS note FROM suspicious"
     return ("SELECT CASE WHEN count(*) = 0 THEN '' ELSE printf('" + fixed.QUALITY_NOTE + "', max(n), string_agg(restaurant_name, ', ' ORDER BY rating, restaurant_name) || CASE WHEN max(n) > "
             + f"{most} THEN printf('{fixed.MORE_NAMES}', max(n) - {most}) ELSE '' END) END AS note FROM (SELECT *, count(*) OVER () AS n FROM suspicious "
             + f"QUALIFY row_number() OVER (ORDER BY rating, restaurant_name) <= {most})")
 
 
-@query("a20_quality_note", note_sql(quality.NAMES_IN_NOTE), "suspicious")
+@query("a20_quality_note", note_sql(), "suspicious")
 def _(t):
     return quality.quality_note(quality.suspicious_ratings(t.scored))
 
@@ -430,7 +432,7 @@ UNION ALL SELECT 2, 'SENTIMIENTO POR ASPECTO', CASE aspect WHEN 'comida' THEN 1
 UNION ALL SELECT 3, 'MEJOR CALIFICADOS', row_number() OVER (ORDER BY nota DESC, restaurant_name), '  ' || restaurant_name || ': ' || printf('%.1f', nota) || ' (' || resenas || ' resenas)' FROM rated QUALIFY row_number() OVER (ORDER BY nota DESC, restaurant_name) <= 12
 UNION ALL SELECT 4, 'PEOR CALIFICADOS', row_number() OVER (ORDER BY nota, restaurant_name), '  ' || restaurant_name || ': ' || printf('%.1f', nota) || ' (' || resenas || ' resenas)' FROM rated
   WHERE restaurant_name NOT IN (SELECT restaurant_name FROM suspicious) QUALIFY row_number() OVER (ORDER BY nota, restaurant_name) <= 6
-UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 1, '  ' || note FROM ({note_sql(quality.NAMES_IN_NOTE)}) WHERE note <> ''
+UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 1, '  ' || note FROM ({note_sql()}) WHERE note <> ''
 UNION ALL SELECT 5, 'LIMITACION CONOCIDA DE LOS DATOS', 2, '  {fixed.QUALITY_ADVICE}' FROM suspicious HAVING count(*) > 0
 UNION ALL SELECT 6, 'COCINAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, category_primary), '  ' || category_primary || ': ' || n FROM (SELECT category_primary, count(*) AS n FROM scored WHERE category_primary IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, category_primary) <= 10
 UNION ALL SELECT 7, 'ZONAS CON MAS RESENAS', row_number() OVER (ORDER BY n DESC, location), '  ' || location || ': ' || n FROM (SELECT location, count(*) AS n FROM scored WHERE location IS NOT NULL GROUP BY 1) QUALIFY row_number() OVER (ORDER BY n DESC, location) <= 10

@@ -424,7 +424,6 @@ def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
 # --- digest ------------------------------------------------------------------
 
 LINES_IN_SECTION = 50
-SOURCES_IN_DIGEST = 50
 
 
 def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
@@ -445,7 +444,7 @@ def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
 
     sections = []
     sources = df.filter(F.col("source").isNotNull()).groupBy("source").agg(F.lit(1).alias("_one"))
-    named = quality.top_names(sources, ["source"], "source", SOURCES_IN_DIGEST).select("names").scalar()
+    named = quality.top_names(sources, ["source"], "source").select("names").scalar()
     totals = df.agg(F.count("*").alias("n"), F.count_distinct("restaurant_id").alias("r"), F.avg("overall_rating").alias("m")).withColumn("s", named)
     general = F.array_compact(F.array(
         F.concat(F.lit("- Resenas: "), F.col("n").cast("string")),

@@ -54,25 +54,23 @@ def without_suspicious(df: DataFrame, flagged: DataFrame) -> DataFrame:
     return df.join(flagged.select("restaurant_name"), "restaurant_name", "left_anti")
 
 
-NAMES_IN_NOTE = 100
-
-
 def flagged_list(flagged: DataFrame) -> DataFrame:
     """Every flagged name with its place, lowest rating first: (rank, restaurant_name, rating, sentimiento, resenas)."""
     numbered = ordering.number_rows(ordering.range_buckets(shared.stored(flagged, "flagged"), "rating"), ["rating", "restaurant_name"], "rank")
     return numbered.select("rank", "restaurant_name", "rating", "sentimiento", "resenas")
 
 
-def top_names(df: DataFrame, order: Sequence[str], name: str, most: int) -> DataFrame:
-    """One row: the number of rows ``n``, and the ``names`` of the first ``most`` in order, joined by commas, with a count of the others."""
-    first = df.orderBy(*order).limit(most)
+def top_names(df: DataFrame, order: Sequence[str], name: str, most: int | None = None) -> DataFrame:
+    """One row: the number of rows ``n``, and all ``names`` in order, joined by commas; with ``most``, the first ones and a count of the others."""
+    first = df if most is None else df.orderBy(*order).limit(most)
     joined = first.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(name).alias("_name")))), lambda x: x["_name"]), ", ")).scalar()
     total = df.agg(F.count("*").cast("int").alias("n"))
+    if most is None:
+        return total.select("n", joined.alias("names"))
     return total.select("n", F.concat(joined, F.when(F.col("n") > most, F.format_string(fixed.MORE_NAMES, F.col("n") - most)).otherwise("")).alias("names"))
 
 
-def quality_note(flagged: DataFrame, most: int = NAMES_IN_NOTE) -> DataFrame:
-    """One row with the warning, or with '' when nothing is flagged.  It counts all names and spells out the first ``most``;
-    ``flagged_list`` has the others."""
+def quality_note(flagged: DataFrame, most: int | None = None) -> DataFrame:
+    """One row with the warning, or with '' when nothing is flagged.  It spells out all names, or counts them and spells out the first ``most``."""
     return top_names(flagged, ["rating", "restaurant_name"], "restaurant_name", most).select(
         F.when(F.col("n") > 0, F.format_string(fixed.QUALITY_NOTE, "n", "names")).otherwise("").alias("note"))

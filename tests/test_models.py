@@ -324,3 +324,10 @@ def test_match_scores_at_the_edge_of_a_rounding(spark):
     got = [r.s for r in df.select(recommend.match_score(df, recommend.Preferences(priority_aspects=("comida",))).alias("s"), "i").orderBy("i", "s").collect()]
     want = [(i, round((3.0 * (c + 1) / 2 + 2.0 * r / 5) / 5.0 * 100 * 10) / 10) for i, r, c in rows]
     assert got == [s for _, s in sorted(want)]
+
+
+def test_the_note_names_everything_flagged(spark):
+    from savora.operators import quality
+    flagged = spark.createDataFrame([(f"r{i:03}", 1.0 + i % 2, 0.5, 3) for i in range(130)], "restaurant_name string, rating double, sentimiento double, resenas long")
+    note = quality.quality_note(flagged).first()["note"]
+    assert all(f"r{i:03}" in note for i in range(130)) and note.index("r128") < note.index("r001")
