@@ -423,20 +423,16 @@ def cluster_profiles(df: DataFrame, top: int = 3) -> DataFrame:
 
 # --- digest ------------------------------------------------------------------
 
-LINES_IN_SECTION = 50
-
-
 def digest(df: DataFrame, rows: int = 12, order: str = "row_idx") -> DataFrame:
     """The dataset in a few dozen lines: (section_no, section, rank, line).
 
-    Every section is a small aggregate of at most ``LINES_IN_SECTION`` lines; no review text is read.  The sections about
-    names share one summary per name, those about counts one table of counts.  Sources and flagged names are counted, and
-    the first of them named.
+    Every section is an aggregate; no review text is read.  The sections about names share one summary per name,
+    those about counts one table of counts.  All sources and flagged names are named.
     """
     def numbered(source: DataFrame, keys: Sequence[Column], line: Column, no: int, title: str) -> DataFrame:
-        # a bounded number of rows per section: ranked inside one sorted array
+        # ranked inside one sorted array
         names = [f"k{i}" for i in range(len(keys))]
-        few = source.select(*[k.alias(n) for k, n in zip(keys, names)], line.alias("line")).orderBy(*names).limit(LINES_IN_SECTION)
+        few = source.select(*[k.alias(n) for k, n in zip(keys, names)], line.alias("line"))
         return few.agg(F.array_sort(F.collect_list(F.struct(*names, "line"))).alias("_l")).select(
             F.posexplode(F.transform("_l", lambda x: x["line"])).alias("rank", "line")).select(
             F.lit(no).alias("section_no"), F.lit(title).alias("section"),

@@ -331,3 +331,13 @@ def test_the_note_names_everything_flagged(spark):
     flagged = spark.createDataFrame([(f"r{i:03}", 1.0 + i % 2, 0.5, 3) for i in range(130)], "restaurant_name string, rating double, sentimiento double, resenas long")
     note = quality.quality_note(flagged).first()["note"]
     assert all(f"r{i:03}" in note for i in range(130)) and note.index("r128") < note.index("r001")
+
+
+def test_the_digest_lists_every_group_and_source(spark):
+    from savora.operators import explore
+    df = spark.createDataFrame([(i, f"r{i}", f"n{i}", f"s{i:02}", f"g{i:02}", 4.0) for i in range(60)],
+                               "row_idx long, restaurant_id string, restaurant_name string, source string, cluster_name string, overall_rating double")
+    df = df.withColumns({**{f"sentiment_{a}_score": F.lit(0.0) for a in ("comida", "servicio", "precio", "ambiente")},
+                         **{f"mentions_{a}": F.lit(True) for a in ("comida", "servicio", "precio", "ambiente")}, "category_primary": F.lit("x")})
+    lines = explore.digest(df).collect()
+    assert sum(r.section_no == 9 for r in lines) == 60 and any("s59" in r.line for r in lines)
