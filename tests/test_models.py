@@ -341,3 +341,12 @@ def test_the_digest_lists_every_group_and_source(spark):
                          **{f"mentions_{a}": F.lit(True) for a in ("comida", "servicio", "precio", "ambiente")}, "category_primary": F.lit("x")})
     lines = explore.digest(df).collect()
     assert sum(r.section_no == 9 for r in lines) == 60 and any("s59" in r.line for r in lines)
+
+
+def test_match_scores_on_a_rounding_edge_follow_the_sql(spark):
+    from savora.operators import recommend
+    rows = [(0, 1.2, -0.8333333333333334, 0.125, '$$', 'q', 'b'), (1, 1.2000000000000002, -0.8333333333333334, 0.125, '$$', 'q', 'b'), (2, 1.2, -0.625, -0.08333333333333333, '$$', 'q', 'b'), (3, 1.2000000000000002, -0.625, -0.08333333333333333, '$$', 'q', 'b'), (4, 1.1999999999999997, 0.6666666666666666, 0.875, '$$', 'q', 'b'), (5, 1.1999999999999997, 0.9166666666666666, 0.625, '$$', 'q', 'b')]
+    df = spark.createDataFrame(rows, "i long, overall_rating double, sentiment_comida_score double, sentiment_servicio_score double, price_range string, category string, location string")
+    wanted = recommend.Preferences(category="x", max_price="$$", location="y", priority_aspects=("comida", "servicio"))
+    got = [r.s for r in df.select("i", recommend.match_score(df, wanted).alias("s")).orderBy("i").collect()]
+    assert got == [29.4, 29.4, 29.4, 29.4, 52.0, 52.0]  # before: [29.5, 29.5, 29.5, 29.5, 51.9, 51.9]
