@@ -61,7 +61,7 @@ def _(t):
         F.lit('<div itemprop="aggregateRating"><span itemprop="ratingValue">'), (F.col("c_custkey") % 5).cast("string"), F.lit(",5</span> de <span itemprop='reviewCount'>"), nation,
         F.lit('K</span></div><div class="dg-reviews-stats">Comida 4.5 /5 Servicio 9 /5</div>'),
         F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('<p itemprop="streetAddress">Calle '), nation, F.lit(" - Bella Vista - Panamá</p>"))).otherwise(""), F.lit("</html>"))
-    out = pages.microdata_record(t.customer.select("c_custkey", html.alias("html")), F.col("c_custkey"))
+    out = pages.microdata_record(t.dealt("customer", "c_custkey").select("c_custkey", html.alias("html")), F.col("c_custkey"))
     return out.select("c_custkey", "restaurant_name", "category", "price_range", r6("overall_rating"), r6("review_count"), r6("food_rating"), "address", "location")
 
 

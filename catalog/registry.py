@@ -23,10 +23,13 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """The texts.  A test file is one split however much work its texts are, so it is dealt to the cores; a
+        return self.dealt("documents", "doc_id")
+
+    def dealt(self, name: str, key: str) -> DataFrame:
+        """A table whose rows are much work each.  A test file is one split however much that is, so it is dealt to the cores; a
         table that has as many splits as cores is read as it is."""
-        df, cores = self.spark.read.parquet(f"{self.folder}/documents.parquet"), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
+        df, cores = self.spark.read.parquet(f"{self.folder}/{name}.parquet"), self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
     @cached_property
     def texts(self) -> DataFrame:

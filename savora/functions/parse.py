@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, functions as F
 
 from savora import fixed_values as fixed
-from savora.functions.text import SPACE, U, blank_to_null, strip
+from savora.functions.text import SPACE, U, blank_to_null, let, strip
 
 ABSOLUTE_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd",
@@ -62,10 +62,11 @@ def primary_category(category: Column) -> Column:
 
 def zone_of_address(address: Column, cities: Sequence[str] = fixed.CITY_NAMES) -> Column:
     """Last part of the address once the city names at its end are dropped."""
-    parts = F.filter(F.transform(F.split(address, " - ", -1), strip), lambda p: p != "")
-    last = F.array_max(F.transform(
-        parts, lambda part, i: F.when(~F.lower(part).isin(list(cities)), i)))
-    return F.when(last >= 1, F.get(parts, last))
+    def zone(parts: Column) -> Column:
+        last = F.array_max(F.transform(
+            parts, lambda part, i: F.when(~F.lower(part).isin(list(cities)), i)))
+        return F.when(last >= 1, F.get(parts, last))
+    return let(F.filter(F.transform(F.split(address, " - ", -1), strip), lambda p: p != ""), zone)
 
 
 # --- numbers in running text -------------------------------------------------
@@ -75,17 +76,16 @@ NUMBER = r"(\d+(?:[.,]\d+)?)"
 
 def number_with_suffix(value: Column) -> Column:
     """First number of the text; a comma is a decimal point and K means thousand."""
-    digits = F.regexp_extract(value, NUMBER, 1)
-    number = F.replace(digits, F.lit(","), F.lit(".")).try_cast("double")
-    thousand = F.regexp_extract(value, rf"{NUMBER}({SPACE}*[kK])?", 2) != ""
-    return F.when(thousand, number * 1000).otherwise(number)
+    def number(v: Column) -> Column:
+        plain = F.replace(F.regexp_extract(v, NUMBER, 1), F.lit(","), F.lit(".")).try_cast("double")
+        return plain * F.when(F.regexp_extract(v, rf"{NUMBER}({SPACE}*[kK])?", 2) != "", 1000).otherwise(1)
+    return let(value, number)
 
 
 def labelled_rating(text: Column, label: str) -> Column:
     """The rating that follows ``label``, when it lies in 0..5."""
     digits = F.regexp_extract(text, rf"{U}{label}{SPACE}*{NUMBER}", 1)
-    value = number_with_suffix(digits)
-    return F.when(value.between(0, 5), value)
+    return let(number_with_suffix(digits), lambda v: F.when(v.between(0, 5), v))
 
 
 def class_token_rating(css_class: Column) -> Column:

@@ -103,17 +103,18 @@ def _from(html: Column, marker: str) -> Column:
 def microdata_record(pages: DataFrame, entity_id: Column, html: str = "html") -> DataFrame:
     """One metadata row per detail page."""
     page = F.col(html)
-    aggregate = _from(page, _prop("aggregateRating"))
-    stats = inner_text(_from(page, _class("dg-reviews-stats")))
-    street = F.coalesce(itemprop(page, "streetAddress"), itemprop(page, "address"))
+    # pieces that several fields read are columns of their own, found once per page
+    pieces = {"_aggregate": _from(page, _prop("aggregateRating")), "_stats": inner_text(_from(page, _class("dg-reviews-stats"))),
+              "_street": F.coalesce(itemprop(page, "streetAddress"), itemprop(page, "address"))}
+    aggregate, stats, street = map(F.col, pieces)
     zone = F.coalesce(parse.zone_of_address(street), itemprop(page, "addressRegion"))
-    return pages.select(
+    return pages.withColumns(pieces).select(
         "*", entity_id.cast("string").alias("restaurant_id"), heading(page).alias("restaurant_name"),
         itemprop(page, "servesCuisine").alias("category"), itemprop(page, "priceRange").alias("price_range"),
         parse.number_with_suffix(itemprop(aggregate, "ratingValue")).alias("overall_rating"),
         parse.number_with_suffix(itemprop(aggregate, "reviewCount")).alias("review_count"),
         *[parse.labelled_rating(stats, label).alias(name) for name, label in SITE_ASPECTS.items()],
-        street.alias("address"), F.when(street.isNotNull(), zone).alias("location"))
+        street.alias("address"), F.when(street.isNotNull(), zone).alias("location")).drop(*pieces)
 
 
 def _blocks(html: Column, marker: str) -> Column:
