@@ -7,7 +7,7 @@ A pass sends one number per row to the tasks and one back from each of them, how
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Callable, Generator, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +58,93 @@ def fit(rows: DataFrame, width: int, penalty: float, tol: float) -> Fit:
         lambda r: [np.frombuffer(b, t) for b, t in zip(r, kinds)]).persist(StorageLevel.MEMORY_AND_DISK)  # an RDD: each pass would plan a table again
     try:
         tasks = blocks.map(lambda b: len(b[2])).sum() // CELLS_PER_TASK + 1
-        return _newton(blocks.coalesce(tasks), y, weight / weight.sum(), width, penalty, tol)
+        held = blocks.coalesce(tasks)
+        (a, b, steps, passes), = _together([_newton(y, weight / weight.sum(), penalty, tol)], lambda _, asked: [_products(held, asked[0])])
+        return Fit(_coefficients(held, a, width), b, steps, passes)
     finally:
         blocks.unpersist()
         numbers_sent.destroy()
 
 
+def fit_parts(cells: DataFrame, numbers: np.ndarray, y: np.ndarray, learns: np.ndarray, c: float, tol: float) -> tuple[list[Fit], DataFrame]:
+    """Several fits over parts of the same rows, with balanced classes, and what they weigh: (term, idf, pull).
+
+    ``cells`` has one row per term: (term, idf, cells), ``idf`` an array with the term's weight in each fit, 0 where it does not take part,
+    ``cells`` an array of (row, x).  The rows of a fit are scaled to unit length under its weights.  ``learns`` says per row (as in ``numbers``,
+    ascending) and fit whether it learns from it.  One pass over the cells serves all fits.  ``pull`` says how much ``x`` adds to the margin of a row of length 1.
+    """
+    n, fits = learns.shape
+    numbers_sent = cells.sparkSession.sparkContext.broadcast(numbers)
+
+    def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        lists = batch.column(2)
+        inside = lists.flatten()
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+        at = np.searchsorted(numbers_sent.value, inside.field(0).to_numpy()).astype(np.int32)
+        return batch.column(1).flatten().to_numpy(), starts, at, inside.field(1).to_numpy()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in unpacked(batch)], ["idf", "starts", "at", "x"])
+    kinds = np.float64, np.int64, np.int32, np.float64
+    blocks = cells.mapInArrow(packed, "idf binary, starts binary, at binary, x binary").rdd.map(
+        lambda r: [np.frombuffer(b, t) for b, t in zip(r, kinds)]).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def summed(of_block: Callable[..., np.ndarray], columns: int) -> np.ndarray:
+        def partial(parts: Iterator[list[np.ndarray]]) -> Iterator[np.ndarray]:
+            total = np.zeros((columns, n))
+            for idf, starts, at, x in parts:
+                total += of_block(idf.reshape(-1, fits).T, starts, at, x)
+            yield total
+        return _added(held.mapPartitions(partial))
+    try:
+        held = blocks.coalesce(blocks.map(lambda b: len(b[2])).sum() // CELLS_PER_TASK + 1)
+        squares = summed(lambda idf, starts, at, x: np.stack([np.bincount(at, (x * np.repeat(w, np.diff(starts))) ** 2, n) for w in idf]), fits)
+        scale = np.divide(1, np.sqrt(squares), out=np.zeros_like(squares), where=squares > 0)
+
+        def products(which: list[int], asked: list[np.ndarray]) -> list[np.ndarray]:
+            scaled = [scale[f] * full for f, full in zip(which, _spread(asked, [learns[:, f] for f in which]))]
+            found = summed(lambda idf, starts, at, x: np.stack([
+                np.bincount(at, x * np.repeat(np.add.reduceat(x * a[at], starts[:-1]) * idf[f] ** 2, np.diff(starts)), n) for f, a in zip(which, scaled)]), len(which))
+            return [(scale[f] * k)[learns[:, f]] for f, k in zip(which, found)]
+        solvers = []
+        for f in range(fits):
+            label = y[learns[:, f]]
+            many = len(label)
+            ones = label.sum()
+            share = np.where(label == 1, 0.5 / max(ones, 1), 0.5 / max(many - ones, 1))
+            solvers.append(_newton(label, share, 1.0 / (c * max(many, 1)), tol) if 0 < ones < many else _constant(many, ones > 0))
+        solved = _together(solvers, products)
+        scaled = [scale[f] * full for f, full in enumerate(_spread([s[0] for s in solved], list(learns.T)))]
+
+        def pulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    idf, starts, at, x = unpacked(batch)
+                    pull = np.stack([np.add.reduceat(x * a[at], starts[:-1]) for a in scaled], axis=1) * idf.reshape(-1, fits) ** 2
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(
+                        pa.array(np.arange(0, pull.size + 1, fits), pa.int32()), pa.array(pull.ravel()))], ["term", "idf", "pull"])
+        table = shared.stored(cells.mapInArrow(pulls, "term string, idf array<double>, pull array<double>"), "pulls")
+        return [Fit(np.zeros(0), b, steps, passes) for _, b, steps, passes in solved], table
+    finally:
+        blocks.unpersist()
+        numbers_sent.destroy()
+
+
+def _spread(values: Sequence[np.ndarray], places: Sequence[np.ndarray]) -> Iterator[np.ndarray]:
+    """Values of the marked rows among all rows, 0 elsewhere."""
+    for some, marked in zip(values, places):
+        full = np.zeros(len(marked))
+        full[marked] = some
+        yield full
+
+
+def _added(parts: RDD) -> np.ndarray:
+    """The sum of an array per task; of many tasks, sums of some tasks each reach the driver."""
+    return parts.treeReduce(np.add) if parts.getNumPartitions() > 32 else sum(parts.collect())
+
+
 def _products(blocks: RDD, a: np.ndarray) -> np.ndarray:
     """Of every row, the inner product with the sum of rows that ``a`` stands for."""
     n = len(a)
@@ -73,7 +154,7 @@ def _products(blocks: RDD, a: np.ndarray) -> np.ndarray:
         for _, starts, at, x in parts:
             total += np.bincount(at, x * np.repeat(np.add.reduceat(x * a[at], starts[:-1]), np.diff(starts)), n)
         yield total
-    return sum(blocks.mapPartitions(partial).collect(), np.zeros(n))
+    return _added(blocks.mapPartitions(partial))
 
 
 def _coefficients(blocks: RDD, a: np.ndarray, width: int) -> np.ndarray:
@@ -83,13 +164,35 @@ def _coefficients(blocks: RDD, a: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _newton(blocks: RDD, y: np.ndarray, share: np.ndarray, width: int, penalty: float, tol: float) -> Fit:
-    n, passes = len(y), 0
+def _together(solvers: Sequence[Generator], products: Callable[[list[int], list[np.ndarray]], list[np.ndarray]]) -> list[tuple]:
+    """Results of the solvers.  What those not yet done ask for is found in one pass."""
+    asked: dict[int, np.ndarray] = {}
+    done: dict[int, tuple] = {}
 
-    def product(a: np.ndarray) -> np.ndarray:
-        nonlocal passes
-        passes += 1
-        return _products(blocks, a)
+    def go_on(i: int, answer: np.ndarray | None) -> None:
+        try:
+            asked[i] = solvers[i].send(answer)
+        except StopIteration as end:
+            asked.pop(i, None)
+            done[i] = end.value
+    for i in range(len(solvers)):
+        go_on(i, None)
+    while asked:
+        which = list(asked)
+        for i, answer in zip(which, products(which, [asked[i] for i in which])):
+            go_on(i, answer)
+    return [done[i] for i in range(len(solvers))]
+
+
+def _constant(n: int, minority: bool) -> Generator:
+    """Rows of one class, or none: the score is that class."""
+    return np.zeros(n), float("inf") if minority else float("-inf"), 0, 0
+    yield
+
+
+def _newton(y: np.ndarray, share: np.ndarray, penalty: float, tol: float) -> Generator[np.ndarray, np.ndarray, tuple]:
+    """Yields the sums of rows whose products it needs; ends with (a, intercept, steps, passes)."""
+    n, passes = len(y), 0
 
     def loss(a: np.ndarray, ka: np.ndarray, b: float) -> float:
         z = ka + b
@@ -102,7 +205,8 @@ def _newton(blocks: RDD, y: np.ndarray, share: np.ndarray, width: int, penalty:
         miss = share * (p - y)
         # the gradient is the sum of rows ``left``, and ``left_b`` for the intercept
         left, left_b = -(miss + penalty * a), -float(miss.sum())
-        k_left = product(left)
+        k_left = yield left
+        passes += 1
         size = left @ k_left + left_b ** 2
         first = size if first is None else first
         enough = size * min(0.01, np.sqrt(size / first))  # of the squared residual: closer to the end, solves are closer
@@ -116,7 +220,8 @@ def _newton(blocks: RDD, y: np.ndarray, share: np.ndarray, width: int, penalty:
             length = size / (k_go @ h + go_b * h_b)
             u, ku, ub = u + length * go, ku + length * k_go, ub + length * go_b
             left, left_b = left - length * h, left_b - length * h_b
-            k_left = product(left)
+            k_left = yield left
+            passes += 1
             before, size = size, left @ k_left + left_b ** 2
             go, k_go, go_b = left + size / before * go, k_left + size / before * k_go, left_b + size / before * go_b
         promised, far = float(gain_left @ ku + gain_b * ub), 1.0
@@ -125,4 +230,4 @@ def _newton(blocks: RDD, y: np.ndarray, share: np.ndarray, width: int, penalty:
         a, ka, b, value = a + far * u, ka + far * ku, b + far * ub, tried
         if promised <= tol * value:
             break
-    return Fit(_coefficients(blocks, a, width), b, step, passes)
+    return a, b, step, passes
