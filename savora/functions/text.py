@@ -176,18 +176,19 @@ def tokenize(text: Column) -> Column:
 def detect_language(text: Column,
                     spanish: Sequence[str] = tuple(fixed.SPANISH_INDICATORS),
                     english: Sequence[str] = tuple(fixed.ENGLISH_INDICATORS)) -> Column:
-    """Compare how many indicator substrings of each language occur."""
-    lowered = F.lower(text)
+    """Compare how many indicator substrings of each language occur.
 
-    def hits(words: Sequence[str]) -> Column:
+    The lower-cased text and the difference are bound: written out, each indicator would lower-case the text again.
+    """
+    def hits(lowered: Column, words: Sequence[str]) -> Column:
         total = F.lit(0)
         for word in words:
             total = total + F.contains(lowered, F.lit(word)).cast("int")
         return total
 
-    es, en = hits(spanish), hits(english)
-    return (F.when(F.coalesce(text, F.lit("")) == "", "unknown")
-            .when(es > en, "spanish").when(en > es, "english").otherwise("mixed"))
+    lead = let(F.lower(text), lambda low: hits(low, spanish) - hits(low, english))
+    named = let(lead, lambda n: F.when(n > 0, "spanish").when(n < 0, "english").otherwise("mixed"))
+    return F.when(F.coalesce(text, F.lit("")) == "", "unknown").otherwise(named)
 
 
 def word_count(text: Column) -> Column:
@@ -199,7 +200,7 @@ def char_count(text: Column) -> Column:
 
 
 def avg_word_length(text: Column) -> Column:
-    letters = F.length(F.regexp_replace(text, f"{U}{SPACE}+", ""))
+    letters = F.length(text) - F.regexp_count(text, F.lit(f"{U}{SPACE}"))
     return F.coalesce(letters / F.greatest(word_count(text), F.lit(1)), F.lit(0.0))
 
 

@@ -11,6 +11,7 @@ from savora.functions import sentiment, text
 from savora.operators.ordering import keep_first
 
 MIN_REVIEW_LENGTH = 10
+ROWS_PER_CHUNK = 10_000  # consecutive ordinals: what a task fills at once of an entity, however many rows that has
 
 
 def unify_restaurants(df: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] = ("restaurant_id", "
 
 def fill_metadata(df: DataFrame, columns: Sequence[str] = schemas.META_COLUMNS,
                   entity: str = "restaurant_id", order: str = "row_idx",
-                  rows_per_chunk: int = 4_000_000) -> DataFrame:
+                  rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Fill each column forward within its entity, then backward.
 
     A row keeps its own value, else takes the last one before it, else the first

@@ -15,7 +15,7 @@ from savora.sources import shared
 def unified(sources: DataFrame, lexicon: sentiment.Lexicon = sentiment.RESTAURANT_LEXICON) -> DataFrame:
     """Identity, then duplicates, then metadata (a dropped copy donates nothing), then sentiment."""
     named = unify.unify_restaurants(sources)
-    distinct = unify.deduplicate_reviews(named)
+    distinct = shared.stored(unify.deduplicate_reviews(named), "distinct")  # read twice: for what is carried and for the rows
     filled = unify.fill_metadata(distinct)
     labelled = unify.add_aspect_sentiments(filled, lexicon)
     return schemas.conform(labelled, schemas.RAW_COLUMNS, keep=("row_idx",))

@@ -270,3 +270,17 @@ def test_a_metadata_record_reads_each_piece_once(spark):
     row = record.first()
     assert (row.location, row.review_count, row.food_rating, row.service_rating, row.category) == ("Bella Vista", 1500.0, 4.5, None, None)
     assert record.columns[:3] == ["id", "html", "restaurant_id"] and not any(c.startswith("_") for c in record.columns)
+
+
+def test_an_entity_is_filled_by_several_tasks(spark):
+    """One entity, 60,000 rows: before, its texts met in a single group of a window."""
+    from savora.operators import unify
+    rows = spark.range(60_000).select(F.col("id").alias("row_idx"), F.lit("r").alias("restaurant_id"), F.when(F.col("id") == 41_000, "Zona").alias("location"))
+    filled = unify.fill_metadata(rows, ["location"])
+    assert filled.filter("location = 'Zona'").count() == 60_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        held = unify.fill_metadata(rows, ["location"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in held) <= 40_000

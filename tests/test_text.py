@@ -89,3 +89,14 @@ def test_clean_display_and_preview(value):
     assert value(text.clean_display, "x") == "x"
     assert value(lambda c: text.preview(c, 3), "abcd") == "abc..."
     assert value(lambda c: text.preview(c, 4), "abcd") == "abcd"
+
+
+def test_language_binds_the_lowered_text(spark):
+    """Written out for each indicator, the text would be lower-cased dozens of times."""
+    assert str(text.detect_language(F.col("body"))).lower().count("lower(") == 1
+
+
+@pytest.mark.parametrize("raw", ["a b\x1c c　", " ", "ab", " x​ y"])
+def test_letters_are_what_is_not_space(value, raw):
+    letters = sum(not c.isspace() for c in raw)
+    assert value(text.avg_word_length, raw) == pytest.approx(letters / max(1, len(raw.split())))
