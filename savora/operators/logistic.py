@@ -1,7 +1,7 @@
 """Logistic regression on sparse rows by Newton steps, whose inner solves are conjugate gradients.
 
 The columns of the matrix lie in the tasks, and coefficients are sums of training rows: ``a`` says how much of each.
-A pass sends one number per row to the tasks and one back from each of them, however many columns there are.
+A pass sends one number per row to the tasks and one back, however many columns there are.
 """
 
 from __future__ import annotations
@@ -11,14 +11,16 @@ from typing import Callable, Generator, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from savora.sources import shared
 
 MAX_STEPS, MAX_INNER = 100, 1000
-CELLS_PER_TASK = 500_000
+CELLS_PER_TASK, CELLS_PER_BLOCK = 500_000, 1_000_000
+NUMBERS_AT_ONCE = 30_000_000   # on the driver: fits whose vectors exceed this take turns
+NUMBERS_PER_ROW = 20           # of a fit in work
+NUMBERS_TO_DRIVER = 1_000_000  # more than that, from all tasks, are added up before they leave the executors
 
 
 @dataclass
@@ -29,107 +31,120 @@ class Fit:
     passes: int = 0
 
 
-def fit(rows: DataFrame, width: int, penalty: float, tol: float) -> Fit:
-    """Minimise ``sum(w * loss) / sum(w) + penalty / 2 * |coefficients|^2``; the intercept is free.
-
-    ``rows`` are (label 0 or 1, w, indices, values); there are as many as the driver can hold numbers.  Ends when a step promises
-    less than ``tol`` of the loss.  Newton steps are taken on the rows as they are: on columns scaled to equal
-    deviation, as Spark's own fit does it, rare terms stretch the problem and it takes some five times the passes.
-    """
-    rows = shared.stored(rows.withColumn("row", F.monotonically_increasing_id()), "fit-rows")
-    known = rows.select("row", "label", "w").orderBy("row").toPandas()
-    numbers, y, weight = known["row"].to_numpy(), known["label"].to_numpy(), known["w"].to_numpy()
-    if len(set(y)) < 2:
-        return Fit(np.zeros(width), float("inf") if len(y) and y[0] else float("-inf"))
-    cells = rows.select("row", F.inline(F.arrays_zip("indices", "values"))).groupBy("indices").agg(F.collect_list(F.struct("row", "values")))
-    numbers_sent = rows.sparkSession.sparkContext.broadcast(numbers)
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                lists = batch.column(1)
-                inside = lists.flatten()
-                starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
-                at = np.searchsorted(numbers_sent.value, inside.field(0).to_numpy()).astype(np.int32)
-                parts = batch.column(0).to_numpy().astype(np.int32), starts, at, inside.field(1).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], ["columns", "starts", "at", "x"])
-    kinds = np.int32, np.int64, np.int32, np.float64
-    blocks = cells.mapInArrow(packed, "columns binary, starts binary, at binary, x binary").rdd.map(
-        lambda r: [np.frombuffer(b, t) for b, t in zip(r, kinds)]).persist(StorageLevel.MEMORY_AND_DISK)  # an RDD: each pass would plan a table again
-    try:
-        tasks = blocks.map(lambda b: len(b[2])).sum() // CELLS_PER_TASK + 1
-        held = blocks.coalesce(tasks)
-        (a, b, steps, passes), = _together([_newton(y, weight / weight.sum(), penalty, tol)], lambda _, asked: [_products(held, asked[0])])
-        return Fit(_coefficients(held, a, width), b, steps, passes)
-    finally:
-        blocks.unpersist()
-        numbers_sent.destroy()
+@dataclass
+class Solved:
+    fits: list[Fit]
+    sums: np.ndarray            # per fit and row: how much of the row, at its plain length, the coefficients hold
+    margins: np.ndarray | None  # per fit and row
 
 
-def fit_parts(cells: DataFrame, numbers: np.ndarray, y: np.ndarray, learns: np.ndarray, c: float, tol: float) -> tuple[list[Fit], DataFrame]:
-    """Several fits over parts of the same rows, with balanced classes, and what they weigh: (term, idf, pull).
+def fit_parts(cells: DataFrame, y: np.ndarray, learns: np.ndarray, c: float, tol: float, margins: bool = False) -> Solved:
+    """Several fits over parts of the same rows, with balanced classes; ``margins`` asks for those of all rows, learnt from or not.
 
-    ``cells`` has one row per term: (term, idf, cells), ``idf`` an array with the term's weight in each fit, 0 where it does not take part,
-    ``cells`` an array of (row, x).  The rows of a fit are scaled to unit length under its weights.  ``learns`` says per row (as in ``numbers``,
-    ascending) and fit whether it learns from it.  One pass over the cells serves all fits.  ``pull`` says how much ``x`` adds to the margin of a row of length 1.
+    Minimises ``sum(w * loss) / sum(w) + |coefficients|^2 / (2 * c * sum(w))``; the intercept is free.  ``cells`` has the columns of the
+    matrix (idf, starts, at, tf), packed, many to a row: ``idf`` has a number for each fit, 0 where the column does not take part, and ``at``
+    are the rows in which it has ``tf`` counts.  A row under a fit has ``(1 + log(tf)) * idf``, scaled to unit length.  ``learns`` says
+    per row and fit whether it learns from it.  One pass over the cells serves all fits.  Ends when a step promises less than ``tol`` of
+    the loss.  Newton steps are taken on the rows as they are: on columns scaled to equal deviation rare terms stretch the problem
+    and it takes some five times the passes.
     """
     n, fits = learns.shape
-    numbers_sent = cells.sparkSession.sparkContext.broadcast(numbers)
-
-    def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        lists = batch.column(2)
-        inside = lists.flatten()
-        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
-        at = np.searchsorted(numbers_sent.value, inside.field(0).to_numpy()).astype(np.int32)
-        return batch.column(1).flatten().to_numpy(), starts, at, inside.field(1).to_numpy()
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in unpacked(batch)], ["idf", "starts", "at", "x"])
-    kinds = np.float64, np.int64, np.int32, np.float64
-    blocks = cells.mapInArrow(packed, "idf binary, starts binary, at binary, x binary").rdd.map(
-        lambda r: [np.frombuffer(b, t) for b, t in zip(r, kinds)]).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def summed(of_block: Callable[..., np.ndarray], columns: int) -> np.ndarray:
-        def partial(parts: Iterator[list[np.ndarray]]) -> Iterator[np.ndarray]:
+    context, per_block = cells.sparkSession.sparkContext, CELLS_PER_BLOCK
+
+    def joined(rows: Iterator) -> Iterator[tuple[np.ndarray, ...]]:
+        def block(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+            idf, starts, at, tf = zip(*parts)
+            # many columns have the same weights: these are kept once, and columns have their place
+            known, of = np.unique(np.concatenate(idf).reshape(-1, fits), axis=0, return_inverse=True)
+            tf = np.concatenate(tf)
+            lengths = np.concatenate([np.diff(s) for s in starts])
+            return (np.ascontiguousarray(known.T), *(x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (of.ravel(), lengths)),
+                    np.concatenate(at), tf.astype(np.min_scalar_type(int(tf.max(initial=0)))))
+        held, size = [], 0
+        for r in rows:
+            held.append([np.frombuffer(x, t) for x, t in zip(r, (np.float64, np.int64, np.int32, np.int32))])
+            size += len(held[-1][2])
+            if size >= per_block:
+                yield block(held)
+                held, size = [], 0
+        if size:
+            yield block(held)
+    blocks = cells.select("idf", "starts", "at", "tf").rdd.mapPartitions(joined).persist(StorageLevel.MEMORY_AND_DISK)  # an RDD: each pass would plan a table again
+
+    def summed(of_block: Callable[..., None], columns: int) -> np.ndarray:
+        def partial(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
             total = np.zeros((columns, n))
-            for idf, starts, at, x in parts:
-                total += of_block(idf.reshape(-1, fits).T, starts, at, x)
+            for known, of, lengths, at, tf in parts:
+                lengths = lengths.astype(np.int64)
+                x = (np.log(np.arange(1, 257.0)) + 1.0)[tf - 1] if tf.dtype == np.uint8 else np.log(tf) + 1.0
+                of_block(total, known, of, lengths, np.cumsum(lengths) - lengths, at.astype(np.int64), x)
             yield total
-        return _added(held.mapPartitions(partial))
+        return _added(held.mapPartitions(partial), tasks, columns, n)
+
+    def pulled(a: np.ndarray, which: list[int]) -> np.ndarray:
+        """Of every row, the inner product with the sum of rows that ``a`` stands for; rows at their plain length."""
+        asked = context.broadcast((a, which))
+
+        def of_block(total: np.ndarray, known: np.ndarray, of: np.ndarray, lengths: np.ndarray, starts: np.ndarray, at: np.ndarray, x: np.ndarray) -> None:
+            a, which = asked.value
+            for i, f in enumerate(which):
+                pull = np.add.reduceat(x * a[i][at], starts) * (known[f] ** 2)[of]
+                total[i] += np.bincount(at, x * np.repeat(pull, lengths), total.shape[1])
+        try:
+            return summed(of_block, len(which))
+        finally:
+            asked.destroy()
+
+    def squares(total: np.ndarray, known: np.ndarray, of: np.ndarray, lengths: np.ndarray, starts: np.ndarray, at: np.ndarray, x: np.ndarray) -> None:
+        for f, idf in enumerate(known):
+            total[f] += np.bincount(at, (x * np.repeat(idf[of], lengths)) ** 2, total.shape[1])
     try:
-        held = blocks.coalesce(blocks.map(lambda b: len(b[2])).sum() // CELLS_PER_TASK + 1)
-        squares = summed(lambda idf, starts, at, x: np.stack([np.bincount(at, (x * np.repeat(w, np.diff(starts))) ** 2, n) for w in idf]), fits)
-        scale = np.divide(1, np.sqrt(squares), out=np.zeros_like(squares), where=squares > 0)
+        tasks = int(min(context.defaultParallelism, blocks.map(lambda b: len(b[3])).sum() // CELLS_PER_TASK + 1))
+        held = blocks.coalesce(tasks)
+        tasks = max(1, held.getNumPartitions())
+        lengths = summed(squares, fits)
+        scale = np.divide(1, np.sqrt(lengths, out=lengths), out=np.zeros_like(lengths), where=lengths > 0)
 
         def products(which: list[int], asked: list[np.ndarray]) -> list[np.ndarray]:
-            scaled = [scale[f] * full for f, full in zip(which, _spread(asked, [learns[:, f] for f in which]))]
-            found = summed(lambda idf, starts, at, x: np.stack([
-                np.bincount(at, x * np.repeat(np.add.reduceat(x * a[at], starts[:-1]) * idf[f] ** 2, np.diff(starts)), n) for f, a in zip(which, scaled)]), len(which))
+            found = pulled(np.stack([scale[f] * full for f, full in zip(which, _spread(asked, [learns[:, f] for f in which]))]), which)
             return [(scale[f] * k)[learns[:, f]] for f, k in zip(which, found)]
-        solvers = []
-        for f in range(fits):
+
+        def solver(f: int) -> Generator:
             label = y[learns[:, f]]
-            many = len(label)
-            ones = label.sum()
+            many, ones = len(label), label.sum()
             share = np.where(label == 1, 0.5 / max(ones, 1), 0.5 / max(many - ones, 1))
-            solvers.append(_newton(label, share, 1.0 / (c * max(many, 1)), tol) if 0 < ones < many else _constant(many, ones > 0))
-        solved = _together(solvers, products)
-        scaled = [scale[f] * full for f, full in enumerate(_spread([s[0] for s in solved], list(learns.T)))]
-
-        def pulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    idf, starts, at, x = unpacked(batch)
-                    pull = np.stack([np.add.reduceat(x * a[at], starts[:-1]) for a in scaled], axis=1) * idf.reshape(-1, fits) ** 2
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, pull.size + 1, fits), pa.int32()), pa.array(pull.ravel()))], ["term", "idf", "pull"])
-        table = shared.stored(cells.mapInArrow(pulls, "term string, idf array<double>, pull array<double>"), "pulls")
-        return [Fit(np.zeros(0), b, steps, passes) for _, b, steps, passes in solved], table
+            return _newton(label, share, 1.0 / (c * max(many, 1)), tol) if 0 < ones < many else _constant(many, ones > 0)
+        at_once, solved = int(max(1, NUMBERS_AT_ONCE // (NUMBERS_PER_ROW * max(n, 1)))), []
+        for some in (list(range(fits))[i:i + at_once] for i in range(0, fits, at_once)):
+            solved += _together([solver(f) for f in some], lambda which, asked: products([some[i] for i in which], asked))
+        sums = np.zeros((fits, n))
+        for f, full in enumerate(_spread([s[0] for s in solved], list(learns.T))):
+            sums[f] = scale[f] * full
+        out = Solved([Fit(np.zeros(0), b, steps, passes) for _, b, steps, passes in solved], sums, None)
+        if margins:
+            out.margins = scale * pulled(sums, list(range(fits))) + np.array([[fit.intercept] for fit in out.fits])
+        return out
     finally:
         blocks.unpersist()
-        numbers_sent.destroy()
+
+
+def weights(cells: DataFrame, solved: Solved, f: int) -> DataFrame:
+    """Coefficients of one fit, as many to a row as in ``cells``: (bucket, term, idf, weight)."""
+    fits, sums = len(solved.fits), cells.sparkSession.sparkContext.broadcast(solved.sums[f])
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                idf, starts, at, tf = (np.frombuffer(batch.column(c)[i].as_py(), t) for c, t in ((2, np.float64), (3, np.int64), (4, np.int32), (5, np.int32)))
+                own = np.ascontiguousarray(idf.reshape(-1, fits)[:, f])
+                weight = np.add.reduceat((np.log(tf) + 1.0) * sums.value[at], starts[:-1]) * own if len(own) else own
+                one = [0, len(own)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.ListArray.from_arrays(one, pa.array(own)),
+                                                  pa.ListArray.from_arrays(one, pa.array(weight))], ["bucket", "term", "idf", "weight"])
+    try:
+        return shared.stored(cells.mapInArrow(weighed, "bucket int, term array<string>, idf array<double>, weight array<double>"), "weights")
+    finally:
+        sums.destroy()
 
 
 def _spread(values: Sequence[np.ndarray], places: Sequence[np.ndarray]) -> Iterator[np.ndarray]:
@@ -140,28 +155,18 @@ def _spread(values: Sequence[np.ndarray], places: Sequence[np.ndarray]) -> Itera
         yield full
 
 
-def _added(parts: RDD) -> np.ndarray:
-    """The sum of an array per task; of many tasks, sums of some tasks each reach the driver."""
-    return parts.treeReduce(np.add) if parts.getNumPartitions() > 32 else sum(parts.collect())
-
-
-def _products(blocks: RDD, a: np.ndarray) -> np.ndarray:
-    """Of every row, the inner product with the sum of rows that ``a`` stands for."""
-    n = len(a)
-
-    def partial(parts: Iterator[list[np.ndarray]]) -> Iterator[np.ndarray]:
-        total = np.zeros(n)
-        for _, starts, at, x in parts:
-            total += np.bincount(at, x * np.repeat(np.add.reduceat(x * a[at], starts[:-1]), np.diff(starts)), n)
-        yield total
-    return _added(blocks.mapPartitions(partial))
-
+def _added(parts: RDD, tasks: int, columns: int, n: int) -> np.ndarray:
+    """The sum of an array per task.  Where these are large they are cut, and the tasks add up a cut each."""
+    if tasks * columns * n <= NUMBERS_TO_DRIVER:
+        return sum(parts.collect(), np.zeros((columns, n)))
 
-def _coefficients(blocks: RDD, a: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros(width)
-    for columns, sums in blocks.map(lambda b: (b[0], np.add.reduceat(b[3] * a[b[2]], b[1][:-1]))).collect():
-        out[columns] = sums
-    return out
+    def cut(arrays: Iterator[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        for a in arrays:
+            yield from enumerate(np.array_split(a, tasks, axis=1))
+    added = parts.mapPartitions(cut).reduceByKey(np.add, tasks)
+    found = dict(added.collect())
+    added._jrdd.rdd().cleanShuffleDependencies(False)  # a pass leaves as much as it sent; many passes would fill the disk
+    return np.concatenate([found[i] for i in range(tasks)], axis=1)
 
 
 def _together(solvers: Sequence[Generator], products: Callable[[list[int], list[np.ndarray]], list[np.ndarray]]) -> list[tuple]:
