@@ -49,8 +49,9 @@ def fit(vectors: DataFrame, starts: Sequence[tuple[int, int]], most: int) -> lis
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).flatten().to_numpy().tobytes()], pa.binary()), pa.array([batch.num_rows])], ["x", "n"])
     gaps, context = vectors.count() * sum(k for k, _ in starts), vectors.sparkSession.sparkContext
     tasks = min(2 * context.defaultParallelism, 1 + gaps // GAPS_PER_TASK)
+    # a block has its points as columns, and a last row of ones
     blocks = vectors.select(vector_to_array("features").alias("v")).repartition(tasks).mapInArrow(packed, "x binary, n long").rdd.map(
-        lambda r: np.frombuffer(r["x"]).reshape(r["n"], -1)).persist(StorageLevel.MEMORY_AND_DISK)
+        lambda r: np.vstack([np.frombuffer(r["x"]).reshape(r["n"], -1).T, np.ones(r["n"])])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centres = _first(blocks, starts)
         centres, costs = _moved(blocks, centres, TOLERANCE, most)
@@ -67,23 +68,25 @@ def _first(blocks: RDD, starts: Sequence[tuple[int, int]]) -> list[np.ndarray]:
     """Every centre is a point drawn in proportion to its squared distance from the centres before it.
 
     Each point draws the time until it is called, of that rate, and the earliest one becomes the centre."""
-    centres: list[np.ndarray] = [np.zeros((0, 0))] * len(starts)
-    for step in range(max((k for k, _ in starts), default=0)):
-        due = [(i, seed, centres[i]) for i, (k, seed) in enumerate(starts) if step < k and len(centres[i]) == step]
+    most = {seed: max(k for k, other in starts if other == seed) for _, seed in starts}  # those of a seed begin alike: the longest has them all
+    centres = {seed: np.zeros((0, 0)) for seed in most}
+    for step in range(max(most.values(), default=0)):
+        due = [(seed, centres[seed]) for seed, k in most.items() if step < k and len(centres[seed]) == step]
 
         def earliest(part: int, points: Iterator[np.ndarray]) -> Iterator[tuple]:
-            for number, x in enumerate(points):
-                for i, seed, known in due:
-                    wait = np.random.default_rng([seed, step, part, number]).exponential(size=len(x))
+            for number, block in enumerate(points):
+                x = block[:-1]
+                for seed, known in due:
+                    wait = np.random.default_rng([seed, step, part, number]).exponential(size=x.shape[1])
                     if len(known):
-                        rate = np.min([((x - c) ** 2).sum(axis=1) for c in known], axis=0)
+                        rate = np.min([((x - c[:, None]) ** 2).sum(axis=0) for c in known], axis=0)
                         wait = np.where(rate > 0, wait / np.where(rate > 0, rate, 1), np.inf)
                     at = int(np.argmin(wait))
                     if np.isfinite(wait[at]):
-                        yield i, (float(wait[at]), x[at].tolist())
-        for i, (_, point) in blocks.mapPartitionsWithIndex(earliest).reduceByKey(min, 1).collect():
-            centres[i] = np.vstack([*centres[i], point])
-    return centres
+                        yield seed, (float(wait[at]), x[:, at].tolist())
+        for seed, (_, point) in blocks.mapPartitionsWithIndex(earliest).reduceByKey(min, 1).collect():
+            centres[seed] = np.vstack([*centres[seed], point])
+    return [centres[seed][:k] for k, seed in starts]
 
 
 def _moved(blocks: RDD, centres: list[np.ndarray], tolerance: float, most: int) -> tuple[list[np.ndarray], list[float]]:
@@ -91,12 +94,18 @@ def _moved(blocks: RDD, centres: list[np.ndarray], tolerance: float, most: int)
     def sums_of(some: list[np.ndarray]) -> list[list]:
         def partial(points: Iterator[np.ndarray]) -> Iterator[list]:
             total = None
+            sides = [np.column_stack([-2 * c, (c * c).sum(axis=1)]) for c in some]  # a point's squared norm is the same to all centres
             for x in points:
-                found = []
-                for c in some:
-                    gaps = ((c * c).sum(axis=1) - 2 * (x @ c.T)) + (x * x).sum(axis=1)[:, None]
-                    member = np.eye(len(c))[gaps.argmin(axis=1)]
-                    found.append([member.sum(axis=0), member.T @ x, max(0.0, float(gaps.min(axis=1).sum()))])
+                found, norms = [], float((x[:-1] * x[:-1]).sum())
+                for side in sides:
+                    gaps = side @ x
+                    least = gaps.min(axis=0)
+                    member = gaps == least
+                    own = member.astype(float)
+                    if member.sum() != x.shape[1]:
+                        own *= member.cumsum(axis=0) == 1  # of equally near centres the first
+                    sums = own @ x.T
+                    found.append([sums[:, -1], sums[:, :-1], max(0.0, float(least.sum()) + norms)])
                 total = found if total is None else [[p + q for p, q in zip(a, b)] for a, b in zip(total, found)]
             if total is not None:
                 yield total
