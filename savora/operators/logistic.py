@@ -12,7 +12,7 @@ from typing import Callable, Generator, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from savora.sources import shared
 
@@ -69,7 +69,9 @@ def fit_parts(cells: DataFrame, y: np.ndarray, learns: np.ndarray, c: float, tol
                 held, size = [], 0
         if size:
             yield block(held)
-    blocks = cells.select("idf", "starts", "at", "tf").rdd.mapPartitions(joined).persist(StorageLevel.MEMORY_AND_DISK)  # an RDD: each pass would plan a table again
+    many = (cells.select(F.sum(F.octet_length("at"))).first()[0] or 0) // 4
+    # as many parts as tasks before they are kept: parts joined later lie on several executors, and every pass would fetch them
+    blocks = cells.select("idf", "starts", "at", "tf").coalesce(int(min(context.defaultParallelism, many // CELLS_PER_TASK + 1))).rdd.mapPartitions(joined).persist(StorageLevel.MEMORY_AND_DISK)  # an RDD: each pass would plan a table again
 
     def summed(of_block: Callable[..., None], columns: int) -> np.ndarray:
         def partial(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
@@ -79,7 +81,7 @@ def fit_parts(cells: DataFrame, y: np.ndarray, learns: np.ndarray, c: float, tol
                 x = (np.log(np.arange(1, 257.0)) + 1.0)[tf - 1] if tf.dtype == np.uint8 else np.log(tf) + 1.0
                 of_block(total, known, of, lengths, np.cumsum(lengths) - lengths, at.astype(np.int64), x)
             yield total
-        return _added(held.mapPartitions(partial), tasks, columns, n)
+        return _added(blocks.mapPartitions(partial), tasks, columns, n)
 
     def pulled(a: np.ndarray, which: list[int]) -> np.ndarray:
         """Of every row, the inner product with the sum of rows that ``a`` stands for; rows at their plain length."""
@@ -99,9 +101,7 @@ def fit_parts(cells: DataFrame, y: np.ndarray, learns: np.ndarray, c: float, tol
         for f, idf in enumerate(known):
             total[f] += np.bincount(at, (x * np.repeat(idf[of], lengths)) ** 2, total.shape[1])
     try:
-        tasks = int(min(context.defaultParallelism, blocks.map(lambda b: len(b[3])).sum() // CELLS_PER_TASK + 1))
-        held = blocks.coalesce(tasks)
-        tasks = max(1, held.getNumPartitions())
+        tasks = max(1, blocks.getNumPartitions())
         lengths = summed(squares, fits)
         scale = np.divide(1, np.sqrt(lengths, out=lengths), out=np.zeros_like(lengths), where=lengths > 0)
 
